@@ -20,10 +20,6 @@ ROUTE = "route_id"
 FRIDAY = "is_friday"
 MONDAY = "is_monday"
 
-# Largest number of distinct values each key column can take, known from its definition.
-# Only keys listed here are broadcast without counting them first.
-KEY_DOMAIN = {HOUR: 24, WEEKDAY: 7, WEEKEND: 2, RUSH: 2, TIME_GROUP: 5, SLOW: 2, FRIDAY: 2, MONDAY: 2}
-
 
 @dataclass(frozen=True)
 class TripConfig:

@@ -147,10 +147,11 @@ def fit(train: DataFrame, threshold: float, cfg: TripConfig = DEFAULT, row_bound
 
     pipeline = _pipeline(train, features, fills, categories, cfg)
     weight = reduce(lambda w, r: w.when(F.col(SLOW) == r[SLOW], r["weight"]), weights, F)
-    prepared = PipelineModel(pipeline).transform(train.withColumns({
+    # Fitting passes over its input several times, so the encoded rows are written once.
+    prepared = settle(PipelineModel(pipeline).transform(train.withColumns({
         _WEIGHT: weight,
         _HELD_OUT: row_hash(train, cfg, cfg.seed + 1) < int(cfg.validation_share * _BUCKETS),
-    })).select("features", SLOW, _WEIGHT, _HELD_OUT)
+    })).select("features", SLOW, _WEIGHT, _HELD_OUT), "encoded")
     trees = GBTClassifier(
         labelCol=SLOW, featuresCol="features", weightCol=_WEIGHT, validationIndicatorCol=_HELD_OUT,
         stepSize=cfg.learning_rate, maxIter=cfg.max_rounds, maxDepth=cfg.max_depth,

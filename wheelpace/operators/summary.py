@@ -1,10 +1,11 @@
 """Exact group summaries with quantiles, without gathering a large group in one task.
 
 Spark's ``percentile`` keeps every distinct value of a group in the memory of one task, so it is only
-used when the caller knows that the table has few rows. Otherwise the first scan counts values per coarse bucket, together with the moments;
-from that small histogram the buckets that hold the wanted ranks are known. The second scan only
-looks at the values in them. Whatever the data, one task sorts at most the buckets of a group or the
-values of one fine bucket, both bounded by the number format (see ``functions.buckets``).
+used when the caller knows that the table has few rows. Otherwise the first scan counts values per
+coarse bucket, together with the moments; from that small histogram the buckets that hold the wanted
+ranks are known. The second scan only looks at the values in them; a bucket with many rows is split
+once more. Whatever the data, one task sorts at most the buckets of a group or the values of one
+bucket, both bounded by the number format (see ``functions.buckets``).
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wheelpace.config import DEFAULT, HOUR, KEY_DOMAIN, RUSH, SPEED, WEEKEND, TripConfig
+from wheelpace.config import DEFAULT, HOUR, RUSH, SPEED, WEEKEND, TripConfig
 from wheelpace.functions.buckets import bucket
 from wheelpace.session import settle
 
@@ -24,6 +25,8 @@ QUARTILES = (0.25, 0.5, 0.75)
 COARSE_BITS, FINE_BITS = 12, 32
 # Rows of the table of wanted buckets that may be broadcast; each takes about 100 bytes.
 BROADCAST_ROWS = 200_000
+# Rows of a wanted bucket up to which one task sorts its distinct values.
+SORT_ROWS = 1_000_000
 # Bucket of nulls, below all others.
 _NULLS = -(2 ** 62)
 
@@ -72,14 +75,6 @@ def _number_rows(counts: DataFrame, keys: list[str], order: str, offset: Column)
     return counts.withColumn("first", offset + F.coalesce(F.sum("c").over(before), F.lit(0)))
 
 
-def _is_bounded(groupings: dict[str, list[str]], schema, probs: tuple[float, ...]) -> bool:
-    """Whether the definition of the keys alone bounds the table of wanted buckets."""
-    domains = {"all": 1, **KEY_DOMAIN}
-    booleans = {f.name: 2 for f in schema if f.dataType.simpleString() == "boolean"}
-    sizes = [{**booleans, **domains}.get(k, BROADCAST_ROWS + 1) * len(m) for k, m in groupings.items()]
-    return sum(sizes) * 2 * len(probs) <= BROADCAST_ROWS
-
-
 def summarize(
     df: DataFrame, groupings: dict[str, list[str]], probs: tuple[float, ...] = QUARTILES,
     row_bound: int | None = None,
@@ -88,13 +83,14 @@ def summarize(
 
     Result columns: grouping, level (text), metric, n_rows (with nulls), n (without), mean, std, min,
     max and one column per quantile, interpolated linearly. ``row_bound`` is a number of rows that
-    ``df`` is known not to exceed; without it the table counts as large.
+    ``df`` is known not to exceed; without it the table counts as large and its histogram is computed
+    at once.
     """
     rows = melt(df, groupings)
     if row_bound is not None and row_bound <= FEW_ROWS:
         result = _aggregate(rows, probs)
     else:
-        result = _refine(rows, groupings, df.schema, probs)
+        result = _refine(rows, probs)
     names = F.array(*(F.struct(F.lit(k).alias("grouping"), F.lit(m).alias("metric")) for k, m in _parts(groupings)))
     part = names[F.col("part")]
     return result.select(
@@ -110,40 +106,34 @@ def _aggregate(rows: DataFrame, probs: tuple[float, ...]) -> DataFrame:
     return found.select("*", *(F.col("q")[i].alias(quantile_name(p)) for i, p in enumerate(probs)))
 
 
-def _refine(rows: DataFrame, groupings: dict[str, list[str]], schema, probs: tuple[float, ...]) -> DataFrame:
+def _refine(rows: DataFrame, probs: tuple[float, ...], sort_rows: int = SORT_ROWS,
+            broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     rows = rows.withColumn("coarse", F.coalesce(bucket(F.col("v"), COARSE_BITS), F.lit(_NULLS)))
 
-    # First scan: a histogram that carries the moments of each bucket.
+    # First scan: a histogram that carries the moments of each bucket, reduced to the wanted buckets.
     histogram = rows.groupBy(*_KEYS, "coarse").agg(
         F.count("*").alias("rows"), F.count("v").alias("c"), F.sum("v").alias("sum"),
         F.var_pop("v").alias("var"), F.min("v").alias("low"), F.max("v").alias("high"))
-    coarse = _add_moments(histogram)
-    coarse = _number_rows(coarse, _KEYS, "coarse", F.lit(0)).where(_holds_rank(probs) | (F.col("n") == 0))
-    coarse = coarse.select(*_KEYS, "coarse", F.col("first").alias("offset"), *_STATS)
+    wanted = _number_rows(_add_moments(histogram), _KEYS, "coarse", F.lit(0))
+    wanted = wanted.where(_holds_rank(probs) | (F.col("n") == 0))
+    wanted = settle(wanted.select(*_KEYS, "coarse", F.col("first").alias("offset"), "c", *_STATS), "buckets")
+    size = wanted.agg(F.count("*").alias("buckets"), F.max("c").alias("largest")).first()
 
     # Second scan: the distinct values of the wanted buckets with their counts.
     carried = ["offset", *_STATS]
     key = [*_KEYS, "coarse"]
-    small = _is_bounded(groupings, schema, probs)
-    if not small:
-        coarse = settle(coarse, "buckets")
-        small = coarse.count() <= BROADCAST_ROWS
-    if small:
-        distinct = rows.join(F.broadcast(coarse), key).groupBy(*key, "v").agg(
+    wanted = wanted.drop("c")
+    if size["buckets"] <= broadcast_rows:
+        distinct = rows.join(F.broadcast(wanted), key).groupBy(*key, "v").agg(
             F.count("v").alias("c"), *(F.first(name).alias(name) for name in carried))
     else:
         # Copies of a value collapse before the join, so a frequent value is no hot key.
-        distinct = rows.groupBy(*key, "v").agg(F.count("v").alias("c")).join(coarse, key)
-    distinct = distinct.withColumn("fine", F.coalesce(bucket(F.col("v"), FINE_BITS), F.lit(_NULLS)))
+        distinct = rows.groupBy(*key, "v").agg(F.count("v").alias("c")).join(wanted, key)
 
-    # The same step once more on the fine buckets, then on the values of the wanted ones. ``distinct``
-    # is read twice with the same columns, so that Spark shuffles it once and reuses the exchange.
-    fine_key = [*key, "fine", *carried]
-    fine = _number_rows(distinct.groupBy(*fine_key).agg(F.sum("c").alias("c")), key, "fine", F.col("offset"))
-    fine = fine.where(_holds_rank(probs) | (F.col("n") == 0)).drop("c")
-    same = reduce(lambda a, b: a & b, (F.col(f"d.{c}").eqNullSafe(F.col(f"f.{c}")) for c in fine_key))
-    wanted = distinct.alias("d").join(fine.alias("f"), same).select("d.*", F.col("f.first").alias("start"))
-    ranked = _number_rows(wanted, [*key, "fine"], "v", F.col("start"))
+    if (size["largest"] or 0) > sort_rows:
+        distinct = _narrow(distinct, key, carried, probs)
+        key = [*key, "fine"]
+    ranked = _number_rows(distinct, key, "v", F.col("offset"))
 
     def value_at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("first")) & (rank < F.col("first") + F.col("c")), F.col("v")))
@@ -157,6 +147,21 @@ def _refine(rows: DataFrame, groupings: dict[str, list[str]], schema, probs: tup
         *(F.first(name).alias(name) for name in _STATS), *(quantile(p) for p in probs))
 
 
+def _narrow(distinct: DataFrame, key: list[str], carried: list[str], probs: tuple[float, ...]) -> DataFrame:
+    """Keep the values of the fine buckets that hold a wanted rank, with the rank of their first row.
+
+    ``distinct`` is read twice with the same columns, so that Spark shuffles it once and reuses the
+    exchange.
+    """
+    distinct = distinct.withColumn("fine", F.coalesce(bucket(F.col("v"), FINE_BITS), F.lit(_NULLS)))
+    fine_key = [*key, "fine", *carried]
+    fine = _number_rows(distinct.groupBy(*fine_key).agg(F.sum("c").alias("c")), key, "fine", F.col("offset"))
+    fine = fine.where(_holds_rank(probs) | (F.col("n") == 0)).drop("c")
+    same = reduce(lambda a, b: a & b, (F.col(f"d.{c}").eqNullSafe(F.col(f"f.{c}")) for c in fine_key))
+    kept = distinct.alias("d").join(fine.alias("f"), same).select("d.*", "f.first")
+    return kept.withColumn("offset", F.col("first")).drop("first")
+
+
 def _add_moments(histogram: DataFrame) -> DataFrame:
     """Replace the moments of each bucket by those of its group."""
     group = Window.partitionBy(*_KEYS)

@@ -57,8 +57,10 @@ def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """(column, n_rows, n_null) for every column, from one aggregation."""
-    counted = df.agg(*map(F.expr, ["count(*) as n_rows", *(f"count(*) - count(`{c}`) as `{c}`" for c in df.columns)]))
-    return counted.unpivot("n_rows", df.columns, "column", "n_null").select("column", "n_rows", "n_null")
+    counts = [f"count(*) - count(`{c}`) as null_{i}" for i, c in enumerate(df.columns)]
+    cells = [F.struct(F.lit(c).alias("column"), F.col("n_rows"), F.col(f"null_{i}").alias("n_null"))
+             for i, c in enumerate(df.columns)]
+    return df.agg(*map(F.expr, ["count(*) as n_rows", *counts])).select(F.inline(F.array(*cells)))
 
 
 def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
