@@ -227,7 +227,7 @@ def duplicates_left(spark, sf_dir):
 
 @query
 def null_split(spark, sf_dir):
-    return stats.null_split(_facts(spark, sf_dir, all=[SPEED]))
+    return stats.null_split(_facts(spark, sf_dir, all=list(DEFAULT.numeric)))
 
 
 @query

@@ -81,6 +81,7 @@ class TripConfig:
     max_depth: int = 5
     min_leaf_rows: int = 50
     validation_share: float = 0.1
+    early_stop_gain: float = 1e-7
 
     @property
     def raw(self) -> tuple[str, ...]:

@@ -15,6 +15,11 @@ def wall_clock(col: str) -> Column:
     return F.col(col).cast("timestamp_ntz")
 
 
+def number(col: str) -> Column:
+    """A column as double with NaN as null, for statistics that leave out missing values."""
+    return F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
+
+
 def minutes_between(start: Column, end: Column) -> Column:
     """Fractional minutes from ``start`` to ``end`` on the wall clock; negative when they are swapped."""
     # An interval keeps wall-clock arithmetic; timestampdiff would resolve gaps of the session's time zone.

@@ -1,35 +1,49 @@
 """Small shared tables from which all profile, statistics and chart tables follow.
 
 A cleaned table of any size is reduced to at most 168 weekday-by-hour cells, one summary row per
-group and one row of correlations. Every result table is then a join-free step on these.
+group and one correlation per pair of columns. Every result table is then a small step on these.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wheelpace.config import DEFAULT, HOUR, RUSH, SPEED, WEEKDAY, WEEKEND, TripConfig
+from wheelpace.functions.features import number
 from wheelpace.operators.summary import summarize, trip_groupings
 from wheelpace.session import settle
 
 
+# A pair of columns is numbered first * PAIR_BASE + second.
+PAIR_BASE = 1000
+# The flags follow from weekday and hour, so there are at most 7 x 24 combinations.
+CUBE_KEYS = (WEEKDAY, HOUR, WEEKEND, RUSH)
+
+
 @dataclass(frozen=True)
 class Facts:
-    """``cube``: moments per weekday and hour; ``summary``: see ``summarize``; ``overall``: one row."""
+    """``cube``: moments per weekday and hour; ``summary``: see ``summarize``; ``pairs``: correlations."""
 
     trips: DataFrame
     cube: DataFrame
     summary: DataFrame
-    overall: DataFrame
+    pairs: DataFrame
     cfg: TripConfig = DEFAULT
+    few_groups: bool = False
 
     def settled(self) -> Facts:
-        """The same facts, computed once and kept in the shared folder, for several consumers."""
-        return replace(self, **{n: settle(getattr(self, n), n) for n in ("cube", "summary", "overall")})
+        """The same facts, computed once and kept in the shared folder, for several consumers.
+
+        Tables whose size is bounded by their keys are read as one partition, so that the steps on
+        them need no shuffle.
+        """
+        summary = settle(self.summary, "summary")
+        return replace(self, cube=settle(self.cube, "cube").coalesce(1), pairs=settle(self.pairs, "pairs").coalesce(1),
+                       summary=summary.coalesce(1) if self.few_groups else summary)
 
 
 def gather(
@@ -41,11 +55,12 @@ def gather(
     columns = [c for c in cfg.numeric if c in trips.columns]
     return Facts(
         trips, speed_cube(trips), summarize(trips, groupings, row_bound=row_bound),
-        trips.agg(*correlations(columns), *null_sums(columns)), cfg)
+        correlations(trips, columns), cfg, set(groupings) <= {"all", *CUBE_KEYS})
 
 
 def speed_cube(trips: DataFrame, value: str = SPEED) -> DataFrame:
-    return trips.groupBy(WEEKDAY, HOUR, WEEKEND, RUSH).agg(*moments(value))
+    """Moments per weekday and hour: at most 168 rows in one partition, so roll-ups need no further shuffle."""
+    return trips.select(*CUBE_KEYS, number(value).alias(value)).groupBy(*CUBE_KEYS).agg(*moments(value)).repartition(1)
 
 
 def moments(value: str) -> list[Column]:
@@ -67,10 +82,17 @@ def roll_up(cube: DataFrame, *keys: str) -> DataFrame:
     ).withColumn("std", F.sqrt("var"))
 
 
-def correlations(columns: list[str]) -> list[Column]:
-    """Pearson correlation of every pair, each over the rows where both are present."""
-    return [F.expr(f"corr(`{a}`, `{b}`) as corr_{i}_{j}") for (i, a), (j, b) in combinations(enumerate(columns), 2)]
+def correlations(trips: DataFrame, columns: list[str]) -> DataFrame:
+    """(pair, r): Pearson correlation of every pair of columns, each over the rows where both are present.
 
+    The pairs become rows of a narrow stream before they are aggregated; one aggregation with a state
+    per pair would be too large for the JVM to compile. A constant column has no correlation.
+    """
+    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    fields = [x for i, j in pairs for x in (
+        F.lit(i * PAIR_BASE + j), number(columns[i]), number(columns[j]))]
+    stream = trips.select(F.stack(F.lit(len(pairs)), *fields).alias("pair", "x", "y"))
+    spread = F.stddev_pop("x") * F.stddev_pop("y")
+    return stream.where("x is not null and y is not null").groupBy("pair").agg(
+        F.try_divide(F.covar_pop("x", "y"), spread).alias("r"))
 
-def null_sums(columns: list[str]) -> list[Column]:
-    return [F.expr(f"count(*) - count(`{c}`) as `null_{c}`") for c in columns]

@@ -154,6 +154,7 @@ def fit(train: DataFrame, threshold: float, cfg: TripConfig = DEFAULT, row_bound
     })).select("features", SLOW, _WEIGHT, _HELD_OUT), "encoded")
     trees = GBTClassifier(
         labelCol=SLOW, featuresCol="features", weightCol=_WEIGHT, validationIndicatorCol=_HELD_OUT,
+        validationTol=cfg.early_stop_gain,
         stepSize=cfg.learning_rate, maxIter=cfg.max_rounds, maxDepth=cfg.max_depth,
         minInstancesPerNode=cfg.min_leaf_rows, maxBins=255, seed=cfg.seed).fit(prepared)
     return SlowTripModel(PipelineModel([*pipeline, trees]), features, threshold, sum(r["n"] for r in weights))

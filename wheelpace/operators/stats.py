@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wheelpace.config import DEFAULT, HOUR, RUSH, SPEED, WEEKEND, TripConfig
 from wheelpace.functions.features import round_numbers, rounded
 from wheelpace.functions.student_t import two_sided_p
-from wheelpace.operators.facts import Facts, correlations, roll_up, speed_cube
+from wheelpace.operators.facts import PAIR_BASE, Facts, correlations, roll_up, speed_cube
 from wheelpace.operators.summary import levels, summarize
 
 DIGITS = 3
@@ -79,24 +79,24 @@ def flag_shares(facts: Facts, digits: int = 4) -> DataFrame:
         for c, name in ((RUSH, "rush_share"), (WEEKEND, "weekend_share"))))
 
 
-def correlation_matrix(overall: DataFrame, columns: list[str], digits: int = DIGITS) -> DataFrame:
-    """(variable, with_variable, r) for all pairs in both orders, from one row of correlations."""
-    cells = []
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
-            r = F.lit(1.0) if i == j else F.col(f"corr_{min(i, j)}_{max(i, j)}")
-            cells.append(F.struct(F.lit(a).alias("variable"), F.lit(b).alias("with_variable"),
-                                  rounded(r, digits).alias("r")))
-    return overall.select(F.inline(F.array(*cells)))
+def correlation_matrix(pairs: DataFrame, columns: list[str], digits: int = DIGITS) -> DataFrame:
+    """(variable, with_variable, r) for all pairs in both orders, from one correlation per pair."""
+    found = pairs.agg(F.map_from_entries(F.collect_list(F.struct("pair", "r"))).alias("found"))
+    size = len(columns)
+    names = F.array(*map(F.lit, columns))
+    cell = found.select("found", F.explode(F.sequence(F.lit(0), F.lit(size * size - 1))).alias("cell")).select(
+        "found", F.expr(f"int(cell div {size})").alias("i"), (F.col("cell") % size).alias("j"))
+    key = F.least("i", "j") * PAIR_BASE + F.greatest("i", "j")
+    return cell.select(names[F.col("i")].alias("variable"), names[F.col("j")].alias("with_variable"),
+                       rounded(F.col("found")[key], digits).alias("r"))
 
 
 def null_split(facts: Facts) -> DataFrame:
     """(column, n_null, status): nulls the policy keeps, and nulls it does not expect."""
-    cfg = facts.cfg
-    cells = [F.struct(F.lit(c).alias("column"), F.col(f"null_{c}").alias("n_null"),
-                      F.lit("retained" if c in cfg.nullable else "unexpected").alias("status"))
-             for c in cfg.numeric if c in facts.trips.columns]
-    return facts.overall.select(F.inline(F.array(*cells))).where("n_null > 0")
+    rows = facts.summary.where((F.col("grouping") == "all") & (F.col("n_rows") > F.col("n")))
+    kept = F.col("metric").isin(*facts.cfg.nullable)
+    return rows.select(F.col("metric").alias("column"), (F.col("n_rows") - F.col("n")).alias("n_null"),
+                       F.when(kept, "retained").otherwise("unexpected").alias("status"))
 
 
 def welch(cube: DataFrame, flag: str = RUSH) -> DataFrame:
@@ -127,7 +127,7 @@ def compute_descriptive_stats(trips: DataFrame, cfg: TripConfig = DEFAULT, row_b
 def compute_correlation_matrix(trips: DataFrame, cfg: TripConfig = DEFAULT,
                                columns: list[str] | None = None, digits: int = DIGITS) -> DataFrame:
     columns = columns or [c for c in cfg.numeric if c in trips.columns]
-    return correlation_matrix(trips.agg(*correlations(columns)), columns, digits)
+    return correlation_matrix(correlations(trips, columns), columns, digits)
 
 
 def compare_group_speed(trips: DataFrame, group_col: str, value: str = SPEED,

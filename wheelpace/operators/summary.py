@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from wheelpace.config import DEFAULT, HOUR, RUSH, SPEED, WEEKEND, TripConfig
 from wheelpace.functions.buckets import bucket
+from wheelpace.functions.features import number
 from wheelpace.session import settle
 
 # Tables of up to this many rows are summarised by one plain aggregation.
@@ -47,7 +48,7 @@ def melt(df: DataFrame, groupings: dict[str, list[str]]) -> DataFrame:
     fields = []
     for i, (key, metric) in enumerate(_parts(groupings)):
         level = F.lit("all") if key == "all" else F.col(key).cast("string")
-        fields += [F.lit(i), level, F.col(metric).cast("double")]
+        fields += [F.lit(i), level, number(metric)]
     return df.select(F.stack(F.lit(len(fields) // 3), *fields).alias(*_KEYS, "v")).where(F.col("level").isNotNull())
 
 

@@ -117,7 +117,7 @@ def analyze(facts: Facts) -> dict[str, object]:
     columns = [c for c in facts.cfg.numeric if c in facts.trips.columns]
     return {
         "descriptive_stats": stats.describe(facts),
-        "correlation_matrix": stats.correlation_matrix(facts.overall, columns),
+        "correlation_matrix": stats.correlation_matrix(facts.pairs, columns),
         "rush_compare": stats.group_speed(facts.summary, RUSH, "boolean"),
         "weekend_compare": stats.group_speed(facts.summary, WEEKEND, "boolean"),
         "hourly_by_weekend": stats.hourly_by_weekend(facts),
