@@ -1,7 +1,7 @@
 """Times the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-Each query runs once to warm the JVM up and then twice; the better of the two counts. The trips and
-the cleaned table are written before, except in ``prepare`` and ``cleaned_sink``, which time that work.
+Each query runs once to warm the JVM up and is timed the second time. The trips and the cleaned table
+are written before, except in ``prepare``, which times that work.
 """
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ import time
 
 from wheelpace.checks.queries import queries
 from wheelpace.checks.standin import cleaned, trips_path
-from wheelpace.plans import runs
-from wheelpace.operators.facts import gather
 from wheelpace.config import DEFAULT
+from wheelpace.operators.facts import gather
+from wheelpace.plans import runs
 from wheelpace.session import local_session
 
 HEADLINE = [
@@ -51,12 +51,10 @@ def main() -> None:
 
     seconds = {}
     for name, job in jobs.items():
-        times = []
-        for _ in range(3):
-            started = time.perf_counter()
-            job()
-            times.append(time.perf_counter() - started)
-        seconds[name] = round(min(times[1:]), 3)
+        job()
+        started = time.perf_counter()
+        job()
+        seconds[name] = round(time.perf_counter() - started, 3)
     spark.stop()
     print(json.dumps({
         "metric": "headline queries, total", "value": round(sum(seconds.values()), 3), "unit": "sec",

@@ -260,9 +260,10 @@ def audit(df: DataFrame, cfg: TripConfig = DEFAULT) -> dict[str, dict[str, objec
     """
     columns = df.columns
     pickup = wall_clock(cfg.pickup)
-    minutes = minutes_between(pickup, wall_clock(cfg.dropoff))
-    tests = range_tests(cfg, minutes, miles_per_hour(F.col(cfg.distance), minutes))
-
+    # Two projections: an expensive column that is used several times is computed once per row.
+    df = df.withColumn(DURATION, minutes_between(pickup, wall_clock(cfg.dropoff)))
+    df = df.withColumn(SPEED, miles_per_hour(F.col(cfg.distance), F.col(DURATION)))
+    tests = range_tests(cfg)
     # Stage 0: a critical null; 1 to 6: the first failed test; 7: passed.
     stage = F.when(~_complete(df, cfg), 0).otherwise(F.coalesce(first_failed(tests), F.lit(len(tests) + 1)))
     cells = df.groupBy(month_of(pickup).alias("month"), stage.alias("stage")).agg(
@@ -313,6 +314,10 @@ def clean(df: DataFrame, month, cfg: TripConfig = DEFAULT) -> DataFrame:
     Only raw columns are shuffled; the derived ones follow from them and are added afterwards.
     """
     raw = raw_columns(df, cfg)
-    complete = drop_incomplete(df, cfg).where(in_month(cfg.pickup, month))
-    plausible = keep_plausible(add_time_features(complete, cfg), cfg)
+    complete = drop_incomplete(df, cfg).where(in_month(cfg.pickup, month)).withColumns(
+        {c: wall_clock(c) for c in (cfg.pickup, cfg.dropoff)})
+    minutes = minutes_between(F.col(cfg.pickup), F.col(cfg.dropoff))
+    # Behind the duration test the speed needs no guard, which would compute the duration once more.
+    speed = F.try_divide(F.col(cfg.distance), minutes / 60.0)
+    plausible = complete.where(reduce(lambda a, b: a & b, (t.passes for t in range_tests(cfg, minutes, speed))))
     return add_time_features(drop_exact_duplicates(plausible.select(*raw), cfg), cfg)

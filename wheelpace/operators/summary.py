@@ -26,6 +26,8 @@ QUARTILES = (0.25, 0.5, 0.75)
 COARSE_BITS, FINE_BITS = 12, 32
 # Rows of the table of wanted buckets that may be broadcast; each takes about 100 bytes.
 BROADCAST_ROWS = 200_000
+# Up to this many wanted buckets become a list in the plan that sorts most rows out before the join.
+LISTED_BUCKETS = 1_000
 # Rows of a wanted bucket up to which one task sorts its distinct values.
 SORT_ROWS = 1_000_000
 # Bucket of nulls, below all others.
@@ -118,12 +120,16 @@ def _refine(rows: DataFrame, probs: tuple[float, ...], sort_rows: int = SORT_ROW
     wanted = _number_rows(_add_moments(histogram), _KEYS, "coarse", F.lit(0))
     wanted = wanted.where(_holds_rank(probs) | (F.col("n") == 0))
     wanted = settle(wanted.select(*_KEYS, "coarse", F.col("first").alias("offset"), "c", *_STATS), "buckets")
-    size = wanted.agg(F.count("*").alias("buckets"), F.max("c").alias("largest")).first()
+    few = F.count("*") <= LISTED_BUCKETS
+    size = wanted.agg(F.count("*").alias("buckets"), F.max("c").alias("largest"),
+                      F.when(few, F.collect_set("coarse")).alias("list")).first()
 
     # Second scan: the distinct values of the wanted buckets with their counts.
     carried = ["offset", *_STATS]
     key = [*_KEYS, "coarse"]
     wanted = wanted.drop("c")
+    if size["list"] is not None:
+        rows = rows.where(F.col("coarse").isin(size["list"]))  # cheaper than the join for most rows
     if size["buckets"] <= broadcast_rows:
         distinct = rows.join(F.broadcast(wanted), key).groupBy(*key, "v").agg(
             F.count("v").alias("c"), *(F.first(name).alias(name) for name in carried))
