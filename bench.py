@@ -13,7 +13,7 @@ import time
 from wheelpace.checks.queries import queries
 from wheelpace.checks.standin import cleaned, trips_path
 from wheelpace.config import DEFAULT
-from wheelpace.operators.facts import gather
+from wheelpace.operators.facts import Facts
 from wheelpace.plans import runs
 from wheelpace.session import local_session
 
@@ -40,7 +40,7 @@ def main() -> None:
 
     def reports() -> None:
         """All profile, statistics and chart tables of the cleaned table, from one set of facts."""
-        facts = gather(done.trips, DEFAULT, done.rows).settled()
+        facts = Facts(done.trips, DEFAULT, done.rows).settled()
         for tables in (runs.profile(facts), runs.analyze(facts), runs.chart_tables(facts)):
             for table in tables.values():
                 if hasattr(table, "collect"):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wheelpace.config import DEFAULT, HOUR, RUSH, SPEED, WEEKDAY, WEEKEND
 from wheelpace.operators import charts, stats
-from wheelpace.operators.facts import gather, roll_up, speed_cube
+from wheelpace.operators.facts import Facts, roll_up, speed_cube
 from wheelpace.plans import runs
 
 COLUMNS = "pickup_dayofweek short, pickup_hour short, is_weekend boolean, is_rush_hour boolean, average_speed_mph double"
@@ -20,7 +20,7 @@ def pdf(prepared):
 
 @pytest.fixture(scope="module")
 def facts(prepared):
-    return gather(prepared.trips, DEFAULT, prepared.rows).settled()
+    return Facts(prepared.trips, DEFAULT, prepared.rows).settled()
 
 
 def cells(spark, *rows):
@@ -30,7 +30,7 @@ def cells(spark, *rows):
 
 
 def speeds(trips):
-    return gather(trips, groupings={HOUR: [SPEED], RUSH: [SPEED]}, row_bound=1000)
+    return Facts(trips, groupings={HOUR: [SPEED], RUSH: [SPEED]}, row_bound=1000)
 
 
 def test_profile_has_all_parts(facts):
@@ -44,10 +44,10 @@ def test_profile_has_all_parts(facts):
 def test_unexpected_nulls_and_duplicates_raise(spark, prepared):
     broken = prepared.trips.withColumn(SPEED, F.when(F.col("PULocationID") % 2 == 0, F.col(SPEED)))
     with pytest.raises(ValueError, match="does not expect"):
-        runs.check_profile(runs.profile(gather(broken, row_bound=10_000)))
+        runs.check_profile(runs.profile(Facts(broken, row_bound=10_000)))
     doubled = prepared.trips.unionByName(prepared.trips.limit(3))
     with pytest.raises(ValueError, match="3 duplicates"):
-        runs.check_profile(runs.profile(gather(doubled, row_bound=10_000)))
+        runs.check_profile(runs.profile(Facts(doubled, row_bound=10_000)))
     with pytest.raises(ValueError, match="derived columns"):
         runs.check_contract(prepared.trips.drop(SPEED))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from wheelpace.checks.standin import trips_sql
-from wheelpace.config import DEFAULT, HOUR, RUSH, SPEED, WEEKEND
+from wheelpace.config import DEFAULT, RUSH, SPEED, WEEKEND
 
 _RAW = list(DEFAULT.required) + ["VendorID", "congestion_surcharge", "airport_fee"]
 _COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in DEFAULT.critical)

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from wheelpace.checks.standin import cleaned, trips_from_events, trips_path
 from wheelpace.config import (
-    DEFAULT, DERIVED, DURATION, HOUR, RUSH, SLOW, SPEED, WEEKDAY, WEEKEND,
+    DEFAULT, DERIVED, DURATION, HOUR, RUSH, SLOW, SPEED, WEEKEND,
 )
 from wheelpace.functions import features
 from wheelpace.operators import charts, facts, model, quality, stats
-from wheelpace.operators.summary import quantile_value, summarize
+from wheelpace.operators.summary import summarize
 from wheelpace.plans import runs
 from wheelpace.session import fresh_path, once_per_session
 from wheelpace.sources import sinks, trips as source
@@ -45,7 +45,7 @@ def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _facts(spark: SparkSession, sf_dir: str, **groupings: list[str]) -> facts.Facts:
     done = cleaned(spark, sf_dir)
-    return facts.gather(done.trips, DEFAULT, done.rows, groupings or None)
+    return facts.Facts(done.trips, DEFAULT, done.rows, groupings or None)
 
 
 def _featured(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,7 +278,7 @@ def hourly_profile(spark, sf_dir):
 @query
 def hourly_profile_large(spark, sf_dir):
     rows = _trips(spark, sf_dir)
-    return stats.hourly_profile(facts.gather(rows, groupings={HOUR: [SPEED]}))
+    return stats.hourly_profile(facts.Facts(rows, groupings={HOUR: [SPEED]}))
 
 
 @query

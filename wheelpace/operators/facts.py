@@ -7,6 +7,7 @@ group and one correlation per pair of columns. Every result table is then a smal
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import cached_property
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,23 +18,39 @@ from wheelpace.functions.features import number
 from wheelpace.operators.summary import summarize, trip_groupings
 from wheelpace.session import settle
 
-
 # A pair of columns is numbered first * PAIR_BASE + second.
 PAIR_BASE = 1000
 # The flags follow from weekday and hour, so there are at most 7 x 24 combinations.
 CUBE_KEYS = (WEEKDAY, HOUR, WEEKEND, RUSH)
 
 
-@dataclass(frozen=True)
+@dataclass
 class Facts:
-    """``cube``: moments per weekday and hour; ``summary``: see ``summarize``; ``pairs``: correlations."""
+    """The small tables of a cleaned table, each described when it is first asked for.
+
+    ``row_bound`` is a number of rows that ``trips`` is known not to exceed; without it the histogram of
+    the summary is computed as soon as the summary is asked for.
+    """
 
     trips: DataFrame
-    cube: DataFrame
-    summary: DataFrame
-    pairs: DataFrame
     cfg: TripConfig = DEFAULT
-    few_groups: bool = False
+    row_bound: int | None = None
+    groupings: dict[str, list[str]] | None = None
+
+    @cached_property
+    def cube(self) -> DataFrame:
+        """Moments of speed per weekday and hour."""
+        return speed_cube(self.trips)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        """Moments and quantiles per group and metric, see ``summarize``."""
+        return summarize(self.trips, self._groupings(), row_bound=self.row_bound)
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        """Correlation of every pair of numeric columns."""
+        return correlations(self.trips, [c for c in self.cfg.numeric if c in self.trips.columns])
 
     def settled(self) -> Facts:
         """The same facts, computed once and kept in the shared folder, for several consumers.
@@ -41,21 +58,17 @@ class Facts:
         Tables whose size is bounded by their keys are read as one partition, so that the steps on
         them need no shuffle.
         """
-        summary = settle(self.summary, "summary")
-        return replace(self, cube=settle(self.cube, "cube").coalesce(1), pairs=settle(self.pairs, "pairs").coalesce(1),
-                       summary=summary.coalesce(1) if self.few_groups else summary)
-
-
-def gather(
-    trips: DataFrame, cfg: TripConfig = DEFAULT, row_bound: int | None = None,
-    groupings: dict[str, list[str]] | None = None,
-) -> Facts:
-    """Describe the facts of a cleaned table; nothing runs until a result table needs them."""
-    groupings = trip_groupings(trips, cfg) if groupings is None else groupings
-    columns = [c for c in cfg.numeric if c in trips.columns]
-    return Facts(
-        trips, speed_cube(trips), summarize(trips, groupings, row_bound=row_bound),
-        correlations(trips, columns), cfg, set(groupings) <= {"all", *CUBE_KEYS})
+        kept = replace(self)
+        kept.cube = settle(self.cube, "cube").coalesce(1)
+        kept.pairs = settle(self.pairs, "pairs").coalesce(1)
+        kept.summary = settle(self.summary, "summary")
+        if set(self._groupings()) <= {"all", *CUBE_KEYS}:
+            kept.summary = kept.summary.coalesce(1)
+        return kept
+
+    def _groupings(self) -> dict[str, list[str]]:
+        return trip_groupings(self.trips, self.cfg) if self.groupings is None else self.groupings
+
 
 
 def speed_cube(trips: DataFrame, value: str = SPEED) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembl
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wheelpace.config import DEFAULT, ROUTE, SLOW, SPEED, TripConfig
+from wheelpace.config import DEFAULT, SLOW, SPEED, TripConfig
 from wheelpace.functions.features import add_model_features
 from wheelpace.operators.summary import quantile_name, quantile_value, summarize
 from wheelpace.session import settle, shared_folder

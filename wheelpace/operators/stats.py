@@ -121,7 +121,7 @@ def welch(cube: DataFrame, flag: str = RUSH) -> DataFrame:
 def compute_descriptive_stats(trips: DataFrame, cfg: TripConfig = DEFAULT, row_bound: int | None = None,
                               columns: list[str] | None = None, digits: int = DIGITS) -> DataFrame:
     columns = columns or [c for c in cfg.numeric if c in trips.columns]
-    return describe(_facts(trips, cfg, summarize(trips, {"all": columns}, row_bound=row_bound)), digits)
+    return describe(Facts(trips, cfg, row_bound, {"all": columns}), digits)
 
 
 def compute_correlation_matrix(trips: DataFrame, cfg: TripConfig = DEFAULT,
@@ -138,7 +138,7 @@ def compare_group_speed(trips: DataFrame, group_col: str, value: str = SPEED,
 
 
 def compare_hourly_speed_by_weekend(trips: DataFrame, digits: int = DIGITS) -> DataFrame:
-    return hourly_by_weekend(_facts(trips, cube=speed_cube(trips)), digits)
+    return hourly_by_weekend(Facts(trips), digits)
 
 
 def run_rush_hour_ttest(trips: DataFrame, cfg: TripConfig = DEFAULT) -> dict[str, object]:
@@ -162,8 +162,3 @@ def ttest_result(cube: DataFrame, cfg: TripConfig = DEFAULT) -> dict[str, object
         "interpretation": f"p = {p}: the mean speeds {'differ' if significant else 'do not differ'} "
                           f"at the {cfg.alpha} level",
     }
-
-
-def _facts(trips: DataFrame, cfg: TripConfig = DEFAULT, summary: DataFrame | None = None,
-           cube: DataFrame | None = None) -> Facts:
-    return Facts(trips, cube, summary, None, cfg)

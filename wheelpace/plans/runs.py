@@ -8,11 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wheelpace.config import DEFAULT, DERIVED, HOUR, RUSH, SPEED, WEEKEND, TripConfig
+from wheelpace.config import DEFAULT, DERIVED, RUSH, SPEED, WEEKEND, TripConfig
 from wheelpace.functions.features import rounded
 from wheelpace.operators import charts, model, quality, stats
-from wheelpace.operators.facts import Facts, gather
-from wheelpace.operators.summary import levels
+from wheelpace.operators.facts import Facts
 from wheelpace.session import fresh_path
 from wheelpace.sources.sinks import save_cleaned, save_csv, save_json
 from wheelpace.sources.trips import nan_to_null, scan_trips
@@ -143,7 +142,7 @@ def run_all(raw: DataFrame, cfg: TripConfig = DEFAULT, folder: str | None = None
     spark = raw.sparkSession
     folder = (folder or fresh_path(spark, "run")).rstrip("/")
     prepared = prepare(raw, cfg, f"{folder}/cleaned")
-    facts = gather(prepared.trips, cfg, prepared.rows).settled()
+    facts = Facts(prepared.trips, cfg, prepared.rows).settled()
     profiled = profile(facts)
     check_profile(profiled)
     figures, statistics = chart_tables(facts), analyze(facts)
