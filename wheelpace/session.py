@@ -2,42 +2,48 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str = "*", app: str = "wheelpace", shuffle_partitions: int = 8) -> SparkSession:
-    """A session for tests and local runs. On a cluster use the session the cluster gives you."""
-    return (
+def local_session(cores: str = "*", app: str = "wheelpace", shuffle_partitions: int = 8,
+                  folder: str | None = None) -> SparkSession:
+    """A session for tests and local runs. On a cluster use the session the cluster gives you.
+
+    ``folder`` becomes ``spark.checkpoint.dir``; leave it out where the installation already sets one.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
     )
+    if folder:
+        builder = builder.config("spark.checkpoint.dir", folder)
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as named by ``spark.checkpoint.dir``.
-
-    A machine-local folder is only taken in local mode, where one machine is the whole cluster.
-    """
+    """The folder all executors share, as named by ``spark.checkpoint.dir``; an error where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("spark.checkpoint.dir is not set: name a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="wheelpace-")
-    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+#: Paths handed out per application, for ``scratch`` to delete.
+_HANDED_OUT: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _HANDED_OUT.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
@@ -51,6 +57,28 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a path that ``fresh_path`` handed out; nothing else can be deleted with it."""
+    handed_out = _HANDED_OUT.get(spark.sparkContext.applicationId, [])
+    if path not in handed_out:
+        raise ValueError(f"not a path of this session: {path}")
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    handed_out.remove(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete every path handed out inside the block when it ends, except those added to the given list."""
+    handed_out = _HANDED_OUT.setdefault(spark.sparkContext.applicationId, [])
+    before, kept = set(handed_out), []
+    try:
+        yield kept
+    finally:
+        for path in [p for p in handed_out if p not in before and p not in kept]:
+            discard(spark, path)
+
+
 _WRITTEN: dict[tuple[str, str], object] = {}
 
 
