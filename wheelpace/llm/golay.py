@@ -64,17 +64,16 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))).view(np.int64)
 
 
-def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in batches:
-        marks = np.fromiter(map(fingerprint, rows["text"]), np.uint64, len(rows))
-        yield pd.DataFrame({"doc_id": rows["doc_id"], "text_hash": rows["text_hash"],
-                            "mark": marks.view(np.int64), "node": _mixed(marks)})
+@F.pandas_udf("mark long, node long")
+def _fingerprints(texts: pd.Series) -> pd.DataFrame:
+    marks = np.fromiter(map(fingerprint, texts), np.uint64, len(texts))
+    return pd.DataFrame({"mark": marks.view(np.int64), "node": _mixed(marks)})
 
 
 def simhash(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, mark, node): the fingerprint of every whole text and its number as a node."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows_of_text(docs).mapInPandas(_fingerprints, f"doc_id {kind}, text_hash long, mark long, node long")
+    return rows_of_text(docs).select("doc_id", "text_hash", _fingerprints("text").alias("found")).select(
+        "doc_id", "text_hash", "found.*")
 
 
 # --- keys -----------------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wheelpace.llm import contain, golay, winnow
+from wheelpace.llm import contain, golay, langid, packing, winnow
 from wheelpace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,19 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.with_language(table(spark, sf_dir, "documents"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golay.near_groups(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontamination, op2_fingerprints, op10_simhash)}
+    return {f.__name__: f for f in (op1_decontamination, op2_fingerprints, op3_language, op6_packing, op10_simhash)}
