@@ -24,6 +24,7 @@ SPREAD = 24
 LEAST_BYTES = 80
 
 _DOC = ["doc_id", "text_hash"]
+_CHUNKS = "h array<long>, h2 array<long>, at array<int>, size array<int>"
 _GEAR = np.random.default_rng(7).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -32,7 +33,7 @@ def gear(data: np.ndarray) -> np.ndarray:
     value = _GEAR[data]
     reach = 1
     while reach < REACH:
-        value[reach:] += value[:-reach] << np.uint32(2 * reach) if reach < len(value) else value[reach:]
+        value[reach:] += value[:-reach] << np.uint32(2 * reach)
         reach *= 2
     return value
 
@@ -63,7 +64,6 @@ def ends(data: np.ndarray) -> np.ndarray:
     return np.append(chosen[chosen < n], n)
 
 
-@F.pandas_udf("h: array<long>, h2: array<long>, at: array<int>, size: array<int>")
 def _chunks(texts: pd.Series) -> pd.DataFrame:
     """Two 64-bit digests of each chunk, its place in code points and its size in bytes."""
     columns: tuple[list, ...] = ([], [], [], [])
@@ -88,7 +88,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     number) stays; ``first_id`` is its doc_id. Rows without id come first. Two shuffles of all chunks by half
     a digest find what may be repeated; only that is compared by the whole digest.
     """
-    cut = rows_of_text(docs).select(*_DOC, _chunks("text").alias("c"))
+    cut = rows_of_text(docs).select(*_DOC, F.pandas_udf(_chunks, _CHUNKS)("text").alias("c"))
     each = cut.select(*_DOC, F.posexplode(F.arrays_zip("c.h", "c.h2", "c.at", "c.size")).alias("no", "c"))
     repeated = settle(cut.select(F.explode("c.h").alias("h")).groupBy("h").count().where("count > 1").select("h"),
                       "repeated-digests")

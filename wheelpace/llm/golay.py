@@ -64,7 +64,6 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))).view(np.int64)
 
 
-@F.pandas_udf("mark long, node long")
 def _fingerprints(texts: pd.Series) -> pd.DataFrame:
     marks = np.fromiter(map(fingerprint, texts), np.uint64, len(texts))
     return pd.DataFrame({"mark": marks.view(np.int64), "node": _mixed(marks)})
@@ -72,8 +71,8 @@ def _fingerprints(texts: pd.Series) -> pd.DataFrame:
 
 def simhash(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, mark, node): the fingerprint of every whole text and its number as a node."""
-    return rows_of_text(docs).select("doc_id", "text_hash", _fingerprints("text").alias("found")).select(
-        "doc_id", "text_hash", "found.*")
+    return rows_of_text(docs).select("doc_id", "text_hash", F.pandas_udf(_fingerprints, "mark long, node long")("text").alias("found")
+    ).select("doc_id", "text_hash", "found.*")
 
 
 # --- keys -----------------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wheelpace.llm import contain, golay, langid, packing, winnow
+from wheelpace.llm import contain, gear, golay, langid, lines, lm, packing, quality, warc, winnow
 from wheelpace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,15 +24,89 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.with_language(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gear.repeated_spans(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture_no")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golay.near_groups(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontamination, op2_fingerprints, op3_language, op6_packing, op10_simhash)}
+    return {f.__name__: f for f in (
+        op1_decontamination, op2_fingerprints, op3_language, op4_lm_scoring, op5_substring_dedup, op6_packing,
+        op7_line_dedup, op8_warc, op9_quality, op10_simhash)}
+
+
+def oracles() -> dict[str, str]:
+    """DuckDB SQL of the queries that SQL can express."""
+    return {"op1_decontamination": _CONTAINED, "op8_warc": _CAPTURES}
+
+
+_CONTAINED = r"""
+WITH item AS (
+  SELECT min(item_id) AS item_id, count(*) AS n_items, w, least(len(w), 5) AS g
+  FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark)
+  WHERE len(w) > 0 GROUP BY w
+), item_shingle AS (
+  SELECT DISTINCT item_id, n_items, g, array_to_string(w[i:i + g - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - g + 2)) AS i FROM item)
+), sized AS (SELECT item_id, count(*) AS item_shingles FROM item_shingle GROUP BY item_id
+), doc AS (
+  SELECT doc_id, text, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents
+), doc_shingle AS (
+  SELECT DISTINCT doc_id, text, g, array_to_string(w[i:i + g - 1], ' ') AS s
+  FROM (SELECT doc_id, text, w, g, unnest(range(1, len(w) - g + 2)) AS i
+        FROM doc CROSS JOIN (SELECT DISTINCT g FROM item) WHERE len(w) >= g)
+), shared AS (
+  SELECT doc_id, text, item_id, n_items, count(*) AS shared_shingles
+  FROM doc_shingle JOIN item_shingle USING (g, s) GROUP BY ALL
+)
+SELECT doc_id, item_id, n_items, item_shingles, max(shared_shingles) AS shared_shingles,
+       max(shared_shingles) / item_shingles AS containment
+FROM shared JOIN sized USING (item_id)
+WHERE shared_shingles >= 0.8 * item_shingles
+GROUP BY doc_id, item_id, n_items, item_shingles
+"""
+
+_CAPTURES = r"""
+WITH page AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest, coalesce(url, '') AS url FROM pages
+), decided AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload) AS largest FROM page
+), keyed AS (
+  SELECT *, payload_bytes >= 1000 AND page_id IS DISTINCT FROM largest AS again,
+         array_to_string(list_reverse(string_split(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)),
+                                                   '.')), ',')
+         || ')' || lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1)) AS url_key
+  FROM decided
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN largest END AS refers_to, url_key,
+       row_number() OVER (ORDER BY encode(url_key), page_id) - 1 AS capture_no
+FROM keyed
+"""
