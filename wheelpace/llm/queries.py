@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from wheelpace.llm import contain, gear, golay, langid, lines, lm, packing, quality, warc, winnow
 from wheelpace.llm.common import table
 
@@ -58,12 +59,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_decontamination, op2_fingerprints, op3_language, op4_lm_scoring, op5_substring_dedup, op6_packing,
-        op7_line_dedup, op8_warc, op9_quality, op10_simhash)}
+        op7_line_dedup, op8_warc, op9_quality, op10_simhash)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracles() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op1_decontamination": _CONTAINED, "op8_warc": _CAPTURES}
+    found = {"op1_decontamination": _CONTAINED, "op8_warc": _CAPTURES, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {name: sql for name, sql in found.items() if sql}
 
 
 _CONTAINED = r"""
