@@ -19,7 +19,7 @@ from wheelpace.session import settle
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
-#: Rows of the sketch and shingle tables that are broadcast, of about 100 bytes each; beyond, Spark shuffles.
+#: Rows of sketches, shingles and candidates that are broadcast, of about 100 bytes each; beyond, Spark shuffles.
 BROADCAST_ROWS = 200_000
 
 _DOC = ["doc_id", "text_hash"]
@@ -110,7 +110,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, containment: float =
 
     sizes = classes.join(shingles.groupBy("item").agg(F.count("*").alias("item_shingles")), "item").select(
         "item", "item_id", "n_items", "item_shingles")
-    found = candidates.select(*_DOC).distinct().alias("c")
+    found = _small(settle(candidates.select(*_DOC).distinct(), "candidate-documents")).alias("c")
     again = texts.alias("t").join(
         found, F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.text_hash") == F.col("c.text_hash")),
         "left_semi")
