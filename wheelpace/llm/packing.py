@@ -10,29 +10,45 @@ into lengths that are powers of two, which need no padding.
 
 from __future__ import annotations
 
+import functools
+import gc
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LENGTH = 4096
 END_OF_DOCUMENT = 2
-#: Words whose ids a task remembers, of about 250 bytes each.
-REMEMBERED = 500_000
+#: Words whose ids a worker remembers, of about 200 bytes each.
+REMEMBERED = 1_000_000
+#: Characters of texts whose unknown words are tokenised together.
+TOGETHER = 4_000_000
+_LOWER = "a-z\u00df-\u00f6\u00f8-\u00ff"
+#: A place between a lower-case Latin letter and ASCII punctuation other than an apostrophe.
+_EDGE = re.compile(f"(?<=[{_LOWER}])(?=[!-&(-/:-@[-`{{-~])")
+_PLAIN = re.compile(f"[{_LOWER}]+").fullmatch
+#: How a byte-level vocabulary writes bytes: printable ones as they are, the others as characters from 256 on.
+_BYTES = {b: 256 + i for i, b in enumerate(
+    b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))}
 
 NUMBERS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length"]
 
 
 class Words:
-    """Token ids of a text as bytes (little-endian, 32 bits each), by looking its words up.
+    """Token ids of texts as bytes (little-endian, 32 bits each), by looking their words up.
 
     White space separates words for this tokenizer and takes no id, so the ids of a text are those of
-    its words in turn. Text is split at spaces and line ends only; the tokenizer sees all other characters.
-    Words that differ in ASCII case only share an entry, except where a special token might be meant.
+    its words in turn. The tokenizer also parts letters from punctuation, except around an apostrophe, and
+    lowers case. That is done here first, for Latin-1 texts without anything like a special token, so
+    that fewer words differ; the tokenizer gets the same words either way. A word of lower-case Latin
+    letters only needs no further normalisation and goes to the tokenizer's model at once.
     """
 
     def __init__(self, path: str):
@@ -40,22 +56,80 @@ class Words:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
-
-    def ids(self, text: str) -> bytes:
-        if text.isascii() and "<|" not in text:
-            text = text.lower()
-        words = text.replace("\n", " ").split(" ")
+        self._older: dict[str, bytes] = {}
+
+    @staticmethod
+    def spaced(text: str) -> str:
+        """The text with its words apart at single spaces, where that changes no id."""
+        if "<|" not in text:
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                pass
+            else:
+                text = _EDGE.sub(" ", text.lower())
+        return text.replace("\n", " ")
+
+    def _learn(self, words: list[str]) -> None:
+        """Add the ids of ``words``, from the older half if they are there."""
+        older, new, parse = self._older, [], self._tokenizer.model.tokenize
+        gc.disable()  # none of the many small objects made here is part of a cycle
+        for word in words:
+            found = older.get(word)
+            if found is not None:
+                self._known[word] = found
+            elif _PLAIN(word):
+                spelled = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
+                self._known[word] = struct.pack(f"<{len(found := [t.id for t in parse(spelled)])}I", *found)
+            else:
+                new.append(word)
+        gc.enable()
+        if not new:
+            return
+        found = self._tokenizer.encode(" ".join(new), add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        first = np.fromiter((start for start, _ in found.offsets), np.int64, len(ids))
+        after = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)) + 1)
+        stops = np.searchsorted(first, after).tolist()
+        raw, at = ids.tobytes(), 0
+        for word, stop in zip(new, stops, strict=True):
+            self._known[word] = raw[4 * at:4 * stop]
+            at = stop
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; at the bound the half of the words that was not used for longest is forgotten."""
+        split = pc.split_pattern(pa.array(map(self.spaced, texts), pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        if len(self._known) + len(words) > REMEMBERED // 2:
+            self._older, self._known = self._known, {}
         known = self._known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = [w for w in set(words) if w not in known]
-        for word, found in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[word] = np.array(found.ids, "<u4").tobytes()
-        return b"".join([known[w] for w in words])
+        self._learn([w for w in words if w not in known])
+        found = [known[w] for w in words]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        counts = sizes[codes]
+        after = np.concatenate([[0], np.cumsum(counts)])
+        ids = ids[np.repeat(first[codes] - after[:-1], counts) + np.arange(after[-1])]
+        bounds = after[split.offsets.to_numpy()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+
+
+@functools.cache
+def _words(path: str) -> Words:
+    """One table of words per worker, kept over its tasks."""
+    return Words(path)
+
+
+def _together(texts: list[str]) -> Iterator[slice]:
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= TOGETHER:
+            yield slice(start, i + 1)
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
 
 
 class Packer:
@@ -92,7 +166,7 @@ class Packer:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    words, packer = Words(path), Packer()
+    words, packer = _words(path), Packer()
     following = TaskContext.get().partitionId() << 40
     ending = np.array([END_OF_DOCUMENT], "<u4").tobytes()
     kept: dict[int, bytes] = {}  # ids of the pieces in open sequences, to cut them anew at the end
@@ -116,8 +190,10 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBat
     number, kind = 0, pa.int64()
     for batch in batches:
         rows, kind = [], batch.schema.field("doc_id").type
-        for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            ids = words.ids(text) + ending
+        docs, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
+        found = (x for part in _together(texts) for x in words.ids(texts[part]))
+        for doc, ids in zip(docs, found, strict=True):
+            ids += ending
             tokens = len(ids) // 4
             for start in range(0, tokens, LENGTH):
                 piece = ids[4 * start:4 * (start + LENGTH)]
