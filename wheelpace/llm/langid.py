@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import functools
 import math
-import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,12 +25,12 @@ from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
 #: Bound of the fitting sample, per language: distinct texts, and characters taken of each from its middle.
-SAMPLE_TEXTS, SAMPLE_CHARS = 300, 200
+SAMPLE_TEXTS, SAMPLE_CHARS = 200, 200
 #: Characters with a transition of their own, the most frequent of the sample; the rest share one without any.
 ALPHABET = 128
 STRETCH = 512
-#: Stretches parsed at once.
-LANES = 16_384
+#: Stretches parsed at once, and characters of texts normalised at once.
+LANES, TOGETHER = 8192, 2_000_000
 
 
 @dataclass(frozen=True)
@@ -138,12 +137,11 @@ def build(samples: dict[str, list[str]]) -> Model:
 
 
 def phrases(model: Model, texts: list[np.ndarray]) -> np.ndarray:
-    """(text, language): number of phrases of each normalised text."""
+    """(text, language): number of phrases of each text, given as classes of its characters."""
     total = np.zeros((len(texts), len(model.languages)), np.int64)
     flat, width = model.steps.ravel(), model.steps.shape[1]
     owner, pieces = [], []
-    for i, points in enumerate(texts):
-        codes = model.classes[points]
+    for i, codes in enumerate(texts):
         for at in range(0, len(codes), STRETCH):
             owner.append(i)
             pieces.append(codes[at:at + STRETCH])
@@ -168,14 +166,29 @@ def phrases(model: Model, texts: list[np.ndarray]) -> np.ndarray:
 
 def predict(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score and bits per character of the winner."""
-    found = [normalised(t) for t in texts]
-    points, letters = [p for p, _ in found], np.array([n for _, n in found], np.int64)
-    sizes = np.array([max(1, len(p)) for p in points])
+    lang, score, bits = [], [np.zeros(0)], [np.zeros(0)]
+    waiting, size = [], 0
+    for i, text in enumerate(texts, 1):
+        waiting.append(text)
+        size += len(text)
+        if size >= TOGETHER or i == len(texts):
+            found = _predict(model, waiting)
+            lang += found[0]
+            score.append(found[1])
+            bits.append(found[2])
+            waiting, size = [], 0
+    return lang, np.concatenate(score), np.concatenate(bits)
+
+
+def _predict(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     if not model.languages:
         return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
-    if not texts:
-        return [], np.zeros(0), np.zeros(0)
-    cost = phrases(model, points) * model.bits / sizes[:, None]
+    codes, letters = [], np.zeros(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        points, letters[i] = normalised(text)
+        codes.append(model.classes[points])
+    sizes = np.array([max(1, len(c)) for c in codes])
+    cost = phrases(model, codes) * model.bits / sizes[:, None]
     best = cost.argmin(axis=1)
     ranked = np.sort(cost, axis=1)
     runner = ranked[:, 1] if cost.shape[1] > 1 else 2 * ranked[:, 0]
@@ -214,13 +227,12 @@ def fit(labelled: DataFrame) -> Model:
 
 def _parser(docs: DataFrame, model: Model):
     """A column function: text to struct (lang_pred, score, bits_per_char)."""
-    sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, bits_per_char double")
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = pickle.loads(sent.value)
         for texts in batches:
-            lang, score, bits = predict(known, texts.tolist())
+            lang, score, bits = predict(sent.value, texts.tolist())
             yield pd.DataFrame({"lang_pred": lang, "score": score, "bits_per_char": bits})
 
     return parse(F.coalesce(docs["text"].cast("string"), F.lit("")))
