@@ -40,7 +40,7 @@ def main() -> None:
 
     def reports() -> None:
         """All profile, statistics and chart tables of the cleaned table, from one set of facts."""
-        facts = Facts(done.trips, DEFAULT, done.rows).settled()
+        facts = Facts(done.trips, DEFAULT).settled()
         for tables in (runs.profile(facts), runs.analyze(facts), runs.chart_tables(facts)):
             for table in tables.values():
                 if hasattr(table, "collect"):

@@ -13,7 +13,7 @@ QUICK = replace(DEFAULT, max_rounds=5)
 
 @pytest.fixture(scope="module")
 def marked(prepared):
-    rows, threshold = model.create_target(prepared.trips, DEFAULT, prepared.rows)
+    rows, threshold = model.create_target(prepared.trips, DEFAULT)
     return add_model_features(rows), threshold
 
 
@@ -58,7 +58,7 @@ def test_fitted_codes_and_unseen_categories(marked, monkeypatch):
     train, test = model.split(rows)
     for limit in (model._LITERAL_CODES, 0):
         monkeypatch.setattr(model, "_LITERAL_CODES", limit)
-        fitted = model.fit(train, threshold, replace(DEFAULT, max_rounds=1), 10_000)
+        fitted = model.fit(train, threshold, replace(DEFAULT, max_rounds=1))
         routes = sorted({r[ROUTE] for r in train.select(ROUTE).distinct().collect()})
         scored = fitted.pipeline.transform(test)
         for r in scored.select(ROUTE, f"x_{ROUTE}", "pickup_hour", "x_pickup_hour").collect():
@@ -70,7 +70,7 @@ def test_fitted_codes_and_unseen_categories(marked, monkeypatch):
 def test_too_many_categories_raise(marked, monkeypatch):
     monkeypatch.setattr(model, "MAX_CATEGORIES", 10)
     with pytest.raises(ValueError, match="more than 10 categories"):
-        model.fit(marked[0], marked[1], QUICK, 10_000)
+        model.fit(marked[0], marked[1], QUICK)
 
 
 def confused(spark, tn, fp, fn, tp):
@@ -109,7 +109,7 @@ def test_weights_are_balanced(marked):
 
 
 def test_train_save_and_reload(prepared, tmp_path):
-    fitted, metrics, report = model.train_and_evaluate(prepared.trips, QUICK, prepared.rows, str(tmp_path))
+    fitted, metrics, report = model.train_and_evaluate(prepared.trips, QUICK, str(tmp_path))
     row = metrics.first()
     assert row["train_rows"] + row["test_rows"] == prepared.rows
     assert row["accuracy"] > 0.75 and row["recall"] > 0.5
@@ -120,8 +120,8 @@ def test_train_save_and_reload(prepared, tmp_path):
 def test_changed_predictions_raise(marked, tmp_path):
     rows, threshold = marked
     train, test = model.split(rows)
-    a = model.fit(train, threshold, QUICK, 10_000)
-    b = model.fit(train.withColumn(SLOW, 1 - F.col(SLOW)), threshold, QUICK, 10_000)
+    a = model.fit(train, threshold, QUICK)
+    b = model.fit(train.withColumn(SLOW, 1 - F.col(SLOW)), threshold, QUICK)
     path = model.save_model(b, str(tmp_path / "m"))
     with pytest.raises(ValueError, match="predictions changed"):
         model.verify_saved_model(a, path, test)
@@ -134,3 +134,12 @@ def test_whole_run(raw, tmp_path, spark):
     for path in done["paths"].values():
         assert (tmp_path / path).exists()
     assert spark.read.json(done["paths"]["metrics"]).first()["train_rows"] > 0
+
+
+def test_numbers_that_are_null_in_all_training_rows_and_odd_text_are_encoded(spark, marked):
+    rows, threshold = marked
+    odd = rows.withColumn("tip_amount", F.lit(None).cast("double"))
+    fitted = model.fit(odd.limit(300), threshold, replace(DEFAULT, max_rounds=1))
+    assert fitted.predict(odd.limit(10)).count() == 10
+    for text in ("a\\tb", "ends with \\", "it's", "\\'"):
+        assert spark.sql(f"select {model._sql(text)} as t").first()["t"] == text

@@ -87,12 +87,13 @@ def test_month_filter_is_a_pushed_range(spark, source_path):
     assert "GreaterThanOrEqual(tpep_pickup_datetime" in plan and "LessThan(tpep_pickup_datetime" in plan
 
 
-def test_stray_months_are_at_most_twenty(trips):
+def test_report_lists_twenty_stray_months_and_the_table_all(trips):
     df = trips(*({"tpep_pickup_datetime": f"{y}-05-10 08:00:00"} for y in range(1990, 2020)), {})
     df = df.unionByName(trips({}))
     _, info = quality.filter_target_month(df)
     assert info["target_period"] == "2026-05" and len(info["stray_periods"]) == 20
     assert info["stray_periods"][0] == "1990-05"
+    assert quality.stray_months(df, DEFAULT.pickup).count() == 30
 
 
 def test_duplicates(raw):

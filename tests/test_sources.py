@@ -1,8 +1,11 @@
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from wheelpace.config import DEFAULT
+from wheelpace.config import DEFAULT, SPEED
+from wheelpace.plans import runs
 from wheelpace.sources.sinks import save_cleaned, save_csv, save_json
 from wheelpace.sources.trips import (
     columns_to_read, nan_to_null, null_counts, read_cleaned, read_schema, read_trips, reconcile,
@@ -104,3 +107,21 @@ def test_csv_and_json_sinks(spark, tmp_path):
     assert sorted(spark.read.csv(paths["t"], header=True, schema=table.schema).collect()) == sorted(table.collect())
     path = save_json(spark.createDataFrame([{"p": 0.25, "ok": True}]), str(tmp_path / "j"))
     assert spark.read.json(path).first().asDict() == {"p": 0.25, "ok": True}
+
+
+def test_columns_that_only_one_file_holds_are_kept(spark, raw, tmp_path):
+    raw.write.parquet(f"{tmp_path}/trips")
+    raw.withColumn("cbd_congestion_fee", F.lit(0.75)).write.mode("append").parquet(f"{tmp_path}/trips")
+    both = runs.prepare_file(spark, f"{tmp_path}/trips", path=f"{tmp_path}/clean")
+    one = runs.prepare(raw)
+    assert both.rows == 2 * one.rows and both.trips.where("cbd_congestion_fee is null").count() == one.rows
+    assert sorted(os.listdir(tmp_path)) == ["clean", "trips"]
+    assert runs.facts_from(spark, f"{tmp_path}/clean").trips.count() == both.rows
+
+
+def test_a_cleaned_table_is_checked(spark, prepared):
+    for bad, message in ((prepared.trips.union(prepared.trips), "duplicates"),
+                         (prepared.trips.withColumn(SPEED, F.lit(None).cast("double")), "nulls"),
+                         (prepared.trips.drop(SPEED), "missing")):
+        with pytest.raises(ValueError, match=message):
+            runs.check_cleaned(bad)

@@ -20,7 +20,7 @@ def pdf(prepared):
 
 @pytest.fixture(scope="module")
 def facts(prepared):
-    return Facts(prepared.trips, DEFAULT, prepared.rows).settled()
+    return Facts(prepared.trips, DEFAULT).settled()
 
 
 def cells(spark, *rows):
@@ -30,7 +30,7 @@ def cells(spark, *rows):
 
 
 def speeds(trips):
-    return Facts(trips, groupings={HOUR: [SPEED], RUSH: [SPEED]}, row_bound=1000)
+    return Facts(trips, groupings={HOUR: [SPEED], RUSH: [SPEED]})
 
 
 def test_profile_has_all_parts(facts):
@@ -44,10 +44,10 @@ def test_profile_has_all_parts(facts):
 def test_unexpected_nulls_and_duplicates_raise(spark, prepared):
     broken = prepared.trips.withColumn(SPEED, F.when(F.col("PULocationID") % 2 == 0, F.col(SPEED)))
     with pytest.raises(ValueError, match="does not expect"):
-        runs.check_profile(runs.profile(Facts(broken, row_bound=10_000)))
+        runs.check_profile(runs.profile(Facts(broken)))
     doubled = prepared.trips.unionByName(prepared.trips.limit(3))
     with pytest.raises(ValueError, match="3 duplicates"):
-        runs.check_profile(runs.profile(Facts(doubled, row_bound=10_000)))
+        runs.check_profile(runs.profile(Facts(doubled)))
     with pytest.raises(ValueError, match="derived columns"):
         runs.check_contract(prepared.trips.drop(SPEED))
 

@@ -274,7 +274,7 @@ def _oracles() -> dict[str, str]:
         "dominant_month_rows": _clean("SELECT tpep_pickup_datetime, PULocationID, DOLocationID FROM in_month"),
         "stray_months": _clean(
             "SELECT strftime(tpep_pickup_datetime, '%Y-%m') AS month, count(*) AS n FROM timed, target "
-            "WHERE date_trunc('month', tpep_pickup_datetime) <> target.month GROUP BY 1 ORDER BY 1 LIMIT 20"),
+            "WHERE date_trunc('month', tpep_pickup_datetime) <> target.month GROUP BY 1 ORDER BY 1"),
         "outlier_funnel": _clean(f", funnel AS (SELECT {_FUNNEL} FROM in_month) {_funnel_steps(0)}"),
         "plausible_trips": _timed(
             "SELECT tpep_pickup_datetime, round(fare_amount, 6) AS fare_amount, round(trip_distance, 6) AS trip_distance, "
@@ -423,7 +423,7 @@ SELECT *, rows_before - rows_after AS rows_removed,
             "strftime(o_orderdate, '%Y-%m') AS m FROM orders GROUP BY 1 ORDER BY count(*) DESC, m LIMIT 1)",
         "orders_other_months":
             "WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders GROUP BY 1) "
-            "SELECT * FROM m WHERE month <> (SELECT month FROM m ORDER BY n DESC, month LIMIT 1) ORDER BY month LIMIT 20",
+            "SELECT * FROM m WHERE month <> (SELECT month FROM m ORDER BY n DESC, month LIMIT 1) ORDER BY month",
         "lineitem_duplicates":
             "SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(n - 1) AS BIGINT) AS n_duplicates FROM "
             "(SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey, l_suppkey)",

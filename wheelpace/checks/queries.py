@@ -45,13 +45,13 @@ def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _facts(spark: SparkSession, sf_dir: str, **groupings: list[str]) -> facts.Facts:
     done = cleaned(spark, sf_dir)
-    return facts.Facts(done.trips, DEFAULT, done.rows, groupings or None)
+    return facts.Facts(done.trips, DEFAULT, groupings or None)
 
 
 def _featured(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned trips with target and model features."""
     done = cleaned(spark, sf_dir)
-    marked, _ = model.create_target(done.trips, DEFAULT, done.rows)
+    marked, _ = model.create_target(done.trips, DEFAULT)
     return features.add_model_features(marked)
 
 
@@ -294,13 +294,13 @@ def speed_by_rush(spark, sf_dir):
 @query
 def group_speed_rush(spark, sf_dir):
     done = cleaned(spark, sf_dir)
-    return stats.compare_group_speed(done.trips, RUSH, row_bound=done.rows)
+    return stats.compare_group_speed(done.trips, RUSH)
 
 
 @query
 def group_speed_weekend(spark, sf_dir):
     done = cleaned(spark, sf_dir)
-    return stats.compare_group_speed(done.trips, WEEKEND, row_bound=done.rows)
+    return stats.compare_group_speed(done.trips, WEEKEND)
 
 
 @query
@@ -347,7 +347,7 @@ def extreme_hours(spark, sf_dir):
 @query
 def speed_median(spark, sf_dir):
     done = cleaned(spark, sf_dir)
-    found = summarize(done.trips, {"all": [SPEED]}, (0.5,), done.rows)
+    found = summarize(done.trips, {"all": [SPEED]}, (0.5,))
     return found.select(features.rounded(F.col("p50"), 3).alias("speed_median"))
 
 
@@ -375,7 +375,7 @@ def rush_box_plot(spark, sf_dir):
 @query
 def slow_threshold(spark, sf_dir):
     done = cleaned(spark, sf_dir)
-    return _doubles(summarize(done.trips, {"all": [SPEED]}, (0.25,), done.rows).select(
+    return _doubles(summarize(done.trips, {"all": [SPEED]}, (0.25,)).select(
         F.col("p25").alias("threshold")))
 
 
@@ -407,7 +407,7 @@ def heat_finding(spark, sf_dir):
 @query
 def slow_trip_target(spark, sf_dir):
     done = cleaned(spark, sf_dir)
-    marked, _ = model.create_target(done.trips, DEFAULT, done.rows)
+    marked, _ = model.create_target(done.trips, DEFAULT)
     return _doubles(marked.select("tpep_pickup_datetime", "PULocationID", SPEED, SLOW))
 
 
@@ -434,7 +434,7 @@ def split_check(spark, sf_dir):
 @query
 def median_fills(spark, sf_dir):
     done = cleaned(spark, sf_dir)
-    return model.medians(done.trips, ("passenger_count", "trip_distance", "tip_amount"), done.rows).select(
+    return model.medians(done.trips, ("passenger_count", "trip_distance", "tip_amount")).select(
         "column", features.rounded(F.col("fill"), 6).alias("fill"))
 
 
@@ -470,7 +470,7 @@ def _fitted(spark, sf_dir):
     done = cleaned(spark, sf_dir)
     folder = fresh_path(spark, "model")
     return once_per_session(
-        spark, f"model {sf_dir}", lambda: (*model.train_and_evaluate(done.trips, DEFAULT, done.rows, folder), folder))
+        spark, f"model {sf_dir}", lambda: (*model.train_and_evaluate(done.trips, DEFAULT, folder), folder))
 
 
 @query

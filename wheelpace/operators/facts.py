@@ -28,13 +28,11 @@ CUBE_KEYS = (WEEKDAY, HOUR, WEEKEND, RUSH)
 class Facts:
     """The small tables of a cleaned table, each described when it is first asked for.
 
-    ``row_bound`` is a number of rows that ``trips`` is known not to exceed; without it the histogram of
-    the summary is computed as soon as the summary is asked for.
+    The histogram of the summary is computed as soon as the summary is asked for.
     """
 
     trips: DataFrame
     cfg: TripConfig = DEFAULT
-    row_bound: int | None = None
     groupings: dict[str, list[str]] | None = None
 
     @cached_property
@@ -45,7 +43,7 @@ class Facts:
     @cached_property
     def summary(self) -> DataFrame:
         """Moments and quantiles per group and metric, see ``summarize``."""
-        return summarize(self.trips, self._groupings(), row_bound=self.row_bound)
+        return summarize(self.trips, self._groupings())
 
     @cached_property
     def pairs(self) -> DataFrame:

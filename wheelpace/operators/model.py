@@ -27,12 +27,11 @@ MAX_CATEGORIES = 2_000_000
 
 # --- target and split -----------------------------------------------------------------------------
 
-def create_target(trips: DataFrame, cfg: TripConfig = DEFAULT,
-                  row_bound: int | None = None) -> tuple[DataFrame, float]:
+def create_target(trips: DataFrame, cfg: TripConfig = DEFAULT) -> tuple[DataFrame, float]:
     """Mark the slowest quarter of all trips; the threshold is taken before any split."""
     if SPEED not in trips.columns:
         raise ValueError(f"column {SPEED} is missing")
-    threshold = quantile_value(trips, SPEED, cfg.slow_quantile, row_bound)
+    threshold = quantile_value(trips, SPEED, cfg.slow_quantile)
     return with_target(trips, threshold), threshold
 
 
@@ -62,9 +61,9 @@ def split(trips: DataFrame, cfg: TripConfig = DEFAULT) -> tuple[DataFrame, DataF
 
 # --- imputation and codes -------------------------------------------------------------------------
 
-def medians(train: DataFrame, columns: tuple[str, ...], row_bound: int | None = None) -> DataFrame:
+def medians(train: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """(column, fill): median of each numeric column."""
-    found = summarize(train, {"all": list(columns)}, (0.5,), row_bound)
+    found = summarize(train, {"all": list(columns)}, (0.5,))
     return found.select(F.col("metric").alias("column"), F.col(quantile_name(0.5)).alias("fill"))
 
 
@@ -125,7 +124,7 @@ def apply(pipeline: PipelineModel, rows: DataFrame) -> DataFrame:
     return scored.select(*rows.columns, F.col("prediction").cast("int").alias("prediction"))
 
 
-def fit(train: DataFrame, threshold: float, cfg: TripConfig = DEFAULT, row_bound: int | None = None) -> SlowTripModel:
+def fit(train: DataFrame, threshold: float, cfg: TripConfig = DEFAULT) -> SlowTripModel:
     """Fit imputation, codes and boosted trees on training rows with a target."""
     spark = train.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
@@ -133,7 +132,7 @@ def fit(train: DataFrame, threshold: float, cfg: TripConfig = DEFAULT, row_bound
 
     features = (*cfg.numeric_features, *cfg.categorical_features)
     # Both results have one row per column or category; they become literals of the pipeline.
-    fills = {r["column"]: r["fill"] for r in medians(train, cfg.numeric_features, row_bound).collect()}
+    fills = {r["column"]: r["fill"] for r in medians(train, cfg.numeric_features).collect()}
     counts = settle(category_counts(train, cfg.categorical_features), "categories")
     if counts.count() > MAX_CATEGORIES:
         raise ValueError(f"more than {MAX_CATEGORIES} categories: choose other categorical features")
@@ -163,7 +162,7 @@ def _pipeline(train: DataFrame, features, fills: dict, categories: dict[str, lis
     """Fitted stages from trip columns to the feature vector. Unseen categories get the code -1."""
     stages, exprs = [], []
     for c in cfg.numeric_features:
-        exprs.append(f"coalesce(cast(`{c}` as double), {_sql(fills.get(c, 0.0))}) as x_{c}")
+        exprs.append(f"coalesce(cast(`{c}` as double), {_sql(0.0 if fills.get(c) is None else fills[c])}) as x_{c}")
     indexed = [c for c in cfg.categorical_features if len(categories[c]) > _LITERAL_CODES]
     for c in cfg.categorical_features:
         filled = f"coalesce(cast(`{c}` as string), {_sql(fills.get(c, ''))})"
@@ -186,7 +185,9 @@ def _pipeline(train: DataFrame, features, fills: dict, categories: dict[str, lis
 
 
 def _sql(value) -> str:
-    return f"cast({value!r} as double)" if isinstance(value, float) else "'" + str(value).replace("'", "\\'") + "'"
+    if isinstance(value, float):
+        return f"cast({value!r} as double)"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 # --- metrics --------------------------------------------------------------------------------------
@@ -256,15 +257,15 @@ def verify_saved_model(model: SlowTripModel, path: str, rows: DataFrame) -> dict
 
 # --- whole run ------------------------------------------------------------------------------------
 
-def train_and_evaluate(trips: DataFrame, cfg: TripConfig = DEFAULT, row_bound: int | None = None,
+def train_and_evaluate(trips: DataFrame, cfg: TripConfig = DEFAULT,
                        folder: str | None = None) -> tuple[SlowTripModel, DataFrame, DataFrame]:
     """Target, features, split, fit and evaluation; returns the model, its metrics and its report.
 
     With ``folder`` the model is saved there, reloaded and checked on all test rows.
     """
-    marked, threshold = create_target(trips, cfg, row_bound)
+    marked, threshold = create_target(trips, cfg)
     train, test = split(add_model_features(marked, cfg), cfg)
-    model = fit(train, threshold, cfg, row_bound)
+    model = fit(train, threshold, cfg)
     if folder:
         verify_saved_model(model, save_model(model, f"{folder.rstrip('/')}/model"), test)
     confused = confusion(model.predict(test))

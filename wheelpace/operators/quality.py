@@ -93,10 +93,10 @@ def dominant_month(df: DataFrame, column: str) -> DataFrame:
 
 
 def stray_months(df: DataFrame, column: str) -> DataFrame:
-    """All months but the dominant one, ascending, the first 20: a report of bounded length."""
+    """All months but the dominant one, ascending. The text of a report lists the first 20 only."""
     counts = month_counts(df, column)
     strays = counts.join(F.broadcast(dominant_month(df, column).select("month")), "month", "left_anti")
-    return strays.select(month_label(F.col("month")).alias("month"), "n").orderBy("month").limit(STRAY_MONTHS_SHOWN)
+    return strays.select(month_label(F.col("month")).alias("month"), "n").orderBy("month")
 
 
 def in_month(column: str, month) -> Column:
@@ -230,12 +230,21 @@ def drop_exact_duplicates(df: DataFrame, cfg: TripConfig = DEFAULT) -> DataFrame
 
 
 def duplicate_count(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(n_rows, n_duplicates): rows, and rows beyond the first of each combination."""
-    groups = df.groupBy(*(columns or df.columns)).agg(F.count("*").alias("n"))
-    return groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicates"),
-    )
+    """(n_rows, n_duplicates): rows, and rows beyond the first of each combination.
+
+    Hashes are counted first; only rows that share one are compared by all columns. Where nothing is
+    repeated, nothing but hashes is shuffled.
+    """
+    columns, mark = columns or df.columns, "row_hash"
+    while mark in columns:
+        mark = f"_{mark}"
+    hashed = df.select(*columns, F.xxhash64(*columns).alias(mark))
+    counts = hashed.groupBy(mark).agg(F.count("*").alias("n"))
+    shared = hashed.join(counts.where("n > 1").select(mark), mark, "left_semi")
+    copies = shared.groupBy(*columns).agg(F.count("*").alias("n")).agg(
+        F.lit(0).alias("n"), F.sum(F.col("n") - 1).alias("more"))
+    return counts.agg(F.sum("n").alias("n"), F.lit(0).alias("more")).union(copies).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum("more"), F.lit(0)).alias("n_duplicates"))
 
 
 def drop_duplicates(df: DataFrame, cfg: TripConfig = DEFAULT) -> tuple[DataFrame, dict[str, object]]:

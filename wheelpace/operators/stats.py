@@ -118,10 +118,10 @@ def welch(cube: DataFrame, flag: str = RUSH) -> DataFrame:
 
 # --- the same tables straight from a cleaned table -------------------------------------------------
 
-def compute_descriptive_stats(trips: DataFrame, cfg: TripConfig = DEFAULT, row_bound: int | None = None,
+def compute_descriptive_stats(trips: DataFrame, cfg: TripConfig = DEFAULT,
                               columns: list[str] | None = None, digits: int = DIGITS) -> DataFrame:
     columns = columns or [c for c in cfg.numeric if c in trips.columns]
-    return describe(Facts(trips, cfg, row_bound, {"all": columns}), digits)
+    return describe(Facts(trips, cfg, {"all": columns}), digits)
 
 
 def compute_correlation_matrix(trips: DataFrame, cfg: TripConfig = DEFAULT,
@@ -131,9 +131,9 @@ def compute_correlation_matrix(trips: DataFrame, cfg: TripConfig = DEFAULT,
 
 
 def compare_group_speed(trips: DataFrame, group_col: str, value: str = SPEED,
-                        row_bound: int | None = None, digits: int = DIGITS) -> DataFrame:
+                        digits: int = DIGITS) -> DataFrame:
     """n, mean, std, median, min and max of ``value`` by any column."""
-    summary = summarize(trips, {group_col: [value]}, row_bound=row_bound)
+    summary = summarize(trips, {group_col: [value]})
     return group_speed(summary, group_col, trips.schema[group_col].dataType, value, digits)
 
 

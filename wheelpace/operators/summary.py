@@ -1,8 +1,7 @@
 """Exact group summaries with quantiles, without gathering a large group in one task.
 
-Spark's ``percentile`` keeps every distinct value of a group in the memory of one task, so it is only
-used when the caller knows that the table has few rows. Otherwise the first scan counts values per
-coarse bucket, together with the moments; from that small histogram the buckets that hold the wanted
+Spark's ``percentile`` keeps every distinct value of a group in the memory of one task, so it is not
+used, whatever the number of rows. The first scan counts values per coarse bucket, together with the moments; from that small histogram the buckets that hold the wanted
 ranks are known. The second scan only looks at the values in them; a bucket with many rows is split
 once more. Whatever the data, one task sorts at most the buckets of a group or the values of one
 bucket, both bounded by the number format (see ``functions.buckets``).
@@ -20,8 +19,6 @@ from wheelpace.functions.buckets import bucket
 from wheelpace.functions.features import number
 from wheelpace.session import settle
 
-# Tables of up to this many rows are summarised by one plain aggregation.
-FEW_ROWS = 2_000_000
 QUARTILES = (0.25, 0.5, 0.75)
 COARSE_BITS, FINE_BITS = 12, 32
 # Rows of the table of wanted buckets that may be broadcast; each takes about 100 bytes.
@@ -80,20 +77,14 @@ def _number_rows(counts: DataFrame, keys: list[str], order: str, offset: Column)
 
 def summarize(
     df: DataFrame, groupings: dict[str, list[str]], probs: tuple[float, ...] = QUARTILES,
-    row_bound: int | None = None,
 ) -> DataFrame:
     """Rows, count, mean, standard deviation, extremes and exact quantiles per group and metric.
 
     Result columns: grouping, level (text), metric, n_rows (with nulls), n (without), mean, std, min,
-    max and one column per quantile, interpolated linearly. ``row_bound`` is a number of rows that
-    ``df`` is known not to exceed; without it the table counts as large and its histogram is computed
-    at once.
+    max and one column per quantile, interpolated linearly. The histogram is computed at once.
     """
     rows = melt(df, groupings)
-    if row_bound is not None and row_bound <= FEW_ROWS:
-        result = _aggregate(rows, probs)
-    else:
-        result = _refine(rows, probs)
+    result = _refine(rows, probs)
     names = F.array(*(F.struct(F.lit(k).alias("grouping"), F.lit(m).alias("metric")) for k, m in _parts(groupings)))
     part = names[F.col("part")]
     return result.select(
@@ -101,14 +92,6 @@ def summarize(
         *_STATS, *(quantile_name(p) for p in probs))
 
 
-def _aggregate(rows: DataFrame, probs: tuple[float, ...]) -> DataFrame:
-    found = rows.groupBy(*_KEYS).agg(
-        F.count("*").alias("n_rows"), F.count("v").alias("n"), F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"),
-        F.percentile("v", F.array(*map(F.lit, probs))).alias("q"))
-    return found.select("*", *(F.col("q")[i].alias(quantile_name(p)) for i, p in enumerate(probs)))
-
-
 def _refine(rows: DataFrame, probs: tuple[float, ...], sort_rows: int = SORT_ROWS,
             broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     rows = rows.withColumn("coarse", F.coalesce(bucket(F.col("v"), COARSE_BITS), F.lit(_NULLS)))
@@ -148,7 +131,8 @@ def _refine(rows: DataFrame, probs: tuple[float, ...], sort_rows: int = SORT_ROW
     def quantile(p: float) -> Column:
         low, high = (value_at(rank) for rank in _ranks(p))
         share = (F.first("n") - 1) * F.lit(p) % 1
-        return F.when(share == 0, low).otherwise(low * (1 - share) + high * share).alias(quantile_name(p))
+        # Between equal values nothing is computed, so that a tie is met exactly.
+        return F.when((share == 0) | (low == high), low).otherwise(low + (high - low) * share).alias(quantile_name(p))
 
     return ranked.groupBy(*_KEYS).agg(
         *(F.first(name).alias(name) for name in _STATS), *(quantile(p) for p in probs))
@@ -189,9 +173,9 @@ def levels(summary: DataFrame, key: str, key_type, metric: str) -> DataFrame:
     return rows.withColumn(key, F.col("level").cast(key_type)).drop("grouping", "level", "metric")
 
 
-def quantile_value(df: DataFrame, column: str, p: float, row_bound: int | None = None) -> float | None:
+def quantile_value(df: DataFrame, column: str, p: float) -> float | None:
     """One exact quantile of a column as a number, None when it has no values."""
-    row = summarize(df, {"all": [column]}, (p,), row_bound).first()
+    row = summarize(df, {"all": [column]}, (p,)).first()
     return row[quantile_name(p)] if row else None
 
 

@@ -13,8 +13,8 @@ from wheelpace.functions.features import rounded
 from wheelpace.operators import charts, model, quality, stats
 from wheelpace.operators.facts import Facts
 from wheelpace.session import fresh_path
-from wheelpace.sources.sinks import save_cleaned, save_csv, save_json
-from wheelpace.sources.trips import nan_to_null, scan_trips
+from wheelpace.sources.sinks import remove, replace, save_cleaned, save_csv, save_json
+from wheelpace.sources.trips import nan_to_null, read_cleaned, scan_trips
 
 
 @dataclass(frozen=True)
@@ -37,14 +37,23 @@ def prepare(raw: DataFrame, cfg: TripConfig = DEFAULT, path: str | None = None)
     """Nulls, features, month, outliers, duplicates; written once, verified and read back.
 
     Two scans of the raw table and one shuffle. Without ``path`` the table goes to the shared folder
-    of the session, so consumers never repeat the cleaning.
+    of the session, so consumers never repeat the cleaning. A table that fails its checks is deleted
+    and raises an error; what was at ``path`` before is replaced only after they passed.
     """
     started = time.perf_counter()
     plan, audit = cleaned_plan(raw, cfg)
     spark = raw.sparkSession
-    saved = save_cleaned(plan, path or fresh_path(spark, "cleaned"))
+    staged = f"{path.rstrip('/')}-unchecked" if path else fresh_path(spark, "cleaned")
+    saved = save_cleaned(plan, staged)
+    try:
+        check_cleaned(spark.read.schema(plan.schema).parquet(staged), cfg)
+    except ValueError:
+        remove(spark, staged)
+        raise
+    if path:
+        replace(spark, staged, path)
+        saved["path"] = path
     trips = spark.read.schema(plan.schema).parquet(saved["path"])
-    check_contract(trips)
 
     before, rows, original = audit["outliers"]["rows_after"], saved["rows"], audit["missing"]["rows_before"]
     duplicates = {"rows_before": before, "rows_after": rows, "duplicates_removed": before - rows,
@@ -67,6 +76,25 @@ def check_contract(trips: DataFrame) -> None:
         raise ValueError(f"derived columns are missing: {absent}")
 
 
+def check_cleaned(trips: DataFrame, cfg: TripConfig = DEFAULT) -> None:
+    """Errors of a cleaned table: missing derived columns, nulls that the policy does not expect, duplicates."""
+    check_contract(trips)
+    strict = [c for c in dict.fromkeys((*cfg.numeric, SPEED)) if c in trips.columns and c not in cfg.nullable]
+    nulls = trips.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in strict)).first().asDict()
+    if odd := {c: n for c, n in nulls.items() if n}:
+        raise ValueError(f"nulls that the policy does not expect: {odd}")
+    left = quality.duplicate_count(trips, quality.raw_columns(trips, cfg)).first()["n_duplicates"]
+    if left:
+        raise ValueError(f"{left} duplicates are left in the cleaned table")
+
+
+def facts_from(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT) -> Facts:
+    """The facts of a stored cleaned table, for stages that start from it."""
+    trips = read_cleaned(spark, path)
+    check_contract(trips)
+    return Facts(trips, cfg)
+
+
 def funnel_table(spark: SparkSession, info: dict[str, object]) -> DataFrame:
     """(position, stage, rows_before, rows_after, rows_removed, removed_ratio) of a preparation."""
     stages = [("missing", info["missing"]), ("month", info["month"]),
@@ -142,7 +170,7 @@ def run_all(raw: DataFrame, cfg: TripConfig = DEFAULT, folder: str | None = None
     spark = raw.sparkSession
     folder = (folder or fresh_path(spark, "run")).rstrip("/")
     prepared = prepare(raw, cfg, f"{folder}/cleaned")
-    facts = Facts(prepared.trips, cfg, prepared.rows).settled()
+    facts = Facts(prepared.trips, cfg).settled()
     profiled = profile(facts)
     check_profile(profiled)
     figures, statistics = chart_tables(facts), analyze(facts)
@@ -150,7 +178,7 @@ def run_all(raw: DataFrame, cfg: TripConfig = DEFAULT, folder: str | None = None
     tables |= {f"stat_{n}": t for n, t in statistics.items() if n != "ttest"}
     paths = save_csv(tables, f"{folder}/tables")
     paths["ttest"] = save_json(spark.createDataFrame([statistics["ttest"]]), f"{folder}/ttest")
-    fitted, measured, listed = model.train_and_evaluate(prepared.trips, cfg, prepared.rows, folder)
+    fitted, measured, listed = model.train_and_evaluate(prepared.trips, cfg, folder)
     paths["metrics"] = save_json(measured, f"{folder}/metrics")
     return {"info": prepared.info, "profile": profiled, "charts": figures, "statistics": statistics,
             "metrics": measured, "report": listed, "model": fitted, "paths": paths}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,6 +27,25 @@ def save_cleaned(df: DataFrame, path: str) -> dict[str, object]:
     return {"path": path, "rows": rows, "columns": back.columns, "reload_verified": True}
 
 
+def _place(spark: SparkSession, path: str):
+    """A path as the file system of the cluster knows it, and that file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place, files = _place(spark, path)
+    files.delete(place, True)
+
+
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Put the table at ``source`` in the place of ``target``, of the same file system."""
+    remove(spark, target)
+    place, files = _place(spark, source)
+    if not files.rename(place, _place(spark, target)[0]):
+        raise OSError(f"{source} cannot be moved to {target}")
+
+
 def save_csv(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:
     """One CSV folder with a header per result table."""
     paths = {name: f"{folder.rstrip('/')}/{name}" for name in tables}

@@ -32,10 +32,11 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None)).cast(df.schema[c].dataType) for c in floats})
 
 
-def scan_trips(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT, merge_schema: bool = False) -> DataFrame:
+def scan_trips(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT, merge_schema: bool = True) -> DataFrame:
     """The chosen columns of a parquet file or folder as they are stored.
 
-    ``merge_schema`` reads all footers, for folders whose files differ in their optional columns.
+    ``merge_schema`` reads all footers, since the files of a folder may differ in their optional columns: a
+    column that one file lacks would be lost, and with it what tells rows apart.
     """
     reader = spark.read.option("mergeSchema", str(merge_schema).lower())
     source = reader.parquet(path)
@@ -45,7 +46,7 @@ def scan_trips(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT, merge_
     return source.select(*columns_to_read(source.columns, cfg))
 
 
-def read_trips(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT, merge_schema: bool = False) -> DataFrame:
+def read_trips(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT, merge_schema: bool = True) -> DataFrame:
     """The chosen columns, NaN turned into null."""
     return nan_to_null(scan_trips(spark, path, cfg, merge_schema))
 
