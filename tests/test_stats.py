@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wheelpace.config import DEFAULT, HOUR, RUSH, SPEED, WEEKDAY, WEEKEND
 from wheelpace.operators import charts, stats
-from wheelpace.operators.facts import Facts, roll_up, speed_cube
+from wheelpace.operators.facts import Facts, correlations, roll_up, speed_cube
 from wheelpace.plans import runs
 
 COLUMNS = "pickup_dayofweek short, pickup_hour short, is_weekend boolean, is_rush_hour boolean, average_speed_mph double"
@@ -191,3 +191,21 @@ def test_settled_facts_are_small(facts):
     assert facts.cube.count() <= 168
     assert facts.summary.count() <= 7 + 24 + 2 + 2
     assert facts.pairs.count() == 28
+
+
+def test_correlation_adds_rows_up_before_it_forms_pairs(spark):
+    df = spark.range(1000).selectExpr("1e9 + id % 7 as a", "id * 0.5 as b", "if(id % 3 = 0, null, id % 5) as c")
+    plan = correlations(df, ["a", "b", "c"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.rindex("HashAggregate")  # the plan lists the last step first
+    assert plan.count("Generate stack") == plan.count("Generate ")
+    got = {r["pair"]: r["r"] for r in correlations(df, ["a", "b", "c"]).collect()}
+    want = df.withColumn("a", F.col("a") - 1e9).toPandas().astype(float).corr().to_numpy()  # pandas loses digits at 1e9
+    assert {p: pytest.approx(want[p // 3, p % 3], abs=1e-9) for p in (0, 1, 2, 4, 5, 8)} == got
+
+
+def test_many_columns_keep_their_pairs_apart(spark):
+    names = [f"c{i}" for i in range(12)]
+    df = spark.range(50).selectExpr(*(f"double(id % {i + 2}) as {n}" for i, n in enumerate(names)))
+    want = df.toPandas().corr()
+    for r in stats.compute_correlation_matrix(df, columns=names, digits=9).collect():
+        assert r["r"] == pytest.approx(want.loc[r["variable"], r["with_variable"]], abs=1e-8)

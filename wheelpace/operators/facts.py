@@ -18,8 +18,6 @@ from wheelpace.functions.features import number
 from wheelpace.operators.summary import summarize, trip_groupings
 from wheelpace.session import settle
 
-# A pair of columns is numbered first * PAIR_BASE + second.
-PAIR_BASE = 1000
 # The flags follow from weekday and hour, so there are at most 7 x 24 combinations.
 CUBE_KEYS = (WEEKDAY, HOUR, WEEKEND, RUSH)
 
@@ -96,14 +94,32 @@ def roll_up(cube: DataFrame, *keys: str) -> DataFrame:
 def correlations(trips: DataFrame, columns: list[str]) -> DataFrame:
     """(pair, r): Pearson correlation of every pair of columns, each over the rows where both are present.
 
-    The pairs become rows of a narrow stream before they are aggregated; one aggregation with a state
-    per pair would be too large for the JVM to compile. A constant column has no correlation.
+    ``pair`` is first * len(columns) + second. Rows are added up per pattern of present columns, so that a
+    pair needs one product and no condition of its own; the pairs are formed from these few sums. Values are
+    taken relative to the mean of their column, which keeps the digits of large numbers. A column that is
+    constant where the other one is present has no correlation.
     """
-    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    size = len(columns)
+    pairs = list(combinations_with_replacement(range(size), 2))
+    numbers = trips.select(*(number(c).alias(f"v{i}") for i, c in enumerate(columns)))
+    means = numbers.agg(*(F.avg(v).alias(v) for v in numbers.columns)).first()
+    present = [F.col(v).isNotNull().alias(f"has_{v}") for v in numbers.columns]
+    moved = [F.coalesce(F.col(v) - F.lit(means[v]), F.lit(0.0)).alias(v) for v in numbers.columns]
+    sums = [F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(f"p{i}_{j}") for i, j in pairs]
+    for i in range(size):
+        sums += [F.sum(f"v{i}").alias(f"s{i}"), F.min(f"v{i}").alias(f"low{i}"), F.max(f"v{i}").alias(f"high{i}")]
+    patterns = numbers.select(*present, *moved).groupBy(*(f"has_{v}" for v in numbers.columns)).agg(
+        F.count("*").alias("n"), *sums)
+
     fields = [x for i, j in pairs for x in (
-        F.lit(i * PAIR_BASE + j), number(columns[i]), number(columns[j]))]
-    stream = trips.select(F.stack(F.lit(len(pairs)), *fields).alias("pair", "x", "y"))
-    spread = F.stddev_pop("x") * F.stddev_pop("y")
-    return stream.where("x is not null and y is not null").groupBy("pair").agg(
-        F.try_divide(F.covar_pop("x", "y"), spread).alias("r"))
+        F.lit(i * size + j), F.col(f"has_v{i}") & F.col(f"has_v{j}"), F.col(f"p{i}_{j}"),
+        *(F.col(f"{name}{k}") for k in (i, j) for name in ("s", "low", "high")), F.col(f"p{i}_{i}"), F.col(f"p{j}_{j}"))]
+    names = ("pair", "both", "xy", "x", "x_low", "x_high", "y", "y_low", "y_high", "xx", "yy")
+    long = patterns.select("n", F.stack(F.lit(len(pairs)), *fields).alias(*names)).where("both")
+
+    def spread(product: str, a: str, b: str) -> Column:
+        return F.sum(product) - F.sum(a) * F.sum(b) / F.sum("n")
 
+    varied = (F.min("x_low") < F.max("x_high")) & (F.min("y_low") < F.max("y_high"))
+    scale = F.sqrt(spread("xx", "x", "x")) * F.sqrt(spread("yy", "y", "y"))
+    return long.groupBy("pair").agg(F.when(varied, F.try_divide(spread("xy", "x", "y"), scale)).alias("r"))

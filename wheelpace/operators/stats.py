@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wheelpace.config import DEFAULT, HOUR, RUSH, SPEED, WEEKEND, TripConfig
 from wheelpace.functions.features import round_numbers, rounded
 from wheelpace.functions.student_t import two_sided_p
-from wheelpace.operators.facts import PAIR_BASE, Facts, correlations, roll_up, speed_cube
+from wheelpace.operators.facts import Facts, correlations, roll_up, speed_cube
 from wheelpace.operators.summary import levels, summarize
 
 DIGITS = 3
@@ -86,7 +86,7 @@ def correlation_matrix(pairs: DataFrame, columns: list[str], digits: int = DIGIT
     names = F.array(*map(F.lit, columns))
     cell = found.select("found", F.explode(F.sequence(F.lit(0), F.lit(size * size - 1))).alias("cell")).select(
         "found", F.expr(f"int(cell div {size})").alias("i"), (F.col("cell") % size).alias("j"))
-    key = F.least("i", "j") * PAIR_BASE + F.greatest("i", "j")
+    key = F.least("i", "j") * size + F.greatest("i", "j")
     return cell.select(names[F.col("i")].alias("variable"), names[F.col("j")].alias("with_variable"),
                        rounded(F.col("found")[key], digits).alias("r"))
 
