@@ -1,9 +1,10 @@
+import math
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from wheelpace.config import DEFAULT, ROUTE, SLOW, SPEED
+from wheelpace.config import DEFAULT, ROUTE, RUSH, SLOW, SPEED
 from wheelpace.functions.features import add_model_features
 from wheelpace.operators import model
 from wheelpace.plans import runs
@@ -30,17 +31,30 @@ def test_target_needs_speed(prepared):
         model.create_target(prepared.trips.drop(SPEED))
 
 
-def test_split_is_stable_and_complete(marked):
+def test_split_is_stable_complete_and_exact(marked):
     rows, _ = marked
     train, test = model.split(rows)
     again, _ = model.split(rows.repartition(13))
     assert train.exceptAll(again.select(train.columns)).isEmpty()
     assert train.count() + test.count() == rows.count()
-    assert test.count() / rows.count() == pytest.approx(0.2, abs=0.05)
+    counts = {r[SLOW]: r["n"] for r in model.class_shares(rows).collect()}
+    wanted = model.wanted_test_rows(counts, 0.2)
+    assert sum(wanted.values()) == math.ceil(0.2 * rows.count())
+    assert {r[SLOW]: r["n"] for r in model.class_shares(test).collect()} == wanted
     plan = train._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
 
 
+def test_split_of_few_rows(spark):
+    assert model.wanted_test_rows({0: 8, 1: 2}, 0.2) == {0: 2, 1: 0}
+    assert model.wanted_test_rows({0: 1}, 1.0) == {0: 1, 1: 0}
+    assert model.wanted_test_rows({}, 0.2) == {0: 0, 1: 0}
+    rows = spark.createDataFrame([(0, i) for i in range(8)] + [(1, 8), (1, 9)], f"{SLOW} int, VendorID int")
+    train, test = model.split(rows)
+    assert (train.count(), test.count(), test.where(f"{SLOW} = 1").count()) == (8, 2, 0)
+    assert [part.count() for part in model.split(rows.limit(0))] == [0, 0]
+
+
 def test_fills(spark):
     df = spark.createDataFrame([("b", 1.0, 10), ("b", 2.0, 9), ("a", None, 9), ("a", 4.0, 10), (None, 8.0, None)],
                                "s string, x double, i int")
@@ -53,24 +67,59 @@ def test_fills(spark):
 
 
 def test_fitted_codes_and_unseen_categories(marked, monkeypatch):
-    """Both kinds of code lists give the position in the sorted training categories, and -1 for new ones."""
+    """The position in the sorted training categories, and -1 for new ones, joined either way."""
     rows, threshold = marked
     train, test = model.split(rows)
-    for limit in (model._LITERAL_CODES, 0):
-        monkeypatch.setattr(model, "_LITERAL_CODES", limit)
-        fitted = model.fit(train, threshold, replace(DEFAULT, max_rounds=1))
-        routes = sorted({r[ROUTE] for r in train.select(ROUTE).distinct().collect()})
-        scored = fitted.pipeline.transform(test)
+    fitted = model.fit(train, threshold, replace(DEFAULT, max_rounds=1))
+    routes = sorted({r[ROUTE] for r in train.select(ROUTE).distinct().collect()})
+    for limit in (model.BROADCAST_CODES, -1):
+        monkeypatch.setattr(model, "BROADCAST_CODES", limit)
+        scored = fitted.encode(test)
         for r in scored.select(ROUTE, f"x_{ROUTE}", "pickup_hour", "x_pickup_hour").collect():
             assert r[f"x_{ROUTE}"] == (routes.index(r[ROUTE]) if r[ROUTE] in routes else -1)
             assert r["x_pickup_hour"] == r["pickup_hour"]
         assert scored.where(f"x_{ROUTE} = -1").count() > 0
 
 
-def test_too_many_categories_raise(marked, monkeypatch):
-    monkeypatch.setattr(model, "MAX_CATEGORIES", 10)
-    with pytest.raises(ValueError, match="more than 10 categories"):
-        model.fit(marked[0], marked[1], QUICK)
+def test_codes_are_numbered_across_ranges(spark):
+    counts = spark.range(5000).selectExpr("concat('c', id % 2) as column", "string(id) as category",
+                                          "if(id % 2 = 0, 0.0D, double(id)) as sort_key", "1L as n")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # small ranges would be merged
+    try:
+        codes = {(r["column"], r["category"]): r["code"] for r in model.ordinal_codes(counts).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    texts = sorted(str(i) for i in range(0, 5000, 2))
+    assert codes == {("c0", t): i for i, t in enumerate(texts)} | {("c1", str(i)): i // 2 for i in range(1, 5000, 2)}
+
+
+def test_categories_are_counted_without_a_row_per_column(marked):
+    train, _ = marked
+    counts = model.category_counts(train, DEFAULT.categorical_features)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    for part in plan.split("Generate ")[1:]:
+        assert part.splitlines()[1].strip(" :+-").startswith("Aggregate")
+    got = {(r["column"], r["category"]): r["n"] for r in counts.collect()}
+    pdf = train.select(*DEFAULT.categorical_features).toPandas()
+    for c in DEFAULT.categorical_features:
+        want = {str(k).lower() if isinstance(k, bool) else str(k): n for k, n in pdf[c].value_counts().items()}
+        assert {k[1]: n for k, n in got.items() if k[0] == c} == want
+
+
+def test_the_stop_rule_waits(marked):
+    flat = [0.9, 0.8, 0.8, 0.8, 0.7, 0.7, 0.7, 0.7]
+    assert model.stop_round(flat, 3, 1e-7) == 8
+    assert model.stop_round(flat, 2, 1e-7) == 4
+    assert model.stop_round(flat, 8, 1e-7) is None and model.stop_round([], 3, 1e-7) is None
+
+
+def test_rounds_follow_the_rule(marked, monkeypatch):
+    monkeypatch.setattr(model, "FIRST_ROUNDS", 3)
+    rows, threshold = marked
+    monkeypatch.setattr(model, "stop_round", lambda errors, patience, gain: 5 if len(errors) > 5 else None)
+    assert model.fit(rows, threshold, replace(DEFAULT, max_rounds=9)).trees.getNumTrees == 5
+    monkeypatch.setattr(model, "stop_round", lambda errors, patience, gain: None)
+    assert model.fit(rows, threshold, replace(DEFAULT, max_rounds=4)).trees.getNumTrees == 4
 
 
 def confused(spark, tn, fp, fn, tp):
@@ -114,7 +163,7 @@ def test_train_save_and_reload(prepared, tmp_path):
     assert row["train_rows"] + row["test_rows"] == prepared.rows
     assert row["accuracy"] > 0.75 and row["recall"] > 0.5
     assert report.count() == 5
-    assert 1 <= fitted.pipeline.stages[-1].getNumTrees <= 5
+    assert 1 <= fitted.trees.getNumTrees <= 5
 
 
 def test_changed_predictions_raise(marked, tmp_path):
@@ -136,10 +185,15 @@ def test_whole_run(raw, tmp_path, spark):
     assert spark.read.json(done["paths"]["metrics"]).first()["train_rows"] > 0
 
 
-def test_numbers_that_are_null_in_all_training_rows_and_odd_text_are_encoded(spark, marked):
+def test_columns_that_are_null_in_all_training_rows_and_odd_text_are_encoded(spark, marked, tmp_path):
     rows, threshold = marked
-    odd = rows.withColumn("tip_amount", F.lit(None).cast("double"))
-    fitted = model.fit(odd.limit(300), threshold, replace(DEFAULT, max_rounds=1))
-    assert fitted.predict(odd.limit(10)).count() == 10
-    for text in ("a\\tb", "ends with \\", "it's", "\\'"):
-        assert spark.sql(f"select {model._sql(text)} as t").first()["t"] == text
+    cfg = replace(DEFAULT, max_rounds=1, numeric_features=("tip_amount",), categorical_features=("note", "nothing", RUSH))
+    notes = F.array(*(F.lit(t) for t in ("a\\tb", "ends with \\", "it's", "")))
+    odd = rows.withColumns({"tip_amount": F.lit(None).cast("double"), "nothing": F.lit(None).cast("string"),
+                            "note": F.element_at(notes, F.pmod(F.hash(SPEED), 4) + 1)})
+    fitted = model.fit(odd, threshold, cfg)
+    found = {r["note"]: r["x_note"] for r in fitted.encode(odd).select("note", "x_note").distinct().collect()}
+    assert found == {"": 0, "a\\tb": 1, "ends with \\": 2, "it's": 3}
+    assert fitted.encode(odd).where("x_nothing <> -1 or x_tip_amount <> 0").isEmpty()
+    checked = model.verify_saved_model(fitted, model.save_model(fitted, str(tmp_path / "m")), odd)
+    assert checked["rows"] == rows.count() and checked["differ"] == 0

@@ -163,6 +163,15 @@ _CATEGORIES = "categories AS (" + " UNION ALL ".join(
     f"{'0.0' if c in ('pickup_time_group', 'route_id') else f'CAST({c} AS INT)'}::DOUBLE AS sort_key, count(*) AS n "
     f"FROM marked WHERE {c} IS NOT NULL GROUP BY ALL" for c in DEFAULT.categorical_features) + ")"
 
+_TEST_ROWS = f"""
+classes AS (SELECT slow_trip, count(*) AS n, sum(count(*)) OVER () AS total FROM marked GROUP BY 1),
+sizes AS (SELECT *, ceil({DEFAULT.test_share}::DOUBLE * total) AS wanted FROM classes),
+slow_rows AS (SELECT floor(wanted * n / total::DOUBLE + 0.5) AS slow_test FROM sizes WHERE slow_trip = 1),
+test_rows AS (
+  SELECT slow_trip, n, CAST(CASE slow_trip WHEN 1 THEN slow_test ELSE wanted - slow_test END AS BIGINT) AS n_test
+  FROM sizes, slow_rows
+)"""
+
 _CONFUSION = """
 confused AS (
   SELECT count(*) FILTER (WHERE slow_trip = 0 AND NOT is_rush_hour) AS tn,
@@ -389,7 +398,27 @@ SELECT *, rows_before - rows_after AS rows_removed,
         "class_weights": _model(
             "SELECT slow_trip, count(*) AS n, round((SELECT count(*) FROM marked) / (2.0::DOUBLE * count(*)), 6) AS weight "
             "FROM marked GROUP BY 1"),
-        "split_check": _model("SELECT slow_trip, count(*) AS n, TRUE AS share_is_near FROM marked GROUP BY 1"),
+        "split_check": _model("SELECT slow_trip, n, n_test FROM test_rows", _TEST_ROWS),
+        "boosted_trees_metrics": _model(
+            "SELECT (SELECT round(threshold, 6) FROM slow) AS threshold, CAST(sum(n - n_test) AS BIGINT) AS train_rows, "
+            "CAST(sum(n_test) AS BIGINT) AS test_rows, TRUE AS accuracy_adds_up, TRUE AS recall_adds_up, "
+            "TRUE AS better_than_majority FROM test_rows", _TEST_ROWS),
+        "boosted_trees_report": _model(
+            "SELECT label, CAST(support AS BIGINT) AS support, TRUE AS figures_are_shares FROM ("
+            "SELECT CAST(slow_trip AS VARCHAR) AS label, n_test AS support FROM test_rows UNION ALL "
+            "SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT sum(n_test) FROM test_rows))", _TEST_ROWS),
+        "model_reload": _model(
+            "SELECT CAST(sum(n_test) AS BIGINT) AS n_rows, 0::BIGINT AS n_changed FROM test_rows", _TEST_ROWS),
+        "unseen_codes": _model(
+            "SELECT route_id, coalesce(any_value(code), -1) AS code, count(*) AS n FROM marked "
+            "LEFT JOIN learned USING (route_id) GROUP BY route_id",
+            "learned AS (SELECT route_id, CAST(row_number() OVER (ORDER BY route_id) - 1 AS INT) AS code FROM "
+            "(SELECT DISTINCT route_id FROM marked WHERE day(tpep_pickup_datetime) <= 24))"),
+        "stored_stage": _clean(
+            f"SELECT is_rush_hour, count(*) AS n, round(avg({SPEED}), 3) AS mean_speed FROM cleaned GROUP BY 1"),
+        "tied_quantiles": "SELECT l_returnflag, count(l_quantity) AS n, " + ", ".join(
+            f"quantile_cont(CAST(l_quantity AS DOUBLE), {p / 100}) AS p{p}" for p in (10, 30, 90, 99))
+            + " FROM lineitem GROUP BY 1",
         "median_fills": _clean(" UNION ALL ".join(
             f"SELECT '{c}' AS \"column\", round(median({c}), 6) AS fill FROM cleaned"
             for c in ("passenger_count", "trip_distance", "tip_amount"))),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wheelpace.checks.standin import cleaned, trips_from_events, trips_path
 from wheelpace.config import (
-    DEFAULT, DERIVED, DURATION, HOUR, RUSH, SLOW, SPEED, WEEKEND,
+    DEFAULT, DERIVED, DURATION, HOUR, ROUTE, RUSH, SLOW, SPEED, WEEKEND,
 )
 from wheelpace.functions import features
 from wheelpace.operators import charts, facts, model, quality, stats
@@ -423,12 +423,10 @@ def class_weights(spark, sf_dir):
 
 @query
 def split_check(spark, sf_dir):
-    """Rows per class; whether training and test rows add up and the test share is near its setting."""
+    """Rows and test rows per class."""
     train, test = model.split(_featured(spark, sf_dir))
     both = train.select(SLOW, F.lit(0).alias("side")).unionByName(test.select(SLOW, F.lit(1).alias("side")))
-    share = F.avg("side")
-    return both.groupBy(SLOW).agg(
-        F.count("*").alias("n"), (F.abs(share - DEFAULT.test_share) < 0.05).alias("share_is_near"))
+    return both.groupBy(SLOW).agg(F.count("*").alias("n"), F.sum("side").alias("n_test"))
 
 
 @query
@@ -475,12 +473,22 @@ def _fitted(spark, sf_dir):
 
 @query
 def boosted_trees_metrics(spark, sf_dir):
-    return _fitted(spark, sf_dir)[1]
+    """What holds of the trained trees' metrics whatever the trees are, next to the threshold and the sizes."""
+    right, wrong = F.col("tp") + F.col("tn"), F.col("fp") + F.col("fn")
+    majority = F.greatest(F.col("tn") + F.col("fp"), F.col("tp") + F.col("fn"))
+    return _fitted(spark, sf_dir)[1].select(
+        features.rounded(F.col("speed_threshold_mph"), 6).alias("threshold"), "train_rows", "test_rows",
+        (F.abs(F.col("accuracy") - right / (right + wrong)) < 1e-12).alias("accuracy_adds_up"),
+        (F.abs(F.col("recall") * (F.col("tp") + F.col("fn")) - F.col("tp")) < 1e-6).alias("recall_adds_up"),
+        (right > majority).alias("better_than_majority"))
 
 
 @query
 def boosted_trees_report(spark, sf_dir):
-    return _fitted(spark, sf_dir)[2]
+    """Lines of the class report with their support; whether every figure is a share."""
+    shares = [F.col(c).between(0, 1) for c in ("precision", "recall", "f1_score")]
+    return _fitted(spark, sf_dir)[2].select(
+        "label", "support", (shares[0] & shares[1] & shares[2]).alias("figures_are_shares"))
 
 
 @query
@@ -492,6 +500,30 @@ def model_reload(spark, sf_dir):
     return spark.createDataFrame([(checked["rows"], checked["differ"])], "n_rows long, n_changed long")
 
 
+@query
+def unseen_codes(spark, sf_dir):
+    """Codes of all routes, learned from the pickups of days 1 to 24; routes seen on later days only get -1."""
+    rows = _featured(spark, sf_dir).withColumn("pickup_day", F.dayofmonth(DEFAULT.pickup))
+    known = model.ordinal_codes(model.category_counts(rows.where("pickup_day <= 24"), (ROUTE,)))
+    fitted = model.SlowTripModel(None, known, {}, (ROUTE,), (ROUTE,), 0.0, 0)
+    return fitted.encode(rows).groupBy(ROUTE).agg(
+        F.max(f"x_{ROUTE}").cast("int").alias("code"), F.count("*").alias("n"))
+
+
+@query
+def stored_stage(spark, sf_dir):
+    """The statistics stage on the cleaned table as it is stored: speeds by rush hour."""
+    path = cleaned(spark, sf_dir).info["save"]["path"]
+    return stats.speed_by(facts.Facts(source.read_cleaned(spark, path), DEFAULT), RUSH)
+
+
+@query
+def tied_quantiles(spark, sf_dir):
+    """Quantiles of a column with few values, where both neighbours of a position mostly are the same value."""
+    found = summarize(_table(spark, sf_dir, "lineitem"), {"l_returnflag": ["l_quantity"]}, (0.1, 0.3, 0.9, 0.99))
+    return found.select(F.col("level").alias("l_returnflag"), "n", "p10", "p30", "p90", "p99")
+
+
 # --- the same operators on the given tables --------------------------------------------------------
 
 _LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -82,6 +82,7 @@ class TripConfig:
     min_leaf_rows: int = 50
     validation_share: float = 0.1
     early_stop_gain: float = 1e-7
+    patience: int = 20
 
     @property
     def raw(self) -> tuple[str, ...]:

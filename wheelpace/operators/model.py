@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wheelpace.config import DEFAULT, SLOW, SPEED, TripConfig
-from wheelpace.functions.features import add_model_features
+from wheelpace.config import (
+    DEFAULT, FRIDAY, HOUR, MONDAY, ROUTE, RUSH, SLOW, SPEED, TIME_GROUP, WEEKDAY, WEEKEND, TripConfig,
+)
+from wheelpace.functions.features import add_model_features, number
 from wheelpace.operators.summary import quantile_name, quantile_value, summarize
 from wheelpace.session import settle, shared_folder
 
-_BUCKETS = 10_000
-_WEIGHT, _HELD_OUT = "class_weight", "held_out"
-# Category lists up to this length become literals of the plan; routes have their own index.
-_LITERAL_CODES = 1_000
-# The fitted model holds every category, so their number must be small whatever the number of rows.
-# All pairs of 265 zones are 70,225 routes.
-MAX_CATEGORIES = 2_000_000
+# Hashes stay below this, so that a double also holds the middle between two of them.
+_HASHES = 2 ** 51
+_ROW, _WEIGHT, _HELD_OUT = "row_key", "class_weight", "held_out"
+# Code tables up to this length are broadcast, about 100 bytes a row. All pairs of 265 zones are 70,225 routes.
+BROADCAST_CODES = 200_000
+# Rounds of the first fit; it is repeated with twice as many until the stop rule has spoken.
+FIRST_ROUNDS = 40
+# Columns that follow from one another have few combinations, which are counted before they are told apart.
+_CLOCK = (HOUR, WEEKDAY, TIME_GROUP, WEEKEND, RUSH, FRIDAY, MONDAY)
 
 
 # --- target and split -----------------------------------------------------------------------------
@@ -47,16 +51,40 @@ def class_shares(trips: DataFrame) -> DataFrame:
 
 
 def row_hash(trips: DataFrame, cfg: TripConfig, salt: int) -> Column:
-    """0 to 9999 from the raw columns of a row: the same under any partitioning and after any retry."""
-    raw = [F.col(c) for c in cfg.raw if c in trips.columns]
-    return F.pmod(F.xxhash64(F.lit(salt), *raw), F.lit(_BUCKETS))
+    """A number from the raw columns of a row: the same under any partitioning and after any retry.
+
+    A table reduced to the model's columns carries their hash as ``row_key`` instead.
+    """
+    key = F.col(_ROW) if _ROW in trips.columns else F.xxhash64(*(F.col(c) for c in cfg.raw if c in trips.columns))
+    return F.pmod(F.xxhash64(F.lit(salt), key), F.lit(_HASHES))
+
+
+def wanted_test_rows(counts: dict[int, int], share: float) -> dict[int, int]:
+    """Test rows per class: ``share`` of all rows, rounded up, in the ratio of the classes."""
+    total = sum(counts.values())
+    wanted = math.ceil(share * total)
+    slow = math.floor(wanted * counts.get(1, 0) / total + 0.5) if total else 0
+    return {0: wanted - slow, 1: slow}
 
 
 def split(trips: DataFrame, cfg: TripConfig = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows by hash: no shuffle, no sort; each class is split in the same ratio."""
-    mark = row_hash(trips, cfg, cfg.seed)
-    cut = int(cfg.test_share * _BUCKETS)
-    return trips.where(mark >= cut), trips.where(mark < cut)
+    """Training and test rows: in each class the wanted number of rows with the smallest hashes are test rows.
+
+    The hash that ends them is an exact order statistic per class, so the rows themselves are neither
+    sorted nor shuffled. Rows that share that very hash are kept together.
+    """
+    hashed = trips.select(SLOW, row_hash(trips, cfg, cfg.seed).alias("hash"))
+    counts = {r[SLOW]: r["n"] for r in class_shares(hashed).collect()}
+    cuts = {}
+    for label, k in wanted_test_rows(counts, cfg.test_share).items():
+        n = counts.get(label, 0)
+        if 0 < k < n:  # half-way between the last test row and the next one
+            cuts[label] = quantile_value(hashed.where(F.col(SLOW) == label), "hash", (k - 0.5) / (n - 1))
+        else:
+            cuts[label] = float(_HASHES) if k else 0.0
+    cut = reduce(lambda c, label: c.when(F.col(SLOW) == label, cuts[label]), cuts, F)
+    is_test = row_hash(trips, cfg, cfg.seed) < cut
+    return trips.where(~is_test), trips.where(is_test)
 
 
 # --- imputation and codes -------------------------------------------------------------------------
@@ -67,19 +95,26 @@ def medians(train: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return found.select(F.col("metric").alias("column"), F.col(quantile_name(0.5)).alias("fill"))
 
 
-def category_counts(train: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """(column, category, sort_key, n) of all columns from one scan.
+def category_counts(train: DataFrame, columns: tuple[str, ...], cfg: TripConfig = DEFAULT) -> DataFrame:
+    """(column, category, sort_key, n) of all columns.
 
+    Columns that belong together are first counted as one, so a row is not repeated per column.
     ``sort_key`` brings numbers into numeric order; text sorts by itself.
     """
-    cells = []
-    for c in columns:
-        kind = train.schema[c].dataType.simpleString()
-        number = F.lit(0.0) if kind == "string" else F.col(c).cast("int" if kind == "boolean" else "double").cast("double")
-        cells += [F.lit(c), F.col(c).cast("string"), number]
-    long = train.select(F.stack(F.lit(len(columns)), *cells).alias("column", "category", "sort_key"))
+    related = [[c for c in columns if c in group] for group in (_CLOCK, (cfg.pickup_zone, cfg.dropoff_zone, ROUTE))]
+    related += [[c] for c in columns if not any(c in group for group in related)]
+    counts = []
+    for group in filter(None, related):
+        cells = []
+        for c in group:
+            kind = train.schema[c].dataType.simpleString()
+            key = F.lit(0.0) if kind == "string" else F.col(c).cast("int" if kind == "boolean" else "double").cast("double")
+            cells += [F.lit(c), F.col(c).cast("string"), key]
+        cells = F.stack(F.lit(len(group)), *cells).alias("column", "category", "sort_key")
+        counts.append(train.groupBy(*group).agg(F.count("*").alias("n")).select(cells, "n"))
+    long = reduce(DataFrame.unionByName, counts)
     return long.where(F.col("category").isNotNull()).groupBy("column", "category", "sort_key").agg(
-        F.count("*").alias("n"))
+        F.sum("n").alias("n"))
 
 
 def most_frequent(counts: DataFrame) -> DataFrame:
@@ -91,10 +126,19 @@ def most_frequent(counts: DataFrame) -> DataFrame:
 def ordinal_codes(counts: DataFrame) -> DataFrame:
     """(column, category, code): position of each category in the sorted categories of its column.
 
-    The window sorts distinct categories, not rows: all pairs of 265 zones are 70,225 routes.
+    The categories are sorted in ranges, each numbered by itself from the size of the ranges before it, so
+    that no task holds a whole column. The ranges are written first; the offsets then fit them for certain.
     """
-    order = Window.partitionBy("column").orderBy("sort_key", "category")
-    return counts.select("column", "category", (F.row_number().over(order) - 1).alias("code"))
+    order = ["sort_key", "category"]
+    ranges = settle(counts.repartitionByRange("column", *order).select(
+        "column", *order, F.spark_partition_id().alias("range")), "ranges")
+    before = Window.partitionBy("column").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per column and range: as many as there are partitions, and one more per column.
+    offsets = ranges.groupBy("column", "range").agg(F.count("*").alias("n")).select(
+        "column", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    place = F.row_number().over(Window.partitionBy("column", "range").orderBy(*order))
+    return ranges.join(F.broadcast(offsets), ["column", "range"]).select(
+        "column", "category", (F.col("offset") + place - 1).cast("int").alias("code"))
 
 
 def class_weights(train: DataFrame) -> DataFrame:
@@ -107,96 +151,110 @@ def class_weights(train: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class SlowTripModel:
-    """A fitted pipeline and what is needed to report on it."""
+    """Fitted trees with what turns trips into their input."""
 
-    pipeline: PipelineModel
+    trees: GBTClassificationModel
+    codes: DataFrame  # (column, category, code), stored
+    fills: dict[str, float | str | None]
     features: tuple[str, ...]
+    categorical: tuple[str, ...]
     threshold: float
     train_rows: int
 
+    def encode(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the number ``x_<feature>`` per feature and all of them in ``features``.
+
+        Missing values get the fill, categories that training has not seen the code -1. A code table is
+        broadcast where it was counted to be short; else the join is left to Spark, which splits hot keys.
+        """
+        sizes = {r["column"]: r["n"] for r in self.codes.groupBy("column").agg(F.count("*").alias("n")).collect()}
+        known = {}
+        for c in self.features:
+            fill = self.fills.get(c)
+            if c in self.categorical:
+                known[f"k_{c}"] = F.coalesce(F.col(c).cast("string"), F.lit(fill))
+            else:
+                known[f"x_{c}"] = F.coalesce(number(c), F.lit(0.0 if fill is None else fill))
+        out = rows.withColumns(known)
+        for c in self.categorical:
+            code = self.codes.where(F.col("column") == c).select(
+                F.col("category").alias(f"k_{c}"), F.col("code").cast("double").alias(f"c_{c}"))
+            code = F.broadcast(code) if sizes.get(c, 0) <= BROADCAST_CODES else code
+            out = out.join(code, f"k_{c}", "left")
+        out = out.withColumns({f"x_{c}": F.coalesce(f"c_{c}", F.lit(-1.0)) for c in self.categorical})
+        assembler = VectorAssembler(inputCols=[f"x_{c}" for c in self.features], outputCol="features")
+        return assembler.transform(out).select(*rows.columns, *(f"x_{c}" for c in self.features), "features")
+
     def predict(self, rows: DataFrame) -> DataFrame:
         """``rows`` with the column ``prediction`` (0 or 1)."""
-        return apply(self.pipeline, rows)
-
-
-def apply(pipeline: PipelineModel, rows: DataFrame) -> DataFrame:
-    scored = pipeline.transform(rows)
-    return scored.select(*rows.columns, F.col("prediction").cast("int").alias("prediction"))
+        scored = self.trees.transform(self.encode(rows))
+        return scored.select(*rows.columns, F.col("prediction").cast("int").alias("prediction"))
 
 
 def fit(train: DataFrame, threshold: float, cfg: TripConfig = DEFAULT) -> SlowTripModel:
     """Fit imputation, codes and boosted trees on training rows with a target."""
-    spark = train.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))  # the trees cut their lineage there
-
     features = (*cfg.numeric_features, *cfg.categorical_features)
-    # Both results have one row per column or category; they become literals of the pipeline.
-    fills = {r["column"]: r["fill"] for r in medians(train, cfg.numeric_features).collect()}
-    counts = settle(category_counts(train, cfg.categorical_features), "categories")
-    if counts.count() > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories: choose other categorical features")
-    rows = ordinal_codes(counts).join(F.broadcast(most_frequent(counts)), "column").collect()
-    categories: dict[str, list[str]] = {c: [] for c in cfg.categorical_features}
-    for r in sorted(rows, key=lambda r: (r["column"], r["code"])):
-        categories[r["column"]].append(r["category"])
-        fills[r["column"]] = r["fill"]
+    counts = settle(category_counts(train, cfg.categorical_features, cfg), "categories")
+    codes = settle(ordinal_codes(counts), "codes")
+    # One row per column.
+    fills = {r["column"]: r["fill"] for found in (medians(train, cfg.numeric_features), most_frequent(counts))
+             for r in found.collect()}
     weights = class_weights(train).collect()
-
-    pipeline = _pipeline(train, features, fills, categories, cfg)
     weight = reduce(lambda w, r: w.when(F.col(SLOW) == r[SLOW], r["weight"]), weights, F)
+    untrained = SlowTripModel(None, codes, fills, features, tuple(cfg.categorical_features), threshold,
+                              sum(r["n"] for r in weights))
     # Fitting passes over its input several times, so the encoded rows are written once.
-    prepared = settle(PipelineModel(pipeline).transform(train.withColumns({
-        _WEIGHT: weight,
-        _HELD_OUT: row_hash(train, cfg, cfg.seed + 1) < int(cfg.validation_share * _BUCKETS),
-    })).select("features", SLOW, _WEIGHT, _HELD_OUT), "encoded")
-    trees = GBTClassifier(
-        labelCol=SLOW, featuresCol="features", weightCol=_WEIGHT, validationIndicatorCol=_HELD_OUT,
-        validationTol=cfg.early_stop_gain,
-        stepSize=cfg.learning_rate, maxIter=cfg.max_rounds, maxDepth=cfg.max_depth,
-        minInstancesPerNode=cfg.min_leaf_rows, maxBins=255, seed=cfg.seed).fit(prepared)
-    return SlowTripModel(PipelineModel([*pipeline, trees]), features, threshold, sum(r["n"] for r in weights))
-
-
-def _pipeline(train: DataFrame, features, fills: dict, categories: dict[str, list[str]], cfg: TripConfig) -> list:
-    """Fitted stages from trip columns to the feature vector. Unseen categories get the code -1."""
-    stages, exprs = [], []
-    for c in cfg.numeric_features:
-        exprs.append(f"coalesce(cast(`{c}` as double), {_sql(0.0 if fills.get(c) is None else fills[c])}) as x_{c}")
-    indexed = [c for c in cfg.categorical_features if len(categories[c]) > _LITERAL_CODES]
-    for c in cfg.categorical_features:
-        filled = f"coalesce(cast(`{c}` as string), {_sql(fills.get(c, ''))})"
-        if c in indexed:
-            exprs.append(f"{filled} as s_{c}")
-        else:
-            known = ", ".join(map(_sql, categories[c])) or "''"
-            exprs.append(f"cast(array_position(array({known}), {filled}) - 1 as double) as x_{c}")
-    stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"))
-    for c in indexed:
-        stages.append(StringIndexerModel.from_labels(
-            categories[c], inputCol=f"s_{c}", outputCol=f"i_{c}", handleInvalid="keep"))
-    if indexed:
-        # A computed column carries no category metadata, so the trees read the codes as plain numbers.
-        codes = ", ".join(
-            f"if(i_{c} < {len(categories[c])}, i_{c}, cast(-1 as double)) as x_{c}" for c in indexed)
-        stages.append(SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__"))
-    stages.append(VectorAssembler(inputCols=[f"x_{c}" for c in features], outputCol="features"))
-    return stages
-
-
-def _sql(value) -> str:
-    if isinstance(value, float):
-        return f"cast({value!r} as double)"
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    held_out = row_hash(train, cfg, cfg.seed + 1) < int(cfg.validation_share * _HASHES)
+    encoded = untrained.encode(train.withColumns({_WEIGHT: weight, _HELD_OUT: held_out}))
+    trees = boost(settle(encoded.select("features", SLOW, _WEIGHT, _HELD_OUT), "encoded"), cfg)
+    return replace(untrained, trees=trees)
+
+
+def boost(encoded: DataFrame, cfg: TripConfig = DEFAULT) -> GBTClassificationModel:
+    """Boosted trees up to the round where the held-out error has stopped falling.
+
+    Every fit begins with the same trees, so a longer one continues a shorter one: the rounds are doubled
+    until the rule ends them, and the model is fitted to exactly the rounds it names.
+    """
+    spark = encoded.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))  # the trees cut their lineage there
+    trainer = GBTClassifier(
+        labelCol=SLOW, featuresCol="features", weightCol=_WEIGHT, stepSize=cfg.learning_rate, maxDepth=cfg.max_depth,
+        minInstancesPerNode=cfg.min_leaf_rows, maxBins=255, seed=cfg.seed)
+    learned, unseen = encoded.where(~F.col(_HELD_OUT)), encoded.where(_HELD_OUT)
+    watched = not unseen.isEmpty()
+    rounds = min(FIRST_ROUNDS, cfg.max_rounds) if watched else cfg.max_rounds
+    while True:
+        trees = trainer.fit(learned, {trainer.maxIter: rounds})
+        last = stop_round(trees.evaluateEachIteration(unseen), cfg.patience, cfg.early_stop_gain) if watched else None
+        if last is not None and last < rounds:
+            return trainer.fit(learned, {trainer.maxIter: last})
+        if last is not None or rounds == cfg.max_rounds:
+            return trees
+        rounds = min(2 * rounds, cfg.max_rounds)
+
+
+def stop_round(errors: list[float], patience: int, gain: float) -> int | None:
+    """The first round after which ``patience`` rounds have not lowered the error by ``gain``, None without one."""
+    for last in range(patience + 1, len(errors) + 1):
+        if min(errors[last - patience:last]) >= errors[last - patience - 1] - gain:
+            return last
+    return None
 
 
 # --- metrics --------------------------------------------------------------------------------------
 
+def confusion_cells(label: str = SLOW, prediction: str = "prediction") -> list[Column]:
+    """Aggregates: tn, fp, fn, tp."""
+    truth, guess = F.col(label) == 1, F.col(prediction) == 1
+    return [F.count_if(~truth & ~guess).alias("tn"), F.count_if(~truth & guess).alias("fp"),
+            F.count_if(truth & ~guess).alias("fn"), F.count_if(truth & guess).alias("tp")]
+
+
 def confusion(scored: DataFrame, label: str = SLOW, prediction: str = "prediction") -> DataFrame:
     """One row: tn, fp, fn, tp."""
-    truth, guess = F.col(label) == 1, F.col(prediction) == 1
-    return scored.agg(F.count_if(~truth & ~guess).alias("tn"), F.count_if(~truth & guess).alias("fp"),
-                      F.count_if(truth & ~guess).alias("fn"), F.count_if(truth & guess).alias("tp"))
+    return scored.agg(*confusion_cells(label, prediction))
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -241,36 +299,77 @@ def report(confused: DataFrame) -> DataFrame:
 # --- saving ---------------------------------------------------------------------------------------
 
 def save_model(model: SlowTripModel, path: str) -> str:
-    model.pipeline.write().overwrite().save(path)
+    """Trees, code table and settings under one folder."""
+    model.trees.write().overwrite().save(f"{path}/trees")
+    model.codes.write.mode("overwrite").parquet(f"{path}/codes")
+    fills = [(i, c, c in model.categorical, *_typed(model.fills.get(c)), model.threshold, model.train_rows)
+             for i, c in enumerate(model.features)]
+    model.codes.sparkSession.createDataFrame(fills, _SETTINGS).coalesce(1).write.mode("overwrite").parquet(f"{path}/settings")
     return path
 
 
-def verify_saved_model(model: SlowTripModel, path: str, rows: DataFrame) -> dict[str, int]:
-    """Score every row with the model and its reloaded copy, in one pass; error on any difference."""
+_SETTINGS = ("position int, feature string, categorical boolean, number double, text string, "
+             "threshold double, train_rows long")
+
+
+def _typed(fill: float | str | None) -> tuple[float | None, str | None]:
+    return (None, fill) if isinstance(fill, str) else (fill, None)
+
+
+def load_model(spark: SparkSession, path: str) -> SlowTripModel:
+    settings = spark.read.schema(_SETTINGS).parquet(f"{path}/settings").orderBy("position").collect()  # one row per feature
+    return SlowTripModel(
+        GBTClassificationModel.load(f"{path}/trees"), spark.read.parquet(f"{path}/codes"),
+        {r["feature"]: r["text"] if r["number"] is None else r["number"] for r in settings},
+        tuple(r["feature"] for r in settings), tuple(r["feature"] for r in settings if r["categorical"]),
+        settings[0]["threshold"], settings[0]["train_rows"])
+
+
+def score_both(model: SlowTripModel, path: str, rows: DataFrame) -> dict[str, int]:
+    """Rows, confusion matrix and changed predictions of a model and its reloaded copy, in one pass."""
     first = model.predict(rows).withColumnRenamed("prediction", "before")
-    both = apply(PipelineModel.load(path), first)
-    row = both.agg(F.count("*").alias("rows"), F.count_if(F.col("before") != F.col("prediction")).alias("differ")).first()
-    if row["differ"]:
-        raise ValueError(f"{row['differ']} predictions changed after reloading the model from {path}")
+    both = load_model(rows.sparkSession, path).predict(first)
+    row = both.agg(F.count("*").alias("rows"), F.count_if(~F.col("before").eqNullSafe(F.col("prediction"))).alias("differ"),
+                   *confusion_cells(SLOW, "before")).first()
     return row.asDict()
 
 
+def verify_saved_model(model: SlowTripModel, path: str, rows: DataFrame) -> dict[str, int]:
+    """Score every row with the model and its reloaded copy, in one pass; error on any difference."""
+    found = score_both(model, path, rows)
+    if found["differ"]:
+        raise ValueError(f"{found['differ']} predictions changed after reloading the model from {path}")
+    return found
+
+
 # --- whole run ------------------------------------------------------------------------------------
 
+def model_input(trips: DataFrame, cfg: TripConfig = DEFAULT) -> DataFrame:
+    """Only what the model reads of trips with a target: features, target and the hash of the raw columns."""
+    rows = add_model_features(trips)
+    key = F.xxhash64(*(F.col(c) for c in cfg.raw if c in rows.columns))
+    return rows.select(*dict.fromkeys((*cfg.numeric_features, *cfg.categorical_features)), SLOW, key.alias(_ROW))
+
+
 def train_and_evaluate(trips: DataFrame, cfg: TripConfig = DEFAULT,
                        folder: str | None = None) -> tuple[SlowTripModel, DataFrame, DataFrame]:
     """Target, features, split, fit and evaluation; returns the model, its metrics and its report.
 
-    With ``folder`` the model is saved there, reloaded and checked on all test rows.
+    With ``folder`` the model is saved there, reloaded and checked on all test rows. The test rows are
+    scored once; metrics and report follow from the one row of counts.
     """
+    spark = trips.sparkSession
     marked, threshold = create_target(trips, cfg)
-    train, test = split(add_model_features(marked, cfg), cfg)
+    train, test = split(settle(model_input(marked, cfg), "model-input"), cfg)
     model = fit(train, threshold, cfg)
     if folder:
-        verify_saved_model(model, save_model(model, f"{folder.rstrip('/')}/model"), test)
-    confused = confusion(model.predict(test))
+        counted = verify_saved_model(model, save_model(model, f"{folder.rstrip('/')}/model"), test)
+    else:
+        counted = confusion(model.predict(test)).first().asDict()
+    cells = ("tn", "fp", "fn", "tp")
+    confused = spark.createDataFrame([tuple(counted[c] for c in cells)], "tn long, fp long, fn long, tp long")
     rows = metrics(confused).select(
         F.lit("GBTClassifier").alias("model"), F.lit(threshold).alias("speed_threshold_mph"),
         F.lit(model.train_rows).alias("train_rows"), (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("test_rows"),
-        "accuracy", "precision", "recall", "f1_score", "tn", "fp", "fn", "tp")
+        "accuracy", "precision", "recall", "f1_score", *cells)
     return model, rows, report(confused)
