@@ -9,10 +9,12 @@ from __future__ import annotations
 import json
 import os
 import time
+from dataclasses import replace
 
 from wheelpace.checks.queries import queries
 from wheelpace.checks.standin import cleaned, trips_path
 from wheelpace.config import DEFAULT
+from wheelpace.operators import model
 from wheelpace.operators.facts import Facts
 from wheelpace.plans import runs
 from wheelpace.session import local_session
@@ -22,7 +24,7 @@ HEADLINE = [
     "cleaned_trips", "describe_trips", "describe_trips_large", "hourly_profile", "group_speed_rush",
     "group_speed_zone", "hourly_by_weekend", "day_hour_heatmap", "correlation_matrix", "welch_test",
     "rush_box_plot", "slow_trip_target", "category_codes", "rule_report", "describe_lineitem", "price_by_flag",
-    "lineitem_duplicates",
+    "correlate_lineitem", "tied_quantiles", "lineitem_duplicates",
 ]
 
 
@@ -46,7 +48,8 @@ def main() -> None:
                 if hasattr(table, "collect"):
                     table.collect()
 
-    jobs = {"prepare": lambda: runs.prepare_file(spark, source), "all_reports": reports}
+    jobs = {"prepare": lambda: runs.prepare_file(spark, source), "all_reports": reports,
+            "train_10_rounds": lambda: model.train_and_evaluate(done.trips, replace(DEFAULT, max_rounds=10))}
     jobs |= {name: lambda q=queries()[name]: drain(q(spark, sf_dir)) for name in HEADLINE}
 
     seconds = {}
