@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 
 LENGTH = 4096
 END_OF_DOCUMENT = 2
-#: Words whose ids a worker remembers, of about 200 bytes each.
-REMEMBERED = 1_000_000
+#: Words whose ids a task remembers, of about 200 bytes each.
+REMEMBERED = 500_000
 #: Characters of texts whose unknown words are tokenised together.
-TOGETHER = 4_000_000
+TOGETHER = 2_000_000
 _LOWER = "a-z\u00df-\u00f6\u00f8-\u00ff"
 #: A place between a lower-case Latin letter and ASCII punctuation other than an apostrophe.
 _EDGE = re.compile(f"(?<=[{_LOWER}])(?=[!-&(-/:-@[-`{{-~])")
@@ -114,10 +114,14 @@ class Words:
         bounds = after[split.offsets.to_numpy()].tolist()
         return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
 
+    def forget(self) -> None:
+        """Drop all remembered words."""
+        self._known, self._older = {}, {}
+
 
 @functools.cache
 def _words(path: str) -> Words:
-    """One table of words per worker, kept over its tasks."""
+    """One tokenizer per worker, kept over its tasks; its table of words is filled anew by each."""
     return Words(path)
 
 
@@ -227,6 +231,8 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBat
             sequence = []
     if rows:
         yield frame(rows)
+    words.forget()  # the worker lives on, and later stages need the room
+    pa.default_memory_pool().release_unused()
 
 
 def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
