@@ -24,7 +24,7 @@ _ROW, _WEIGHT, _HELD_OUT = "row_key", "class_weight", "held_out"
 # Code tables up to this length are broadcast, about 100 bytes a row. All pairs of 265 zones are 70,225 routes.
 BROADCAST_CODES = 200_000
 # Rounds of the first fit; it is repeated with twice as many until the stop rule has spoken.
-FIRST_ROUNDS = 125
+FIRST_ROUNDS = 40
 # Columns that follow from one another have few combinations, which are counted before they are told apart.
 _CLOCK = (HOUR, WEEKDAY, TIME_GROUP, WEEKEND, RUSH, FRIDAY, MONDAY)
 
