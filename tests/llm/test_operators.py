@@ -320,6 +320,43 @@ def test_equal_rows_keep_their_chunks(docs):
     assert sorted((r.doc_id, r.kept_lines == r.n_lines) for r in found) == [(1, True), (1, True), (2, False)]
 
 
+def test_passages_of_any_length_go_whole(docs):
+    def fill(seed):
+        return [prose(seed + i, 7) for i in range(3)]
+
+    rows, again = [], ["same", "same"]
+    for n in (2, 3, 4, 5, 6):
+        passage = [prose(2000 + 10 * n + i, 12) for i in range(n)]
+        rows += [(n, "\n".join(fill(3000 + 10 * n) + passage)),
+                 (10 + n, "\n\n".join(fill(4000 + 10 * n) + passage + fill(5000 + 10 * n))),
+                 (20 + n, "\n".join([""] + passage + fill(6000 + 10 * n)))]
+    rows += [(30, "\n".join(again)), (31, "\n".join(again + again[:1])), (32, "same\n\nother"), (33, None), (34, "\n \n"),
+             (None, "\n".join(fill(3020)[1:])), (35, "\n".join(["a", "b", "c", "a", "b", "x"]))]
+    first, want = {}, {}
+    for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        found = (text or "").split("\n")
+        full = [i for i, x in enumerate(found) if x.strip()]
+        gone = set()
+        for k, (i, j) in enumerate(zip(full, full[1:], strict=False)):
+            place = first.setdefault((found[i], found[j]), (doc, k))
+            if place not in ((doc, k), (doc, k - 1)):
+                gone |= {i, j}
+        owner = [max((i for i in full if i <= at), default=full[0] if full else -1) for at in range(len(found))]
+        want[doc] = "\n".join(x for x, own in zip(found, owner, strict=True) if own not in gone)
+    table = docs(*rows)
+    got = {r.doc_id: r.text or "" for r in lines.without_passages(table.repartition(3)).collect()}
+    assert got == want
+    for n in (2, 3, 4, 5, 6):
+        assert got[10 + n] == "\n\n".join(fill(4000 + 10 * n) + fill(5000 + 10 * n))
+        assert got[20 + n] == "\n".join(fill(6000 + 10 * n))
+    assert got[35] == "a\nb\nc\nx" and got[31] == ""
+    report = {r.doc_id: r for r in lines.passage_report(table).collect()}
+    assert all(r.kept_sha256 == hashlib.sha256(want[i].encode()).hexdigest() for i, r in report.items())
+    assert lines.without_passages(table).columns == table.columns and lines.passage_report(table.limit(0)).count() == 0
+    copies = lines.passage_report(docs((1, "a\nb"), (1, "a\nb"), (2, "a\nb"))).collect()
+    assert sorted((r.doc_id, r.kept_lines) for r in copies) == [(1, 2), (1, 2), (2, 0)]
+
+
 # --- 8 --------------------------------------------------------------------------------------------
 
 def test_archives_round_trip(spark):

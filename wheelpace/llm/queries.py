@@ -40,7 +40,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.line_report(table(spark, sf_dir, "documents"))
+    return lines.passage_report(table(spark, sf_dir, "documents"))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
