@@ -194,6 +194,19 @@ def test_probabilities_sum_to_one_and_steps_raise_them():
     assert lm.log_probabilities(w, line, places).sum() > before
 
 
+def test_every_counted_word_has_its_own_probability(docs):
+    same = [w for w in (f"rare{i}" for i in range(2000)) if lm.bucket(w) == lm.bucket("rare0")][:2]
+    own = [f"own{i}" for i in range(lm.OWN)]
+    table = docs((1, " ".join(own * 8)), (2, f"own1 own2 {same[0]} own3 own4"), (3, f"own1 own2 {same[1]} own3 own4"),
+                 (4, " ".join(same[1:] * 6)), (5, "zzz"), (6, None))
+    found = {r.doc_id: r.log_likelihood for r in lm.pseudo_likelihood(table).collect()}
+    assert found[2] - found[3] == pytest.approx(math.log(1 / 7), abs=1e-5)
+    others = lm.vocabulary(table.selectExpr("coalesce(text, '') AS text"))[3]
+    assert {r.word: r.n for r in others.collect()} == {same[0]: 1, same[1]: 7, "zzz": 1}
+    share = {r.word: math.exp(r.share / lm.GRAIN) for r in lm.shares(others).collect()}
+    assert share == pytest.approx({same[0]: 1 / 9, same[1]: 7 / 9, "zzz": 1 / 2})
+
+
 # --- 5 --------------------------------------------------------------------------------------------
 
 def test_repeated_spans(docs):

@@ -2,7 +2,8 @@
 the sum of the conditional log-probabilities of their words.
 
 Words become ids: the most frequent words of the whole corpus have their own, all others share ids by
-hash. Each of ``SIDE`` places left and right has its own table of vectors; their sum and a bias, through a
+hash, and each of these has its share of the counts of its id: the probability of a word is that of its id
+times that share, so that all counted words enter the score and the sum over them is a probability. Each of ``SIDE`` places left and right has its own table of vectors; their sum and a bias, through a
 tanh, predict the class of the word in the middle and the word within its class. The network is trained in
 numpy over all documents: in each of ``ROUNDS`` rounds every task starts from the common weights, trains
 on its share of the round's documents at masked places, and the weights are averaged by the
@@ -13,7 +14,9 @@ from __future__ import annotations
 
 import math
 import pickle
+from collections import Counter
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -37,6 +40,10 @@ MASKED = 8
 PLACES = 4096  # per step
 RATE = 0.2
 SLOTS = 4
+#: Logarithms of shares are summed as whole numbers of this part of one, so that no order changes a sum.
+GRAIN = 1 << 28
+#: Rows scored at once.
+TOGETHER = 500
 SEED = 5
 
 Weights = dict[str, np.ndarray]
@@ -46,6 +53,11 @@ def tokens(text: str) -> list[str]:
     return text.lower().split()
 
 
+def bucket(word: str) -> int:
+    """Which of the shared ids a word without an own one has, from 0."""
+    return xxhash.xxh32_intdigest(word.encode()) % SHARED
+
+
 class Vocabulary:
     """Ids of words; what is looked up is remembered, up to a bound."""
 
@@ -58,11 +70,13 @@ class Vocabulary:
         if found is None:
             if len(self._known) > 300_000:
                 self._known = dict(self._own)
-            found = self._known[word] = OWN + xxhash.xxh32_intdigest(word.encode()) % SHARED
+            found = self._known[word] = OWN + bucket(word)
         return found
 
     def ids(self, text: str) -> np.ndarray:
-        words = tokens(text)
+        return self.ids_of(tokens(text))
+
+    def ids_of(self, words: list[str]) -> np.ndarray:
         known = self._known
         try:
             return np.array([known[w] for w in words], np.int32)
@@ -184,21 +198,39 @@ def _shaped(flat: np.ndarray) -> Weights:
     return out
 
 
-def vocabulary(texts: DataFrame) -> tuple[list[str], list[int], int]:
-    """The ``OWN`` most frequent words of all texts, ties in their order; their counts; the count of all words."""
-    @F.pandas_udf("array<struct<word: string, n: long>>")
-    def counted(column: pd.Series) -> pd.Series:
-        found: dict[str, int] = {}
-        for text in column:
-            for word in tokens(text):
-                found[word] = found.get(word, 0) + 1
-        # All counts of the batch go with its first row.
-        return pd.Series([[{"word": w, "n": n} for w, n in found.items()]] + [[]] * (len(column) - 1))
+def vocabulary(texts: DataFrame) -> tuple[list[str], list[int], int, DataFrame]:
+    """The ``OWN`` most frequent words of all texts, ties in their order; their counts; the count of all words;
+    (word, n) of all other words."""
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found: Counter[str] = Counter()
+            for text in batch["text"]:
+                found.update(tokens(text))
+            yield pd.DataFrame({"word": list(found), "n": list(found.values())})
 
-    words = settle(texts.select(F.explode(counted("text")).alias("w")).groupBy("w.word").agg(F.sum("w.n").alias("n")),
+    words = settle(texts.mapInPandas(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")),
                    "word-counts")
     own = words.orderBy(F.desc("n"), "word").limit(OWN).collect()
-    return [r["word"] for r in own], [r["n"] for r in own], words.agg(F.sum("n")).first()[0] or 0
+    others = words.where("false")
+    if len(own) == OWN:
+        last = own[-1]
+        others = words.where((F.col("n") < last["n"]) | (F.col("n") == last["n"]) & (F.col("word") > last["word"]))
+    return [r["word"] for r in own], [r["n"] for r in own], words.agg(F.sum("n")).first()[0] or 0, others
+
+
+def shares(others: DataFrame) -> DataFrame:
+    """(word, share): the logarithm, in ``GRAIN``, of the part of its id's counts that a word without an own id has.
+
+    Of the counts of an id one more is set aside for words that were never seen.
+    """
+    @F.pandas_udf("int")
+    def buckets(words: pd.Series) -> pd.Series:
+        return pd.Series([bucket(w) for w in words], dtype=np.int32)
+
+    others = others.withColumn("bucket", buckets("word"))
+    found = {r["bucket"]: r["n"] for r in others.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+    of_id = F.get(F.array(*(F.lit(float(found.get(i, 0) + 1)) for i in range(SHARED))), F.col("bucket"))
+    return others.select("word", F.round(F.log(F.col("n") / of_id) * GRAIN).cast("long").alias("share"))
 
 
 def train(texts: DataFrame, own: list[str], counts: list[int], total: int) -> Weights:
@@ -240,27 +272,37 @@ def train(texts: DataFrame, own: list[str], counts: list[int], total: int) -> We
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_likelihood) of every row of ``docs``.
 
-    Natural logarithms; words without an own id are scored as their shared id. Null, empty and blank texts
+    Natural logarithms; a word without an own id has the probability of its shared id times its share of that
+    id's counts, by a join with the counts of all words. Null, empty and blank texts
     have no words, likelihood 0 and a null mean. Equal texts get equal scores; extra columns are ignored;
-    no rows give no rows. What reaches the driver is the vocabulary and ``SLOTS`` sums of weights a round.
+    no rows give no rows. What reaches the driver is the vocabulary, the counts of
+    the shared ids and ``SLOTS`` sums of weights a round.
     """
     text = F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")
     texts = docs.select(text)
-    own, counts, total = vocabulary(texts)
+    own, counts, total, others = vocabulary(texts)
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps((own, train(texts, own, counts, total))))
 
-    @F.pandas_udf("n_tokens long, log_likelihood double")
+    @F.pandas_udf("n_tokens long, of_ids double, others array<string>")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         words, w = pickle.loads(sent.value)
         known = Vocabulary(words)
-        for column in batches:
-            ids = [known.ids(t) for t in column]
+        for column in (batch[at:at + TOGETHER] for batch in batches for at in range(0, len(batch), TOGETHER)):
+            texts = [tokens(t) for t in column]
+            ids = [known.ids_of(t) for t in texts]
             line, places = _around(ids)
             sizes = np.array([len(x) for x in ids], np.int64)
             total = np.concatenate([[0.0], np.cumsum(log_probabilities(w, line, places), dtype=np.float64)])
             stops = np.cumsum(sizes)
-            yield pd.DataFrame({"n_tokens": sizes, "log_likelihood": total[stops] - total[stops - sizes]})
-
-    found = docs.select(docs["doc_id"], scored(text).alias("s")).select("doc_id", "s.*")
+            others = [list(compress(t, (x >= OWN).tolist())) for t, x in zip(texts, ids, strict=True)]
+            yield pd.DataFrame({"n_tokens": sizes, "of_ids": total[stops] - total[stops - sizes], "others": others})
+
+    found = settle(docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"], scored(text).alias("s"))
+                   .select("row", "doc_id", "s.*"), "scores-of-ids")
+    # A word without an own id is rarer than every word that has one, so no key of the join is hot.
+    within = found.select("row", F.explode("others").alias("word")).join(shares(others).hint("merge"), "word")
+    within = within.groupBy("row").agg(F.sum("share").alias("share"))
+    found = found.join(within.hint("merge"), "row", "left").select("doc_id", "n_tokens", (
+        F.col("of_ids") + F.coalesce(F.col("share") / GRAIN, F.lit(0.0))).alias("log_likelihood"))
     return found.withColumn("mean_log_likelihood", F.when(
         F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
