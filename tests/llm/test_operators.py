@@ -237,6 +237,27 @@ def test_chunk_ends_resist_insertions_and_keep_characters_whole():
         assert value[at] == want
 
 
+@pytest.mark.parametrize("word", ["a", "ab ", "na\u00efve ", "\u6f22\u5b57", "two words, ", "twenty-four characters. "])
+def test_periodic_passages_are_found(docs, word):
+    rng = random.Random(5)
+    fill = ["".join(rng.choice("ijklmnop ") for _ in range(400)) for _ in range(6)]
+    rest = "".join(rng.choice("bcdefgh ") for _ in range(60))  # too short to be found without the run before it
+    run = (word * 400)[:400]
+    table = docs((1, fill[0] + run + rest + fill[1]), (2, "\u00e9" + fill[2] + run + rest + fill[3]), (3, fill[4] + run[:300] + fill[5]))
+    found = gear.repeated_spans(table).collect()
+    assert {r.doc_id for r in found} == {1, 2, 3}
+    sizes = np.diff(gear.ends(np.frombuffer((word * 400).encode(), np.uint8)))
+    assert sizes[:-1].max() < 2 * gear.SPREAD
+    assert gear.repeated_spans(docs((1, fill[0] + run + fill[1]))).count() == 1  # repeated within one text
+
+
+def test_copies_of_short_texts_are_reported(docs):
+    short = prose(8, 14)
+    table = docs((1, "tiny"), (2, "tiny"), (3, short), (4, short), (5, short + " " + prose(9, 300)), (6, ""), (7, ""))
+    found = {r.doc_id: r for r in gear.repeated_spans(table, whole_texts=True).collect()}
+    assert set(found) == {1, 2, 3, 4} and [found[i].removed_bytes for i in (1, 2, 3, 4)] == [0, 4, 0, len(short)]
+
+
 # --- 6 --------------------------------------------------------------------------------------------
 
 def check_packing(pieces, texts):

@@ -1,9 +1,11 @@
 """Substring dedup by content-defined chunking with a gear rolling hash.
 
-The gear hash of a place mixes the last ``REACH`` bytes. A chunk ends where the hash is strictly the
-smallest among ``SPREAD`` places on either side, so an ending depends on the bytes around it only:
-after an insertion the same endings are found again. Chunks are at least ``SPREAD`` bytes long and
-about twice that on average. Equal chunks are found by digest; runs of repeated chunks of at
+The gear hash of a place mixes the last ``REACH`` bytes. A chunk ends where no hash is smaller
+among ``SPREAD`` places on either side, so an ending depends on the bytes around it only:
+after an insertion the same endings are found again. Text of a period up to ``SPREAD`` has equal smallest
+hashes in a row: of these the first ends a chunk, then each that is ``SPREAD`` bytes or more after the last end, and
+the last, so that such text is cut alike whatever is around it. Chunks are at least ``SPREAD`` bytes long, but
+for the last of periodic text, and about twice that on average. Equal chunks are found by digest; runs of repeated chunks of at
 least ``LEAST_BYTES`` are reported, shorter ones are chance.
 """
 
@@ -24,7 +26,7 @@ SPREAD = 24
 LEAST_BYTES = 80
 
 _DOC = ["doc_id", "text_hash"]
-_CHUNKS = "h array<long>, h2 array<long>, at array<int>, size array<int>"
+_CHUNKS = "h array<long>, h2 array<long>, at array<int>, size array<int>, of long"
 _GEAR = np.random.default_rng(7).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -58,15 +60,31 @@ def ends(data: np.ndarray) -> np.ndarray:
     value ^= value >> np.uint32(16)
     ahead = _smallest(value, SPREAD)  # of places i to i + SPREAD - 1
     inner = np.arange(SPREAD, n - SPREAD)
-    chosen = inner[(value[inner] < ahead[inner - SPREAD]) & (value[inner] < ahead[inner + 1])] + 1
+    chosen = _thinned(inner[(value[inner] <= ahead[inner - SPREAD]) & (value[inner] <= ahead[inner + 1])]) + 1
     while len(chosen) and (inside := (data[np.minimum(chosen, n - 1)] & 0xC0) == 0x80).any():
         chosen = chosen + (inside & (chosen < n))
-    return np.append(chosen[chosen < n], n)
+    return np.append(np.unique(chosen[chosen < n]), n)
+
+
+def _thinned(smallest: np.ndarray) -> np.ndarray:
+    """Of places within ``SPREAD`` of each other, which have equal hashes: the first, every ``SPREAD`` bytes one, the last."""
+    tied = np.diff(smallest) <= SPREAD
+    if not tied.any():
+        return smallest
+    keep, last = np.ones(len(smallest), bool), -1
+    for i in np.flatnonzero(tied).tolist():
+        if i == 0 or not tied[i - 1]:
+            last = smallest[i]
+        keep[i + 1] = smallest[i + 1] - last >= SPREAD or i + 1 == len(tied) or not tied[i + 1]
+        if keep[i + 1]:
+            last = smallest[i + 1]
+    return smallest[keep]
 
 
 def _chunks(texts: pd.Series) -> pd.DataFrame:
-    """Two 64-bit digests of each chunk, its place in code points and its size in bytes."""
+    """Two 64-bit digests of each chunk, its place in code points and its size in bytes; the bytes of the text."""
     columns: tuple[list, ...] = ([], [], [], [])
+    sizes = []
     for text in texts:
         raw = text.encode()
         data = np.frombuffer(raw, np.uint8)
@@ -78,34 +96,36 @@ def _chunks(texts: pd.Series) -> pd.DataFrame:
         for column, values in zip(columns, (both[:, 0], both[:, 1], points[starts].astype(np.int32),
                                             (stops - starts).astype(np.int32)), strict=True):
             column.append(np.ascontiguousarray(values))
-    return pd.DataFrame(dict(zip(("h", "h2", "at", "size"), columns, strict=True)))
+        sizes.append(len(raw))
+    return pd.DataFrame(dict(zip(("h", "h2", "at", "size", "of"), (*columns, sizes), strict=True)))
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, no, at, size, stays, first_id): every chunk that occurs more than once.
+    """(doc_id, text_hash, no, at, size, of, stays, first_id): every chunk that occurs more than once.
 
-    ``at`` counts code points, ``size`` bytes. Of equal chunks the one of the smallest (doc_id, text_hash,
+    ``at`` counts code points, ``size`` bytes, ``of`` those of the whole text. Of equal chunks the one of the smallest (doc_id, text_hash,
     number) stays; ``first_id`` is its doc_id. Rows without id come first. Two shuffles of all chunks by half
     a digest find what may be repeated; only that is compared by the whole digest.
     """
     cut = rows_of_text(docs).select(*_DOC, F.pandas_udf(_chunks, _CHUNKS)("text").alias("c"))
-    each = cut.select(*_DOC, F.posexplode(F.arrays_zip("c.h", "c.h2", "c.at", "c.size")).alias("no", "c"))
+    each = cut.select(*_DOC, F.col("c.of").alias("of"), F.posexplode(F.arrays_zip("c.h", "c.h2", "c.at", "c.size")).alias("no", "c"))
+    each = each.select(*_DOC, "no", "c.*", "of")
     repeated = settle(cut.select(F.explode("c.h").alias("h")).groupBy("h").count().where("count > 1").select("h"),
                       "repeated-digests")
-    members = settle(each.select(*_DOC, "no", "c.*").join(repeated, "h"), "chunks")
+    members = settle(each.join(repeated, "h"), "chunks")
     place = F.struct(*_DOC, "no")
     first = settle(members.groupBy("h", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
                    .where("n > 1").select("h", "h2", "first"), "first-places")
     found = members.join(first, ["h", "h2"])
-    return found.select(*_DOC, "no", "at", "size", place.eqNullSafe(F.col("first")).alias("stays"),
+    return found.select(*_DOC, "no", "at", "size", "of", place.eqNullSafe(F.col("first")).alias("stays"),
                         F.col("first.doc_id").alias("first_id"))
 
 
-def repeated_spans(docs: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
+def repeated_spans(docs: DataFrame, least_bytes: int = LEAST_BYTES, whole_texts: bool = False) -> DataFrame:
     """(doc_id, text_hash, start, chunks, bytes, removed_bytes, first_doc_id): runs of repeated chunks.
 
     A run is a longest row of neighbouring chunks of a document that all occur more than once anywhere,
-    of ``least_bytes`` or more; ``start`` counts code points. ``removed_bytes`` are those of its chunks that
+    of ``least_bytes`` or more or, with ``whole_texts``, of the whole text however short; ``start`` counts code points. ``removed_bytes`` are those of its chunks that
     have an earlier place, ``first_doc_id`` the smallest document that holds one of its chunks first. Every
     document that holds a repeated passage is reported, also the first. Null, empty and short texts are one
     chunk or none. Rows of equal id and text are one document, reported once, and repeat each other. No
@@ -116,5 +136,6 @@ def repeated_spans(docs: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame
     runs = found.withColumn("run", F.col("no") - F.row_number().over(order)).groupBy(*_DOC, "run").agg(
         F.min("at").alias("start"), F.count("*").cast("int").alias("chunks"), F.sum("size").alias("bytes"),
         F.sum(F.when(F.col("stays"), 0).otherwise(F.col("size"))).alias("removed_bytes"),
-        F.min("first_id").alias("first_doc_id"))
-    return runs.where(F.col("bytes") >= least_bytes).drop("run")
+        F.min("first_id").alias("first_doc_id"), F.first("of").alias("of"))
+    whole = F.lit(whole_texts) & (F.col("bytes") == F.col("of"))
+    return runs.where((F.col("bytes") >= least_bytes) | whole).drop("run", "of")

@@ -30,7 +30,7 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gear.repeated_spans(table(spark, sf_dir, "documents")).drop("text_hash")
+    return gear.repeated_spans(table(spark, sf_dir, "documents"), whole_texts=True).drop("text_hash")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
