@@ -164,6 +164,23 @@ def test_language_of_every_text(spark, docs):
     assert langid.with_language(table.limit(0)).count() == 0
 
 
+def test_scripts_of_many_letters():
+    rng = random.Random(7)
+    letters = {"ja": range(0x3400, 0x3400 + 500), "ko": range(0xAC00, 0xAC00 + 700), "zh": range(0x4E00, 0x4E00 + 700)}
+    words = {lang: ["".join(chr(rng.choice(found)) for _ in range(3)) for _ in range(300)] for lang, found in letters.items()}
+    words["zz"] = [w[::-1] for w in words["zh"]]  # the same letters in another order
+    sources = {lang: [prose(i, 60, found) for i in range(20)] for lang, found in sorted(words.items())}
+    sources["xa"] = [prose(i, 400) for i in range(20)]
+    model = langid.build(sources)
+    texts = {lang: prose(99, 40, found) for lang, found in words.items()}
+    assert langid.predict(model, list(texts.values()))[0] == list(texts)
+    for text in texts.values():
+        got = langid.phrases(model, [model.classes[langid.normalised(text)[0]]])[0].tolist()
+        # a stretch is started afresh
+        assert len(text) < langid.STRETCH
+        assert got == [phrases_by_search(text, "\0".join(sorted(sources[lang])) + "\0") for lang in sorted(sources)]
+
+
 # --- 4 --------------------------------------------------------------------------------------------
 
 def test_pseudo_likelihood(spark, docs):

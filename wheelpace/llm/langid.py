@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 UNDETERMINED = "und"
 #: Bound of the fitting sample, per language: distinct texts, and characters taken of each from its middle.
 SAMPLE_TEXTS, SAMPLE_CHARS = 200, 200
-#: Characters with a transition of their own, the most frequent of the sample; the rest share one without any.
+#: The most frequent characters of the sample have a column of transitions; those of all others are searched for.
 ALPHABET = 128
+#: Bits of a class in a key of state and class.
+CLASS_BITS = 21
 STRETCH = 512
 #: Stretches parsed at once, and characters of texts normalised at once.
 LANES, TOGETHER = 8192, 2_000_000
@@ -38,12 +40,17 @@ class Model:
     """Transition tables of all languages, stacked.
 
     ``steps[state, class]`` is twice the next state, plus one where the phrase ended and a new one began
-    with this character. State 0 of a language is its root.
+    with this character, for class 0 and the most frequent ones. Transitions of all other classes stand in
+    ``values``, by the sorted ``keys`` of state and class; where there is none, ``starts[language, class]`` holds.
+    State 0 of a language is its root.
     """
 
     languages: list[str]
-    classes: np.ndarray  # of a code point, 0: not in the alphabet
+    classes: np.ndarray  # of a code point, 0: not in the sample
     steps: np.ndarray
+    keys: np.ndarray
+    values: np.ndarray
+    starts: np.ndarray
     roots: np.ndarray
     bits: np.ndarray  # per phrase
 
@@ -76,38 +83,34 @@ def normalised(text: str) -> tuple[np.ndarray, int]:
     return points[keep], int((kinds == 1).sum())
 
 
-def automaton(text: list[int], classes: int) -> np.ndarray:
-    """Suffix automaton of a sequence of classes: next state by (state, class), -1 for none."""
-    limit = 2 * len(text) + 2
-    step = np.full((limit, classes), -1, np.int32)
-    link, length = [-1] * limit, [0] * limit
-    size, last = 1, 0
+def automaton(text: list[int]) -> list[dict[int, int]]:
+    """Suffix automaton of a sequence of classes: of each state the next one by class."""
+    step, link, length = [{}], [-1], [0]
+    last = 0
     for c in text:
-        new = size
-        size += 1
-        length[new] = length[last] + 1
+        new = len(step)
+        step.append({})
+        link.append(0)
+        length.append(length[last] + 1)
         p = last
-        while p >= 0 and step[p, c] < 0:
-            step[p, c] = new
+        while p >= 0 and c not in step[p]:
+            step[p][c] = new
             p = link[p]
-        if p < 0:
-            link[new] = 0
-        else:
-            q = int(step[p, c])
+        if p >= 0:
+            q = step[p][c]
             if length[p] + 1 == length[q]:
                 link[new] = q
             else:
-                copy = size
-                size += 1
-                length[copy] = length[p] + 1
-                step[copy] = step[q]
-                link[copy] = link[q]
-                while p >= 0 and step[p, c] == q:
-                    step[p, c] = copy
+                copy = len(step)
+                step.append(dict(step[q]))
+                link.append(link[q])
+                length.append(length[p] + 1)
+                while p >= 0 and step[p].get(c) == q:
+                    step[p][c] = copy
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    return step[:size]
+    return step
 
 
 def build(samples: dict[str, list[str]]) -> Model:
@@ -117,23 +120,38 @@ def build(samples: dict[str, list[str]]) -> Model:
     texts = {lang: found for lang, found in texts.items() if found}
     points, counts = np.unique(np.concatenate([np.zeros(0, np.uint32), *(p for f in texts.values() for p in f)]),
                                return_counts=True)
-    alphabet = points[np.lexsort((points, -counts))][:ALPHABET]
-    classes = np.zeros(0x110000, np.uint8)
+    alphabet = points[np.lexsort((points, -counts))]
+    classes = np.zeros(0x110000, np.int32)
     classes[alphabet] = np.arange(1, len(alphabet) + 1)
-    width = len(alphabet) + 2  # 0: unknown, last: break between texts
-    tables, roots, bits, first = [], [], [], 0
+    apart = len(alphabet) + 1  # break between texts
+    width = min(len(alphabet), ALPHABET) + 1
+    tables, keys, values, starts, roots, bits, first = [], [], [], [], [], [], 0
     for found in texts.values():
-        sequence = [c for p in found for c in (*classes[p].tolist(), width - 1)]
-        step = automaton(sequence, width)
-        step[:, 0] = -1  # characters outside the alphabet match nothing
-        known = step >= 0
-        start = np.where(known[0], step[0] + first, first)  # after a phrase ended
-        tables.append(np.where(known, 2 * (step + first), 2 * start[None, :] + 1).astype(np.int32))
+        sequence = [c for p in found for c in (*classes[p].tolist(), apart)]
+        step = automaton(sequence)
+        start = np.full(apart, first, np.int32)  # after a phrase ended
+        for c, state in step[0].items():
+            if c != apart:
+                start[c] += state
+        states = np.repeat(np.arange(len(step)), [len(x) for x in step])
+        by = np.fromiter((c for x in step for c in x), np.int64, len(states))
+        to = 2 * (np.fromiter((n for x in step for n in x.values()), np.int64, len(states)) + first)
+        dense, rare = by < width, (by >= width) & (by != apart)
+        table = np.tile(2 * start[:width] + 1, (len(step), 1))
+        table[states[dense], by[dense]] = to[dense]
+        key = (states[rare] + first) << CLASS_BITS | by[rare]
+        order = np.argsort(key)
+        tables.append(table)
+        keys.append(key[order])  # states of later languages are larger
+        values.append(to[rare][order].astype(np.int32))
+        starts.append(2 * start + 1)
         roots.append(first)
         first += len(step)
         bits.append(math.log2(len(sequence) + 1))
     steps = np.concatenate(tables) if tables else np.zeros((0, width), np.int32)
-    return Model(list(texts), classes, steps, np.array(roots, np.int32), np.array(bits))
+    none = np.zeros(0, np.int32)
+    return Model(list(texts), classes, steps, np.concatenate([none.astype(np.int64), *keys]), np.concatenate([none, *values]),
+                 np.array(starts, np.int32).reshape(len(texts), apart), np.array(roots, np.int32), np.array(bits))
 
 
 def phrases(model: Model, texts: list[np.ndarray]) -> np.ndarray:
@@ -149,21 +167,35 @@ def phrases(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     for lane in range(0, len(order), LANES):
         chosen = order[lane:lane + LANES]
         lengths = np.array([len(pieces[i]) for i in chosen])
-        grid = np.zeros((int(lengths[0]), len(chosen)), np.uint8)
+        grid = np.zeros((int(lengths[0]), len(chosen)), np.int32)
         for j, i in enumerate(chosen):
             grid[:lengths[j], j] = pieces[i]
         active = np.searchsorted(-lengths, -np.arange(1, len(grid) + 1), side="right")
         owners = np.array(owner)[chosen]
+        columns = np.where(grid < width, grid, 0).astype(np.uint8)
+        rare = [np.flatnonzero(row >= width) for row in grid]  # stretches that have ended are 0
         for k, root in enumerate(model.roots):
             state, count = np.full(len(chosen), root, np.int32), np.ones(len(chosen), np.int32)
-            for row, n in zip(grid, active.tolist(), strict=True):  # n: stretches that are still going on
-                found = flat[state[:n] * width + row[:n]]
+            for row, column, others, n in zip(grid, columns, rare, active.tolist(), strict=True):
+                found = flat[state[:n] * width + column[:n]]  # n: stretches that are still going on
+                if len(others):
+                    found[others] = _searched(model, k, state[others], row[others])
                 count[:n] += found & 1
                 np.right_shift(found, 1, out=state[:n])
             np.add.at(total[:, k], owners, count)
     return total
 
 
+def _searched(model: Model, language: int, state: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Steps by classes that have no column."""
+    out = model.starts[language, classes]
+    if len(model.keys):
+        key = state.astype(np.int64) << CLASS_BITS | classes
+        at = np.minimum(np.searchsorted(model.keys, key), len(model.keys) - 1)
+        out = np.where(model.keys[at] == key, model.values[at], out)
+    return out
+
+
 def predict(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score and bits per character of the winner."""
     lang, score, bits = [], [np.zeros(0)], [np.zeros(0)]
