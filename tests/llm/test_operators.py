@@ -164,6 +164,20 @@ def test_language_of_every_text(spark, docs):
     assert langid.with_language(table.limit(0)).count() == 0
 
 
+def test_known_language_takes_effect(spark, docs):
+    wrong = next(i for i in range(1, 60, 2) if zlib.crc32(str(i).encode()) % 3 == 1)  # held out, so it teaches nothing
+    tongues = {"xa": WORDS, "xb": ["zu" + w for w in WORDS[:60]]}
+    rows = [(i, prose(i, 60, tongues[lang]), "xa" if i == wrong else lang) for i in range(60) for lang in [("xa", "xb")[i % 2]]]
+    table = spark.createDataFrame([*rows, (70, prose(70, 60), None), (71, "123", "xa"), (72, None, "xa")],
+                                  "doc_id long, text string, lang string").selectExpr("*", "lang AS lang_pred")
+    found = langid.known_language(table)
+    assert found.columns == table.columns
+    assert {r.doc_id: r.lang for r in found.collect()} == {i: ("xa", "xb")[i % 2] for i in (*range(60), 70)}
+    unlabelled = langid.known_language(docs(*ODD)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in unlabelled) == sorted(
+        (i or 0, t) for i, t in ODD if any(c.isalpha() for c in t or ""))
+
+
 def test_scripts_of_many_letters():
     rng = random.Random(7)
     letters = {"ja": range(0x3400, 0x3400 + 500), "ko": range(0xAC00, 0xAC00 + 700), "zh": range(0x4E00, 0x4E00 + 700)}

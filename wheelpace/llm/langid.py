@@ -257,8 +257,8 @@ def fit(labelled: DataFrame) -> Model:
     return build(samples)
 
 
-def _parser(docs: DataFrame, model: Model):
-    """A column function: text to struct (lang_pred, score, bits_per_char)."""
+def _parser(docs: DataFrame, model: Model, once: bool = False):
+    """A column function: text to struct (lang_pred, score, bits_per_char); ``once`` keeps a filter from parsing again."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, bits_per_char double")
@@ -267,7 +267,7 @@ def _parser(docs: DataFrame, model: Model):
             lang, score, bits = predict(sent.value, texts.tolist())
             yield pd.DataFrame({"lang_pred": lang, "score": score, "bits_per_char": bits})
 
-    return parse(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return (parse.asNondeterministic() if once else parse)(F.coalesce(docs["text"].cast("string"), F.lit("")))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -288,9 +288,17 @@ def with_language(docs: DataFrame) -> DataFrame:
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text has a letter, with all their columns: what is ``und`` goes.
+    """The rows of ``docs`` whose text has a letter, with the identified language as ``lang``: what is ``und`` goes.
 
-    Every row is decided by its own text, also where rows share an id.
+    Every row is decided by its own text, also where rows share an id. Other columns stay. Where nothing is
+    labelled nothing can be told apart: all rows with a letter stay as they are.
     """
     model = fit(docs.where(~held_out(docs["doc_id"])))
-    return docs.where(_parser(docs, model)["lang_pred"] != UNDETERMINED)
+    if not model.languages:
+        return docs.where(F.coalesce(docs["text"].cast("string"), F.lit("")).rlike(r"\p{L}"))
+    out = "lang_pred"
+    while out in docs.columns:
+        out = f"_{out}"
+    rows = docs.withColumn(out, _parser(docs, model, once=True)["lang_pred"]).where(F.col(out) != UNDETERMINED)
+    kind = docs.schema["lang"].dataType
+    return rows.select(*(F.col(out).cast(kind).alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns))
