@@ -11,7 +11,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(oracles()))
 def test_query_equals_sql(spark, name):
     with duckdb.connect() as db:
-        for table in ("documents", "benchmark", "pages"):
+        for table in ("documents", "benchmark", "pages", "embeddings", "conversations"):
             db.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
         found = db.execute(oracles()[name])
         columns = [c[0] for c in found.description]
