@@ -5,8 +5,10 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import public_tokenizers
 import xxhash
@@ -232,9 +234,11 @@ def test_every_counted_word_has_its_own_probability(docs):
                  (4, " ".join(same[1:] * 6)), (5, "zzz"), (6, None))
     found = {r.doc_id: r.log_likelihood for r in lm.pseudo_likelihood(table).collect()}
     assert found[2] - found[3] == pytest.approx(math.log(1 / 7), abs=1e-5)
-    others = lm.vocabulary(table.selectExpr("coalesce(text, '') AS text"))[3]
+    following, others = lm.vocabulary(table.selectExpr("coalesce(text, '') AS text"))[3:]
     assert {r.word: r.n for r in others.collect()} == {same[0]: 1, same[1]: 7, "zzz": 1}
-    share = {r.word: math.exp(r.share / lm.GRAIN) for r in lm.shares(others).collect()}
+    sent, rest = lm.shares(others, following)
+    assert rest.isEmpty()
+    share = {word: math.exp(x / lm.GRAIN) for word, x in sent.items()}
     assert share == pytest.approx({same[0]: 1 / 9, same[1]: 7 / 9, "zzz": 1 / 2})
 
 
@@ -560,3 +564,48 @@ def test_pipeline_stages(spark, docs, tmp_path):
     check_packing(corpus_pipeline.run(spark, str(tmp_path)).collect(), left[3])
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language ID", "line dedup", "near-duplicates", "decontamination", "packing"]
+
+
+def test_whole_scores_equal_plain_loops(spark, docs, monkeypatch):
+    """Every place of whole texts: class, word within the class and the share of a shared id, by plain loops; the
+    shares of the most frequent words without an own id are sent, those of the others joined, and give the same."""
+    rng = np.random.default_rng(4)
+    own = [f"own{i}" for i in range(lm.OWN)]
+    rare = [f"rare{i}" for i in range(60)]
+    texts = [" ".join(own * 2)] + [" ".join(rng.choice(own[:30] + rare, rng.integers(1, 40))) for _ in range(20)] + ["", None]
+    rows = list(enumerate(texts))
+    w = lm.initial([3] * lm.OWN, 5 * lm.OWN)
+    monkeypatch.setattr(lm, "train", lambda *_: w)
+    counts = Counter(t for text in texts for t in lm.tokens(text or ""))
+    names = sorted(sorted(counts), key=lambda t: -counts[t])[:lm.OWN]
+    ids = {t: names.index(t) if t in names else lm.OWN + lm.bucket(t) for t in counts}
+    of_bucket = Counter()
+    for t, n in counts.items():
+        of_bucket[ids[t]] += n if ids[t] >= lm.OWN else 0
+
+    def score(text):
+        line, total = [lm.IDS - 1] * lm.SIDE + [ids[t] for t in lm.tokens(text)] + [lm.IDS - 1] * lm.SIDE, 0.0
+        for at, word in enumerate(lm.tokens(text), lm.SIDE):
+            around = [line[at + o] for o in range(-lm.SIDE, lm.SIDE + 1) if o]
+            h = np.tanh(sum(w["context"][k][x].astype(float) for k, x in enumerate(around)) + w["bias"])
+            group, inner = divmod(line[at], lm.PER_CLASS)
+            classes = w["classes"] @ h + w["class_bias"]
+            words = w["words"][group] @ h + w["word_bias"][group]
+            total += classes[group] - np.log(np.exp(classes).sum()) + words[inner] - np.log(np.exp(words).sum())
+            if line[at] >= lm.OWN:
+                total += math.log(counts[word] / (of_bucket[line[at]] + 1))
+        return total
+
+    for limit in (7, lm.NEXT):
+        monkeypatch.setattr(lm, "NEXT", limit)
+        found = {r.doc_id: r for r in lm.pseudo_likelihood(docs(*rows)).collect()}
+        for i, text in rows[1:]:
+            assert found[i].n_tokens == len(lm.tokens(text or ""))
+            assert found[i].log_likelihood == pytest.approx(score(text or ""), rel=1e-5, abs=1e-6)
+
+
+def test_pieces_of_weights_are_averaged():
+    rows = pd.DataFrame({"piece": [0, 1, 0, 1], "n": [1.0, 1.0, 3.0, 3.0],
+                         "weights": [np.full(4, x, np.float32).tobytes() for x in (1, 2, 9, 6)]})
+    found = {r.piece: np.frombuffer(r.weights) for part in lm._added(iter([rows[:3], rows[3:]])) for r in part.itertuples()}
+    assert found[0].tolist() == [2.5] * 4 and found[1].tolist() == [2.0] * 4

@@ -3,11 +3,15 @@ the sum of the conditional log-probabilities of their words.
 
 Words become ids: the most frequent words of the whole corpus have their own, all others share ids by
 hash, and each of these has its share of the counts of its id: the probability of a word is that of its id
-times that share, so that all counted words enter the score and the sum over them is a probability. Each of ``SIDE`` places left and right has its own table of vectors; their sum and a bias, through a
+times that share, so that all counted words enter the score and the sum over them is a probability. The shares
+of the ``NEXT`` most frequent of them are sent to the tasks, those of all rarer words are joined.
+
+Each of ``SIDE`` places left and right has its own table of vectors; their sum and a bias, through a
 tanh, predict the class of the word in the middle and the word within its class. The network is trained in
 numpy over all documents: in each of ``ROUNDS`` rounds every task starts from the common weights, trains
 on its share of the round's documents at masked places, and the weights are averaged by the
-number of places. Then every place of every whole text is scored.
+number of places. They are added up piece by piece as the tasks' pieces stream in. Then every place of every
+whole text is scored.
 """
 
 from __future__ import annotations
@@ -39,7 +43,10 @@ ROUNDS = 2
 MASKED = 8
 PLACES = 4096  # per step
 RATE = 0.2
-SLOTS = 4
+#: Weights are added up in pieces of so many numbers, every piece in one task.
+PIECE = 4096
+#: Words without an own id whose shares are sent to the tasks, some 30 bytes each; rarer ones are joined.
+NEXT = 200_000
 #: Logarithms of shares are summed as whole numbers of this part of one, so that no order changes a sum.
 GRAIN = 1 << 28
 #: Rows scored at once.
@@ -198,9 +205,9 @@ def _shaped(flat: np.ndarray) -> Weights:
     return out
 
 
-def vocabulary(texts: DataFrame) -> tuple[list[str], list[int], int, DataFrame]:
+def vocabulary(texts: DataFrame) -> tuple[list[str], list[int], int, list[tuple[str, int]], DataFrame]:
     """The ``OWN`` most frequent words of all texts, ties in their order; their counts; the count of all words;
-    (word, n) of all other words."""
+    (word, n) of the ``NEXT`` most frequent others, and of all others."""
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found: Counter[str] = Counter()
@@ -210,16 +217,18 @@ def vocabulary(texts: DataFrame) -> tuple[list[str], list[int], int, DataFrame]:
 
     words = settle(texts.mapInPandas(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")),
                    "word-counts")
-    own = words.orderBy(F.desc("n"), "word").limit(OWN).collect()
+    first = [(r["word"], r["n"]) for r in words.orderBy(F.desc("n"), "word").limit(OWN + NEXT).collect()]
+    own, following = first[:OWN], first[OWN:]
     others = words.where("false")
     if len(own) == OWN:
-        last = own[-1]
-        others = words.where((F.col("n") < last["n"]) | (F.col("n") == last["n"]) & (F.col("word") > last["word"]))
-    return [r["word"] for r in own], [r["n"] for r in own], words.agg(F.sum("n")).first()[0] or 0, others
+        word, n = own[-1]
+        others = words.where((F.col("n") < n) | (F.col("n") == n) & (F.col("word") > word))
+    return [w for w, _ in own], [n for _, n in own], words.agg(F.sum("n")).first()[0] or 0, following, others
 
 
-def shares(others: DataFrame) -> DataFrame:
-    """(word, share): the logarithm, in ``GRAIN``, of the part of its id's counts that a word without an own id has.
+def shares(others: DataFrame, following: list[tuple[str, int]]) -> tuple[dict[str, int], DataFrame]:
+    """The logarithm, in ``GRAIN``, of the part of its id's counts that a word without an own id has: of the
+    ``following`` words, and (word, share) of the rest of ``others``.
 
     Of the counts of an id one more is set aside for words that were never seen.
     """
@@ -229,8 +238,25 @@ def shares(others: DataFrame) -> DataFrame:
 
     others = others.withColumn("bucket", buckets("word"))
     found = {r["bucket"]: r["n"] for r in others.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+    sent = {w: round(math.log(n / (found[bucket(w)] + 1)) * GRAIN) for w, n in following}
+    rest = others.where("false")
+    if len(following) == NEXT:
+        word, n = following[-1]
+        rest = others.where((F.col("n") < n) | (F.col("n") == n) & (F.col("word") > word))
     of_id = F.get(F.array(*(F.lit(float(found.get(i, 0) + 1)) for i in range(SHARED))), F.col("bucket"))
-    return others.select("word", F.round(F.log(F.col("n") / of_id) * GRAIN).cast("long").alias("share"))
+    return sent, rest.select("word", F.round(F.log(F.col("n") / of_id) * GRAIN).cast("long").alias("share"))
+
+
+def _added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums of (piece, n, weights), one piece at a time in memory for each that this task has to add."""
+    total: dict[int, list] = {}
+    for batch in batches:
+        for piece, n, weights in zip(batch["piece"].tolist(), batch["n"].tolist(), batch["weights"], strict=True):
+            sums = total.setdefault(piece, [0.0, 0.0])
+            sums[0] += n
+            sums[1] = sums[1] + np.frombuffer(weights, np.float32).astype(np.float64)
+    for piece, (n, sums) in total.items():
+        yield pd.DataFrame({"piece": [piece], "n": [n], "weights": [(sums / n).tobytes()]})
 
 
 def train(texts: DataFrame, own: list[str], counts: list[int], total: int) -> Weights:
@@ -252,19 +278,16 @@ def train(texts: DataFrame, own: list[str], counts: list[int], total: int) -> We
                     _step(w, line, chosen, RATE / (1 + number))
                     learned += len(chosen)
             if learned:
-                yield pd.DataFrame({"slot": [part % SLOTS], "n": [float(learned)],
-                                    "weights": [(_flat(w) * learned).astype(np.float32).tobytes()]})
-
-        def merge(group: pd.DataFrame) -> pd.DataFrame:
-            total = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in group["weights"])
-            return pd.DataFrame({"n": [group["n"].sum()], "weights": [total.astype(np.float32).tobytes()]})
+                sums = (_flat(w) * learned).astype(np.float32)
+                pieces = range(0, len(sums), PIECE)
+                yield pd.DataFrame({"piece": [at // PIECE for at in pieces], "n": float(learned),
+                                    "weights": [sums[at:at + PIECE].tobytes() for at in pieces]})
 
         share = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == number)
-        found = share.mapInPandas(learn, "slot int, n double, weights binary").groupBy("slot").applyInPandas(
-            merge, "n double, weights binary").collect()
+        schema = "piece int, n double, weights binary"
+        found = share.mapInPandas(learn, schema).repartition("piece").mapInPandas(_added, schema).collect()
         if found:
-            flat = sum(np.frombuffer(r["weights"], np.float32).astype(np.float64) for r in found) / sum(
-                r["n"] for r in found)
+            flat = np.concatenate([np.frombuffer(r["weights"]) for r in sorted(found, key=lambda r: r["piece"])])
         sent.unpersist()
     return _shaped(flat)
 
@@ -275,17 +298,18 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     Natural logarithms; a word without an own id has the probability of its shared id times its share of that
     id's counts, by a join with the counts of all words. Null, empty and blank texts
     have no words, likelihood 0 and a null mean. Equal texts get equal scores; extra columns are ignored;
-    no rows give no rows. What reaches the driver is the vocabulary, the counts of
-    the shared ids and ``SLOTS`` sums of weights a round.
+    no rows give no rows. What reaches the driver is the vocabulary, the ``NEXT`` words after it, the counts of
+    the shared ids and the weights of a round.
     """
     text = F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")
     texts = docs.select(text)
-    own, counts, total, others = vocabulary(texts)
-    sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps((own, train(texts, own, counts, total))))
+    own, counts, total, following, others = vocabulary(texts)
+    near, rest = shares(others, following)
+    sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps((own, near, train(texts, own, counts, total))))
 
-    @F.pandas_udf("n_tokens long, of_ids double, others array<string>")
+    @F.pandas_udf("n_tokens long, of_ids double, share long, others array<string>")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        words, w = pickle.loads(sent.value)
+        words, near, w = pickle.loads(sent.value)
         known = Vocabulary(words)
         for column in (batch[at:at + TOGETHER] for batch in batches for at in range(0, len(batch), TOGETHER)):
             texts = [tokens(t) for t in column]
@@ -294,15 +318,20 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
             sizes = np.array([len(x) for x in ids], np.int64)
             total = np.concatenate([[0.0], np.cumsum(log_probabilities(w, line, places), dtype=np.float64)])
             stops = np.cumsum(sizes)
-            others = [list(compress(t, (x >= OWN).tolist())) for t, x in zip(texts, ids, strict=True)]
-            yield pd.DataFrame({"n_tokens": sizes, "of_ids": total[stops] - total[stops - sizes], "others": others})
+            others, share = [], np.zeros(len(texts), np.int64)
+            for i, (text, x) in enumerate(zip(texts, ids, strict=True)):
+                rare = list(compress(text, (x >= OWN).tolist()))
+                share[i] = sum(near.get(word, 0) for word in rare)
+                others.append([word for word in rare if word not in near])
+            yield pd.DataFrame({"n_tokens": sizes, "of_ids": total[stops] - total[stops - sizes], "share": share,
+                                "others": others})
 
     found = settle(docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"], scored(text).alias("s"))
                    .select("row", "doc_id", "s.*"), "scores-of-ids")
-    # A word without an own id is rarer than every word that has one, so no key of the join is hot.
-    within = found.select("row", F.explode("others").alias("word")).join(shares(others).hint("merge"), "word")
-    within = within.groupBy("row").agg(F.sum("share").alias("share"))
+    # Words that are joined are rarer than ``OWN + NEXT`` others, so no key of the join is hot.
+    within = found.select("row", F.explode("others").alias("word")).join(rest.hint("merge"), "word")
+    within = within.groupBy("row").agg(F.sum("share").alias("joined"))
     found = found.join(within.hint("merge"), "row", "left").select("doc_id", "n_tokens", (
-        F.col("of_ids") + F.coalesce(F.col("share") / GRAIN, F.lit(0.0))).alias("log_likelihood"))
+        F.col("of_ids") + (F.col("share") + F.coalesce("joined", F.lit(0))) / GRAIN).alias("log_likelihood"))
     return found.withColumn("mean_log_likelihood", F.when(
         F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
