@@ -584,7 +584,7 @@ def test_whole_scores_equal_plain_loops(spark, docs, monkeypatch):
     w = lm.initial([3] * lm.OWN, 5 * lm.OWN)
     monkeypatch.setattr(lm, "train", lambda *_: w)
     counts = Counter(t for text in texts for t in lm.tokens(text or ""))
-    names = sorted(sorted(counts), key=lambda t: -counts[t])[:lm.OWN]
+    names = sorted(counts, key=lambda t: (-counts[t], np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).view(np.int64)))[:lm.OWN]
     ids = {t: names.index(t) if t in names else lm.OWN + lm.bucket(t) for t in counts}
     of_bucket = Counter()
     for t, n in counts.items():
@@ -616,3 +616,13 @@ def test_pieces_of_weights_are_averaged():
                          "weights": [np.full(4, x, np.float32).tobytes() for x in (1, 2, 9, 6)]})
     found = {r.piece: np.frombuffer(r.weights) for part in lm._added(iter([rows[:3], rows[3:]])) for r in part.itertuples()}
     assert found[0].tolist() == [2.5] * 4 and found[1].tolist() == [2.0] * 4
+
+
+@pytest.mark.parametrize("wanted", [1, 5, 6, 40, 300, 301])
+def test_the_most_frequent_words_are_found_by_counts(spark, wanted):
+    rows = [(f"w{i}", 1000 - i if i < 5 else 7 if i < 200 else 1) for i in range(300)]
+    found = lm.most_frequent(spark.createDataFrame(rows, "word string, n long").repartition(5), wanted)
+    order = sorted(rows, key=lambda r: (-r[1], np.uint64(xxhash.xxh64_intdigest(r[0].encode(), 42)).view(np.int64)))
+    assert found == order[:wanted]
+    behind = lm._behind(spark.createDataFrame(rows, "word string, n long"), found[-1])
+    assert sorted((r.word, r.n) for r in behind.collect()) == sorted(order[wanted:])

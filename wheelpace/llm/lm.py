@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wheelpace.llm.resample import lowest
 from wheelpace.session import settle
 
 SIDE = 2
@@ -205,9 +206,35 @@ def _shaped(flat: np.ndarray) -> Weights:
     return out
 
 
+def most_frequent(words: DataFrame, wanted: int) -> list[tuple[str, int]]:
+    """The ``wanted`` most frequent of ``words`` (word, n), ties in the order of their hashes.
+
+    The last count and the last hash among them are found by bisection with counts alone, so that no partition
+    sends words that are not wanted.
+    """
+    tied = F.lit(True)
+    if words.count() > wanted:
+        before, left = F.lit(False), wanted
+        for key in (-F.col("n"), F.xxhash64("word")):
+            cut = lowest(words.where(tied), key, left)
+            before = before | (tied & (key < cut))
+            left -= words.where(tied & (key < cut)).count()
+            tied = tied & (key == cut)
+        words = words.where(before | tied)
+    found = words.select("word", "n", F.xxhash64("word").alias("h")).collect()
+    return [(r["word"], r["n"]) for r in sorted(found, key=lambda r: (-r["n"], r["h"], r["word"]))]
+
+
+def _behind(words: DataFrame, last: tuple[str, int]) -> DataFrame:
+    """The words that come after ``last`` in the order of ``most_frequent``."""
+    word, n = last
+    hashed, at = F.xxhash64("word"), F.xxhash64(F.lit(word))
+    return words.where((F.col("n") < n) | (F.col("n") == n) & ((hashed > at) | (hashed == at) & (F.col("word") > word)))
+
+
 def vocabulary(texts: DataFrame) -> tuple[list[str], list[int], int, list[tuple[str, int]], DataFrame]:
-    """The ``OWN`` most frequent words of all texts, ties in their order; their counts; the count of all words;
-    (word, n) of the ``NEXT`` most frequent others, and of all others."""
+    """The ``OWN`` most frequent words of all texts, ties in the order of their hashes; their counts; the count of all
+    words; (word, n) of the ``NEXT`` most frequent others, and of all others."""
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found: Counter[str] = Counter()
@@ -217,12 +244,9 @@ def vocabulary(texts: DataFrame) -> tuple[list[str], list[int], int, list[tuple[
 
     words = settle(texts.mapInPandas(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")),
                    "word-counts")
-    first = [(r["word"], r["n"]) for r in words.orderBy(F.desc("n"), "word").limit(OWN + NEXT).collect()]
-    own, following = first[:OWN], first[OWN:]
-    others = words.where("false")
-    if len(own) == OWN:
-        word, n = own[-1]
-        others = words.where((F.col("n") < n) | (F.col("n") == n) & (F.col("word") > word))
+    first = most_frequent(words, OWN + NEXT)
+    own, following = first[:OWN], first[OWN:OWN + NEXT]
+    others = _behind(words, own[-1]) if len(own) == OWN else words.where("false")
     return [w for w, _ in own], [n for _, n in own], words.agg(F.sum("n")).first()[0] or 0, following, others
 
 
@@ -239,10 +263,7 @@ def shares(others: DataFrame, following: list[tuple[str, int]]) -> tuple[dict[st
     others = others.withColumn("bucket", buckets("word"))
     found = {r["bucket"]: r["n"] for r in others.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
     sent = {w: round(math.log(n / (found[bucket(w)] + 1)) * GRAIN) for w, n in following}
-    rest = others.where("false")
-    if len(following) == NEXT:
-        word, n = following[-1]
-        rest = others.where((F.col("n") < n) | (F.col("n") == n) & (F.col("word") > word))
+    rest = _behind(others, following[-1]) if len(following) == NEXT else others.where("false")
     of_id = F.get(F.array(*(F.lit(float(found.get(i, 0) + 1)) for i in range(SHARED))), F.col("bucket"))
     return sent, rest.select("word", F.round(F.log(F.col("n") / of_id) * GRAIN).cast("long").alias("share"))
 

@@ -124,7 +124,7 @@ def noise(doc_id: Column, seed: int = SEED) -> Column:
     return F.floor(F.lit(-1000.0) * F.log(-F.log(share)))
 
 
-def _lowest(rows: DataFrame, value: Column, wanted: int) -> int:
+def lowest(rows: DataFrame, value: Column, wanted: int) -> int:
     """The smallest number that at least ``wanted`` of the values of ``rows`` do not exceed, by bisection."""
     found = rows.agg(F.min(value).alias("low"), F.max(value).alias("high")).first()
     low, high = found["low"], found["high"]
@@ -152,7 +152,7 @@ def drawn(scored: DataFrame, wanted: int) -> Column:
     keys = [-F.col("score"), F.col("doc_id").isNotNull().cast("int"), F.coalesce(F.col("doc_id"), F.lit(0)), F.col("row")]
     before, tied, left = F.lit(False), F.lit(True), wanted
     for key in keys:
-        cut = _lowest(scored.where(tied), key, left)
+        cut = lowest(scored.where(tied), key, left)
         before = before | (tied & (key < cut))
         left -= scored.where(tied & (key < cut)).count()
         tied = tied & (key == cut)
