@@ -7,7 +7,7 @@ from wheelpace.config import DEFAULT, DERIVED
 from wheelpace.functions.features import (
     add_model_features, add_time_features, month_label, month_of, round_numbers, time_group,
 )
-from wheelpace.functions.student_t import regularized_beta, two_sided_p
+from wheelpace.functions.student_t import regularized_beta, two_sided_p, with_two_sided_p
 
 
 def test_derived_columns_and_types(trips):
@@ -101,3 +101,14 @@ def test_p_value_edges():
     assert regularized_beta(0.5, 2, 3) == pytest.approx(11 / 16)
     # Both ways of computing meet at the change of method.
     assert two_sided_p(2.3, 1e6) == pytest.approx(two_sided_p(2.3, 1e6 + 1), rel=1e-6)
+
+
+def test_p_values_as_a_column_equal_those_of_the_driver(spark):
+    values = [(t, dof) for t in (-40.0, -2.5, -1e-9, 0.0, 0.3, 1.0, 1.96, 7.0, 300.0)
+              for dof in (0.7, 1.0, 1.5, 2.0, 4.4, 30.0, 79.9, 80.1, 999.0, 12345.6, 400_000.0)]
+    odd = [(None, 3.0), (1.0, None), (float("nan"), 3.0), (float("inf"), 3.0)]
+    rows = with_two_sided_p(spark.createDataFrame(values + odd, "t double, dof double"), "t", "dof", "p")
+    assert rows.columns == ["t", "dof", "p"]
+    for r in rows.collect():
+        want = two_sided_p(r["t"], r["dof"])
+        assert r["p"] is None if want is None else r["p"] == pytest.approx(want, rel=1e-8, abs=1e-10), tuple(r)

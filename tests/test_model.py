@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from wheelpace.config import DEFAULT, ROUTE, RUSH, SLOW, SPEED
 from wheelpace.functions.features import add_model_features
-from wheelpace.operators import model
+from wheelpace.operators import boosting, model
 from wheelpace.plans import runs
+from wheelpace.sources import versions
 
 QUICK = replace(DEFAULT, max_rounds=5)
 
@@ -106,20 +107,11 @@ def test_categories_are_counted_without_a_row_per_column(marked):
         assert {k[1]: n for k, n in got.items() if k[0] == c} == want
 
 
-def test_the_stop_rule_waits(marked):
-    flat = [0.9, 0.8, 0.8, 0.8, 0.7, 0.7, 0.7, 0.7]
-    assert model.stop_round(flat, 3, 1e-7) == 8
-    assert model.stop_round(flat, 2, 1e-7) == 4
-    assert model.stop_round(flat, 8, 1e-7) is None and model.stop_round([], 3, 1e-7) is None
-
-
-def test_rounds_follow_the_rule(marked, monkeypatch):
-    monkeypatch.setattr(model, "FIRST_ROUNDS", 3)
+def test_settings_reach_the_trees(marked):
     rows, threshold = marked
-    monkeypatch.setattr(model, "stop_round", lambda errors, patience, gain: 5 if len(errors) > 5 else None)
-    assert model.fit(rows, threshold, replace(DEFAULT, max_rounds=9)).trees.getNumTrees == 5
-    monkeypatch.setattr(model, "stop_round", lambda errors, patience, gain: None)
-    assert model.fit(rows, threshold, replace(DEFAULT, max_rounds=4)).trees.getNumTrees == 4
+    trees = model.fit(rows, threshold, replace(DEFAULT, max_rounds=2, max_leaves=4)).trees
+    assert trees.getNumTrees == 2 and all(sum(left < 0 for left in t.left) <= 4 for t in trees.trees)
+    assert model.tree_settings() == boosting.Settings(0.08, 250, 31, 50, 1.0, 20, 1e-7)
 
 
 def confused(spark, tn, fp, fn, tp):
@@ -185,6 +177,36 @@ def test_whole_run(raw, tmp_path, spark):
     assert spark.read.json(done["paths"]["metrics"]).first()["train_rows"] > 0
 
 
+def test_a_run_is_taken_up_again(spark, raw, tmp_path):
+    """A second run computes nothing; one that died goes on; another input or another setting starts anew."""
+    raw.write.parquet(f"{tmp_path}/trips")
+    source, folder = f"{tmp_path}/trips", f"{tmp_path}/run"
+    cfg = replace(DEFAULT, max_rounds=2)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(runs, "train_from", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            runs.run_file(spark, source, folder, cfg)
+    done = runs.run_file(spark, source, folder, cfg)
+    assert done["computed"] == ["model"] and done["stages"]["cleaned"]["tables"]["cleaned"]["rows"] == 986
+    again = runs.run_file(spark, source, folder, cfg)
+    assert again["computed"] == [] and again["stages"] == done["stages"]
+    assert runs.stored_tables(spark, again).count() == 26
+    assert model.load_model(spark, done["stages"]["model"]["model"]).trees.getNumTrees == 2
+    assert runs.run_file(spark, source, folder, replace(cfg, alpha=0.01, max_rounds=1))["computed"] == list(done["stages"])
+    versions.publish(raw.limit(3), f"{folder}/cleaned")  # the cleaned table is replaced by another one
+    assert runs.run_file(spark, source, folder, cfg)["computed"] == ["cleaned"]
+    raw.limit(700).write.mode("append").parquet(source)
+    assert "cleaned" in runs.run_file(spark, source, folder, cfg)["computed"]
+
+
+def test_training_from_the_stored_table(spark, raw, tmp_path):
+    done = runs.prepare(raw, path=str(tmp_path / "clean"))
+    fitted, metrics, _ = runs.train_from(spark, str(tmp_path / "clean"), QUICK)
+    assert metrics.first()["train_rows"] + metrics.first()["test_rows"] == done.rows and fitted.trees.getNumTrees == 5
+    assert done.info["load"] == {"rows": raw.count(), "columns": len(raw.columns), "shape_match": True}
+    assert done.profile["shape"].first()["n_rows"] == done.rows
+
+
 def test_columns_that_are_null_in_all_training_rows_and_odd_text_are_encoded(spark, marked, tmp_path):
     rows, threshold = marked
     cfg = replace(DEFAULT, max_rounds=1, numeric_features=("tip_amount",), categorical_features=("note", "nothing", RUSH))

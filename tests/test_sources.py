@@ -3,9 +3,11 @@ import os
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, FloatType, IntegerType, LongType, TimestampNTZType, TimestampType
 
 from wheelpace.config import DEFAULT, SPEED
 from wheelpace.plans import runs
+from wheelpace.sources import schemas, versions
 from wheelpace.sources.sinks import save_cleaned, save_csv, save_json
 from wheelpace.sources.trips import (
     columns_to_read, nan_to_null, null_counts, read_cleaned, read_schema, read_trips, reconcile,
@@ -125,3 +127,96 @@ def test_a_cleaned_table_is_checked(spark, prepared):
                          (prepared.trips.drop(SPEED), "missing")):
         with pytest.raises(ValueError, match=message):
             runs.check_cleaned(bad)
+
+
+def folder_of(path, *parts):
+    """One folder of files with different schemas, one file each."""
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def test_files_of_different_types_are_one_table(spark, raw, tmp_path):
+    kind = F.col("payment_type") % 3
+    parts = [raw.where(kind == 0).withColumn("passenger_count", F.col("passenger_count").cast("long")),
+             raw.where(kind == 1).withColumnRenamed("airport_fee", "Airport_fee").withColumn("cbd_congestion_fee", F.lit(0.75)),
+             raw.where(kind == 2).drop("airport_fee").withColumn("payment_type", F.col("payment_type").cast("int"))]
+    path = folder_of(str(tmp_path / "mixed"), *parts)
+    rows = scan_trips(spark, path)
+    names = read_schema(spark, path)
+    assert columns_to_read(names) == rows.columns and "airport_fee" in names and "Airport_fee" not in names
+    assert dict(rows.dtypes)["passenger_count"] == "double" and dict(rows.dtypes)["payment_type"] == "bigint"
+    want = parts[0].unionByName(parts[1].withColumnRenamed("Airport_fee", "airport_fee"), allowMissingColumns=True).unionByName(
+        parts[2], allowMissingColumns=True).select(rows.columns)
+    assert rows.exceptAll(want).isEmpty() and want.exceptAll(rows).isEmpty()
+    plan = rows.select("fare_amount")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 3 and "airport_fee" not in plan.split("ReadSchema")[1].splitlines()[0]
+    pushed = rows.where("fare_amount > 400")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(fare_amount,400.0)" in pushed
+    assert runs.prepare_file(spark, path).rows == runs.prepare(raw).rows
+
+
+def test_files_of_one_schema_are_one_scan(spark, raw, tmp_path):
+    one, other = raw.limit(20), raw.limit(20).withColumn("passenger_count", F.col("passenger_count").cast("long"))
+    path = folder_of(str(tmp_path / "eras"), *[one] * 3, *[other] * 3, *[one] * 2)
+    assert len(schemas.parts(spark, path)) == 2
+    assert scan_trips(spark, path).count() == 160
+
+
+def test_types_that_do_not_go_together_raise(spark, raw, tmp_path):
+    path = folder_of(str(tmp_path / "odd"), raw.limit(5), raw.limit(5).withColumn("fare_amount", F.lit("much")))
+    with pytest.raises(ValueError, match="fare_amount is double in some files and string in others|fare_amount is string"):
+        read_schema(spark, path)
+
+
+def test_wider_types():
+    kinds = {n: t for n, t in (("i", IntegerType()), ("l", LongType()), ("f", FloatType()), ("d", DoubleType()),
+                               ("t", TimestampType()), ("n", TimestampNTZType()), ("date", DateType()))}
+    for a, b, want in (("i", "l", "l"), ("l", "d", "d"), ("f", "d", "d"), ("i", "i", "i"), ("t", "n", "n"), ("date", "t", "n")):
+        assert schemas.wider("c", kinds[a], kinds[b]) == schemas.wider("c", kinds[b], kinds[a]) == kinds[want]
+    with pytest.raises(ValueError, match="column c"):
+        schemas.wider("c", kinds["d"], kinds["t"])
+
+
+def small(spark, *values):
+    return spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+
+
+def test_versions_replace_each_other(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(1, 4):
+        info = versions.publish(small(spark, *[float(n)] * n), path)
+        assert info["rows"] == n and read_cleaned(spark, path).count() == n
+    kept = [f for f in os.listdir(path) if f.startswith("version-")]
+    assert len(kept) == 2 and versions.current(spark, path)["folder"] in kept
+
+
+def test_a_run_that_dies_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    versions.publish(small(spark, 1.0, 2.0), path)
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    for step in ("verify", "write_entry"):
+        with monkeypatch.context() as m:
+            m.setattr(versions, step, dies)
+            with pytest.raises(KeyboardInterrupt):
+                versions.publish(small(spark, 9.0), path)
+        assert [r["v"] for r in read_cleaned(spark, path).orderBy("i").collect()] == [1.0, 2.0]
+    with open(f"{path}/{versions.LOG}/000000000002.json", "w") as f:  # an entry that was not written to its end
+        f.write('{"folder": "vers')
+    assert read_cleaned(spark, path).count() == 2
+    with pytest.raises(ValueError, match="not good"):
+        versions.publish(small(spark, 9.0), path, lambda _: (_ for _ in ()).throw(ValueError("not good")))
+    assert read_cleaned(spark, path).count() == 2
+
+
+def test_a_changed_value_is_found(spark, tmp_path):
+    path = str(tmp_path / "t")
+    entry = versions.publish(small(spark, 1.0, 2.0, 3.0), path)
+    versions.verify(read_cleaned(spark, path), entry)
+    versions.verify(read_cleaned(spark, path).orderBy(F.desc("i")).repartition(3), entry)
+    for changed in (small(spark, 1.0, 2.0, 3.5), small(spark, 1.0, 2.0), small(spark, 1.0, 3.0, 2.0)):
+        with pytest.raises(ValueError, match="differ"):
+            versions.verify(changed, entry)

@@ -204,6 +204,100 @@ sides AS (
 )"""
 
 
+_ZONE_TESTS = [f"""
+zones AS (
+  SELECT PULocationID, count({SPEED}) FILTER (WHERE is_rush_hour) AS n_rush, count({SPEED}) FILTER (WHERE NOT is_rush_hour) AS n_other,
+    avg({SPEED}) FILTER (WHERE is_rush_hour) AS m1, avg({SPEED}) FILTER (WHERE NOT is_rush_hour) AS m2,
+    var_samp({SPEED}) FILTER (WHERE is_rush_hour) AS v1, var_samp({SPEED}) FILTER (WHERE NOT is_rush_hour) AS v2
+  FROM cleaned GROUP BY 1
+), tests AS (
+  SELECT *, (m1 - m2) / sqrt(v1 / n_rush + v2 / n_other) AS t,
+    power(v1 / n_rush + v2 / n_other, 2) / (power(v1 / n_rush, 2) / (n_rush - 1) + power(v2 / n_other, 2) / (n_other - 1)) AS dof
+  FROM zones
+), sides AS (
+  SELECT PULocationID, dof / (dof + t * t) AS x, CASE WHEN dof / (dof + t * t) <= (dof / 2 + 1) / (dof / 2 + 2.5) THEN 1 ELSE 0 END AS straight,
+    exp(lgamma(dof / 2 + 0.5) - lgamma(dof / 2) - lgamma(0.5::DOUBLE) + dof / 2 * ln(dof / (dof + t * t))
+        + 0.5 * ln(t * t / (dof + t * t))) AS front, dof / 2 AS half FROM tests WHERE t IS NOT NULL AND dof IS NOT NULL
+), start AS (
+  SELECT PULocationID, straight, front, CASE straight WHEN 1 THEN x ELSE 1 - x END AS x,
+    CASE straight WHEN 1 THEN half ELSE 0.5::DOUBLE END AS a, CASE straight WHEN 1 THEN 0.5::DOUBLE ELSE half END AS b FROM sides
+)""", """
+fraction AS (
+  SELECT PULocationID, straight, front, x, a, b, 1 AS i, 1::DOUBLE AS n, 1::DOUBLE AS o, 0::DOUBLE AS d FROM start
+  UNION ALL
+  SELECT PULocationID, straight, front, x, a, b, i + 1, (n + term * o) / (1 + term * d), n / (1 + term * d), 1 / (1 + term * d)
+  FROM (SELECT *, i // 2 AS m, CASE WHEN i % 2 = 1 THEN -(a + i // 2) * (a + b + i // 2) * x / ((a + 2 * (i // 2)) * (a + 2 * (i // 2) + 1))
+                 ELSE (i // 2) * (b - i // 2) * x / ((a + 2 * (i // 2) - 1) * (a + 2 * (i // 2))) END AS term FROM fraction WHERE i <= 400)
+)"""]
+
+_ZONE_P = """
+SELECT t.PULocationID, n_rush, n_other, round(t, 6) AS t, round(dof, 6) AS dof,
+       round(CASE straight WHEN 1 THEN front / n / a ELSE 1 - front / n / a END, 9) AS p
+FROM tests t LEFT JOIN fraction f ON f.PULocationID = t.PULocationID AND i = 401"""
+
+_HOURS = "(SELECT count(DISTINCT pickup_hour) FROM cleaned)"
+#: Tables of a whole run with their rows.
+_STORED = [
+    ("cleaned", "cleaned", "(SELECT count(*) FROM cleaned)"), ("cleaned", "funnel", 10),
+    ("profile", "describe", 7), ("profile", "null_split", "(SELECT CASE WHEN count(*) > count(passenger_count) THEN 1 ELSE 0 END FROM cleaned)"),
+    ("profile", "remaining_duplicates", 1), ("profile", "hourly_speed", _HOURS), ("profile", "speed_by_weekend", 2),
+    ("profile", "speed_by_rush", 2), ("profile", "extreme_hours", 1), ("profile", "speed_median", 1), ("profile", "shares", 1),
+    ("profile", "shape", 1), ("charts", "hourly_speed", _HOURS), ("charts", "hourly_by_weekend", _HOURS),
+    ("charts", "rush_boxplot", 2), ("charts", "day_hour_heatmap", 7), ("charts", "hourly_finding", 1),
+    ("charts", "rush_finding", 1), ("charts", "heat_finding", 1), ("statistics", "descriptive_stats", 7),
+    ("statistics", "correlation_matrix", 49), ("statistics", "rush_compare", 2), ("statistics", "weekend_compare", 2),
+    ("statistics", "hourly_by_weekend", _HOURS), ("model", "metrics", 1), ("model", "report", 5),
+]
+
+_TREE_COLUMNS = ["pickup_hour", "pickup_dayofweek", "passenger_count", "payment_type"]
+
+
+def _best_split(rows: str, sides: str) -> str:
+    """The best split of each side of ``rows`` (side, k, v, g, h), by the gain of its two halves."""
+    return f"""
+  SELECT *, gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1) AS gain FROM (
+    SELECT side, k, v, sum(g) OVER low AS gl, sum(h) OVER low AS hl, sum(n) OVER low AS nl,
+           sum(g) OVER whole AS g, sum(h) OVER whole AS h, sum(n) OVER whole AS n
+    FROM (SELECT side, k, v, sum(g) AS g, sum(h) AS h, count(*) AS n FROM {rows} GROUP BY ALL)
+    WINDOW low AS (PARTITION BY side, k ORDER BY v), whole AS (PARTITION BY side, k)
+  ) WHERE nl >= 50 AND n - nl >= 50
+  ORDER BY round(gain, 6) DESC, {sides} k, v LIMIT 1"""
+
+
+_SPLITS = [
+    """
+weighted AS (
+  SELECT row_number() OVER () AS id, (0.5 - slow_trip) * w AS g, 0.25 * w AS h, """ + ", ".join(
+        f"coalesce(CAST({c} AS DOUBLE), -1) AS c{i}" for i, c in enumerate(_TREE_COLUMNS)) + """
+  FROM marked JOIN (SELECT slow_trip, (SELECT count(*) FROM marked) / (2.0::DOUBLE * count(*)) AS w FROM marked GROUP BY 1)
+  USING (slow_trip)
+), long AS (
+  SELECT id, g, h, unnest([0, 1, 2, 3]) AS k, unnest([c0, c1, c2, c3]) AS v, 0 AS side FROM weighted
+), cuts AS (
+  SELECT k, v, (v + lead(v) OVER (PARTITION BY k ORDER BY v)) / 2 AS cut FROM (SELECT DISTINCT k, v FROM long)
+)""",
+    f"best1 AS ({_best_split('long', '')})",
+    """
+sided AS (
+  SELECT l.id, l.g, l.h, l.k, l.v, CASE WHEN r.v <= (SELECT v FROM best1) THEN 1 ELSE 2 END AS side
+  FROM long l JOIN long r ON l.id = r.id AND r.k = (SELECT k FROM best1)
+)""",
+    f"best2 AS ({_best_split('sided', 'side,')})",
+    """
+leaves AS (
+  SELECT CASE WHEN a.side <> (SELECT side FROM best2) THEN a.side WHEN b.v <= (SELECT v FROM best2) THEN 3 ELSE 4 END AS node,
+         count(*) AS n, -0.08 * sum(a.g) / (sum(a.h) + 1) AS value
+  FROM (SELECT * FROM sided WHERE k = 0) a JOIN long b ON a.id = b.id AND b.k = (SELECT k FROM best2) GROUP BY 1
+)""",
+]
+
+_TREE = f"""
+SELECT CAST(node AS INT) AS node, NULL AS feature, NULL::DOUBLE AS cut, n, round(value, 6) AS value FROM leaves
+UNION ALL
+SELECT CAST(node AS INT), {_TREE_COLUMNS!r}[k + 1], round(cut, 6), CAST(n AS BIGINT), NULL FROM (
+  SELECT 0 AS node, k, v, n FROM best1 UNION ALL SELECT side, k, v, n FROM best2) JOIN cuts USING (k, v)"""
+
+
 def oracles() -> dict[str, str]:
     """The SQL of every query, each number first freed of summation noise and then rounded."""
     return {name: _without_noise(sql) for name, sql in _oracles().items()}
@@ -241,6 +335,12 @@ def _oracles() -> dict[str, str]:
             "n_rows AS rows_right, n_null AS nulls_right, TRUE AS shape_match, TRUE AS nulls_match FROM counted"),
         "cleaned_sink": _clean(
             f"SELECT count(*) AS n_rows, {len(_RAW) + 6} AS n_columns, TRUE AS reload_verified FROM cleaned"),
+        "mixed_files_prepared": _clean(
+            "SELECT " + _rounded().replace(
+                "round(airport_fee, 6)", "round(CASE WHEN payment_type % 3 <> 2 THEN airport_fee END, 6)")
+            + ", CASE WHEN payment_type % 3 = 1 THEN 0.75::DOUBLE END AS cbd_congestion_fee, "
+            f"round(duration_min, 6) AS duration_min, round({SPEED}, 6) AS {SPEED}, "
+            "pickup_hour, pickup_dayofweek, is_weekend, is_rush_hour FROM cleaned"),
         "csv_sink": describe,
         "json_sink": _clean(
             "SELECT n_rush AS n_rush_hour, n_other AS n_non_rush_hour, round(mean_rush, 3) AS mean_rush_hour, "
@@ -342,6 +442,10 @@ SELECT *, rows_before - rows_after AS rows_removed,
         "heatmap_row_means": _clean(
             "SELECT pickup_hour, round(weekday_mean, 6) AS weekday_mean, round(weekend_mean, 6) AS weekend_mean "
             "FROM row_means", _CELLS, _ROW_MEANS),
+        "merged_histogram": _clean(
+            f"SELECT pickup_hour, count(*) AS n_rows, count({SPEED}) AS n, round(avg({SPEED}), 6) AS mean, "
+            f"round(stddev_pop({SPEED}), 6) AS std_pop, round(min({SPEED}), 6) AS min, round(max({SPEED}), 6) AS max "
+            "FROM cleaned GROUP BY 1"),
         "extreme_hours_rounded": _clean(
             f"SELECT {_first_hour('hourly', 'mean_speed')} AS slowest_hour, min(mean_speed) AS slowest_speed, "
             f"{_first_hour('hourly', 'mean_speed', 'DESC')} AS fastest_hour, max(mean_speed) AS fastest_speed FROM hourly",
@@ -358,6 +462,7 @@ SELECT *, rows_before - rows_after AS rows_removed,
         "welch_test": _clean(
             "SELECT n_rush, n_other, round(mean_rush, 4) AS mean_rush, round(mean_other, 4) AS mean_other, "
             "round(t, 4) AS t, round(dof, 4) AS dof FROM welch", _SUBSET),
+        "welch_by_zone": _clean(_ZONE_P, *_ZONE_TESTS).replace("WITH ", "WITH RECURSIVE ", 1),
         "rush_box_plot": _clean(
             f"SELECT CASE WHEN is_rush_hour THEN 'rush' ELSE 'non_rush' END AS label, any_value(n) AS n, "
             f"round(least(min({SPEED}), any_value(q1)), 6) AS whisker_low, round(any_value(q1), 6) AS q1, "
@@ -399,6 +504,9 @@ SELECT *, rows_before - rows_after AS rows_removed,
             "SELECT slow_trip, count(*) AS n, round((SELECT count(*) FROM marked) / (2.0::DOUBLE * count(*)), 6) AS weight "
             "FROM marked GROUP BY 1"),
         "split_check": _model("SELECT slow_trip, n, n_test FROM test_rows", _TEST_ROWS),
+        "leaf_boosted_trees": _model(_TREE, *_SPLITS),
+        "whole_run": _clean(" UNION ALL ".join(
+            f"SELECT '{stage}' AS stage, '{name}' AS name, CAST({n} AS BIGINT) AS n_rows" for stage, name, n in _STORED)),
         "boosted_trees_metrics": _model(
             "SELECT (SELECT round(threshold, 6) FROM slow) AS threshold, CAST(sum(n - n_test) AS BIGINT) AS train_rows, "
             "CAST(sum(n_test) AS BIGINT) AS test_rows, TRUE AS accuracy_adds_up, TRUE AS recall_adds_up, "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from wheelpace.config import (
     DEFAULT, DERIVED, DURATION, HOUR, ROUTE, RUSH, SLOW, SPEED, WEEKEND,
 )
 from wheelpace.functions import features
-from wheelpace.operators import charts, facts, model, quality, stats
+from wheelpace.operators import boosting, charts, facts, histogram, model, quality, stats
 from wheelpace.operators.summary import summarize
 from wheelpace.plans import runs
 from wheelpace.session import fresh_path, once_per_session
@@ -87,6 +88,24 @@ def load_reconciliation(spark, sf_dir):
     return source.reconcile(computed, source.scan_trips(spark, trips_path(spark, sf_dir)))
 
 
+@query
+def mixed_files_prepared(spark, sf_dir):
+    """Cleaned trips of one folder of three files that differ in types, optional columns and the case of names."""
+    def write() -> str:
+        path = fresh_path(spark, "mixed")
+        rows = source.scan_trips(spark, trips_path(spark, sf_dir))
+        kind = F.col("payment_type") % 3
+        files = [rows.where(kind == 0).withColumn("passenger_count", F.col("passenger_count").cast("long")),
+                 rows.where(kind == 1).withColumnRenamed("airport_fee", "Airport_fee").withColumn("cbd_congestion_fee", F.lit(0.75)),
+                 rows.where(kind == 2).drop("airport_fee").withColumn("payment_type", F.col("payment_type").cast("int"))]
+        for part in files:
+            part.coalesce(1).write.mode("append").parquet(path)
+        return path
+
+    path = once_per_session(spark, f"mixed {sf_dir}", write)
+    return _doubles(runs.prepare_file(spark, path).trips)
+
+
 @query
 def cleaned_sink(spark, sf_dir):
     """Clean, write, read back and verify."""
@@ -334,6 +353,17 @@ def heatmap_row_means(spark, sf_dir):
     return _doubles(charts.heat_row_means(_facts(spark, sf_dir)))
 
 
+@query
+def merged_histogram(spark, sf_dir):
+    """Speed by hour from the stored histograms of two halves of the trips, merged."""
+    rows = _trips(spark, sf_dir)
+    halves = [histogram.count_values(rows.where(side), [SPEED, DURATION], [HOUR, WEEKEND]) for side in (
+        F.col("payment_type") <= 2, F.col("payment_type") > 2)]
+    stored = [histogram.load(spark, h.save(fresh_path(spark, "half"))) for h in halves]
+    found = stored[0].merged(stored[1]).moments(SPEED, HOUR)
+    return _doubles(found.select(HOUR, "n_rows", "n", (F.col("total") / F.col("n")).alias("mean"), F.sqrt("var").alias("std_pop"), "min", "max"))
+
+
 @query
 def extreme_hours_rounded(spark, sf_dir):
     return stats.extreme_hours(stats.hourly_profile(_facts(spark, sf_dir, pickup_hour=[SPEED])), "mean_speed")
@@ -367,6 +397,14 @@ def welch_test(spark, sf_dir):
     return _doubles(row.select("n_rush", "n_other", "mean_rush", "mean_other", "t", "dof"), 4)
 
 
+@query
+def welch_by_zone(spark, sf_dir):
+    """The rush-hour test within every pickup zone."""
+    found = stats.welch_by(_trips(spark, sf_dir), DEFAULT.pickup_zone)
+    return found.select(DEFAULT.pickup_zone, "n_rush", "n_other", *(
+        features.rounded(F.col(c), d).alias(c) for c, d in (("t", 6), ("dof", 6), ("p", 9))))
+
+
 @query
 def rush_box_plot(spark, sf_dir):
     return _doubles(charts.box_stats(_facts(spark, sf_dir, is_rush_hour=[SPEED])))
@@ -463,12 +501,41 @@ def rule_report(spark, sf_dir):
     return _doubles(model.report(rule_confusion(spark, sf_dir)))
 
 
+def _run(spark, sf_dir):
+    """The whole run over the stored trips, once per session."""
+    folder = fresh_path(spark, "run")
+    return once_per_session(spark, f"run {sf_dir}", lambda: runs.run_file(spark, trips_path(spark, sf_dir), folder))
+
+
 def _fitted(spark, sf_dir):
-    """Model, metrics and report over the whole cleaned table, trained once per session."""
-    done = cleaned(spark, sf_dir)
-    folder = fresh_path(spark, "model")
-    return once_per_session(
-        spark, f"model {sf_dir}", lambda: (*model.train_and_evaluate(done.trips, DEFAULT, folder), folder))
+    """Model, metrics and report of the whole run."""
+    done = _run(spark, sf_dir)
+    return done["fitted"], *(spark.read.json(f"{done['folder']}/{name}") for name in ("metrics", "report")), done["folder"]
+
+
+@query
+def whole_run(spark, sf_dir):
+    """Rows of all tables that a run over the stored trips leaves behind; computed by its first call only."""
+    return runs.stored_tables(spark, _run(spark, sf_dir))
+
+
+@query
+def leaf_boosted_trees(spark, sf_dir):
+    """The first tree of three leaves over all cleaned trips: column and cut of inner nodes, rows and value of leaves."""
+    rows = _featured(spark, sf_dir)
+    names = [HOUR, "pickup_dayofweek", DEFAULT.passengers, "payment_type"]
+    weights = {r[SLOW]: r["weight"] for r in model.class_weights(rows).collect()}
+    numbers = rows.select(SLOW, F.lit(False).alias("held_out"), *(F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias(c) for c in names))
+    fitted, state = boosting.fit(numbers, names, SLOW, "held_out", weights, replace(model.tree_settings(), max_rounds=1, max_leaves=3))
+    tree = fitted.trees[0]
+    counted = state.cells.groupBy(boosting.node_of(tree, "bins").alias("node")).agg(F.sum("n").alias("n")).collect()  # three leaves
+    sizes = {r["node"]: r["n"] for r in counted}
+    for i in range(len(tree.left) - 1, -1, -1):
+        if tree.left[i] >= 0:
+            sizes[i] = sizes[tree.left[i]] + sizes[tree.right[i]]
+    found = [(i, names[tree.feature[i]], fitted.cuts[tree.feature[i]][tree.cut[i]], sizes[i], None) if tree.left[i] >= 0
+             else (i, None, None, sizes[i], tree.value[i]) for i in range(len(tree.left))]
+    return _doubles(spark.createDataFrame(found, "node int, feature string, cut double, n long, value double"))
 
 
 @query

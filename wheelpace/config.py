@@ -78,7 +78,8 @@ class TripConfig:
     )
     learning_rate: float = 0.08
     max_rounds: int = 250
-    max_depth: int = 5
+    max_leaves: int = 31
+    l2: float = 1.0
     min_leaf_rows: int = 50
     validation_share: float = 0.1
     early_stop_gain: float = 1e-7

@@ -43,17 +43,27 @@ def heat_row_means(facts: Facts, digits: int = 2) -> DataFrame:
 
 
 def box_stats(facts: Facts) -> DataFrame:
-    """Quartiles and whiskers of speed for rush and other hours; values beyond the whiskers are not shown."""
+    """Quartiles and whiskers of speed for rush and other hours; values beyond the whiskers are not shown.
+
+    A whisker ends at the extreme of the cells of the histogram inside the fences. Only the buckets that a fence
+    falls into, at most two a group, are read again.
+    """
     reach = (F.col("q3") - F.col("q1")) * WHISKER
     fences = levels(facts.summary, RUSH, "boolean", SPEED).select(
         RUSH, F.col("n"), F.col("p25").alias("q1"), F.col("p50").alias("median"), F.col("p75").alias("q3")
     ).withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach})
     # A boolean key has two groups, so two rows are broadcast.
-    inside = facts.trips.select(RUSH, SPEED).join(F.broadcast(fences), RUSH).where(
-        F.col(SPEED).between(F.col("low"), F.col("high")))
-    boxes = inside.groupBy(RUSH).agg(
-        F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
-        F.first("q3").alias("q3"), F.min(SPEED).alias("least"), F.max(SPEED).alias("most"))
+    cells = facts.counted.cells.where((F.col("metric") == facts.counted.metrics.index(SPEED)) & (F.col("n") > 0)).groupBy(
+        RUSH, "bucket").agg(F.min("low").alias("least"), F.max("high").alias("most"))
+    cells = cells.join(F.broadcast(fences), RUSH)
+    whole = (F.col("least") >= F.col("low")) & (F.col("most") <= F.col("high"))
+    beyond = (F.col("most") < F.col("low")) | (F.col("least") > F.col("high"))
+    at_fence = cells.where(~whole & ~beyond).select(RUSH, F.greatest("least", "low").alias("a"), F.least("most", "high").alias("b")).collect()
+    ends = cells.where(whole).select(RUSH, "least", "most")
+    for r in at_fence:
+        near = facts.trips.where((F.col(RUSH) == r[RUSH]) & F.col(SPEED).between(r["a"], r["b"]))
+        ends = ends.unionByName(near.groupBy(RUSH).agg(F.min(SPEED).alias("least"), F.max(SPEED).alias("most")))
+    boxes = ends.groupBy(RUSH).agg(F.min("least").alias("least"), F.max("most").alias("most")).join(F.broadcast(fences), RUSH)
     return boxes.select(
         rush_label(F.col(RUSH)).alias("label"), "n", F.least("least", "q1").alias("whisker_low"),
         "q1", "median", "q3", F.greatest("most", "q3").alias("whisker_high"))

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from wheelpace.config import DEFAULT, HOUR, RUSH, SPEED, WEEKDAY, WEEKEND, TripConfig
 from wheelpace.functions.features import number
+from wheelpace.operators import histogram
+from wheelpace.operators.histogram import Histogram, count_values
 from wheelpace.operators.summary import summarize, trip_groupings
 from wheelpace.session import settle
 
@@ -26,7 +28,8 @@ CUBE_KEYS = (WEEKDAY, HOUR, WEEKEND, RUSH)
 class Facts:
     """The small tables of a cleaned table, each described when it is first asked for.
 
-    The histogram of the summary is computed as soon as the summary is asked for.
+    Groupings by columns of the cube come from one stored histogram; the summary is computed as soon as it is
+    asked for.
     """
 
     trips: DataFrame
@@ -38,10 +41,22 @@ class Facts:
         """Moments of speed per weekday and hour."""
         return speed_cube(self.trips)
 
+    @cached_property
+    def counted(self) -> Histogram:
+        """The histogram of all columns that are summarised, by the keys of the groupings, written."""
+        groupings = self._groupings()
+        keys = CUBE_KEYS if self.groupings is None else tuple(k for k in groupings if k != "all")
+        metrics = dict.fromkeys(m for names in groupings.values() for m in names)
+        found = count_values(self.trips, metrics, keys)
+        return replace(found, cells=settle(found.cells, "histogram"))
+
     @cached_property
     def summary(self) -> DataFrame:
         """Moments and quantiles per group and metric, see ``summarize``."""
-        return summarize(self.trips, self._groupings())
+        groupings = self._groupings()
+        if set(groupings) <= {"all", *CUBE_KEYS}:
+            return histogram.summarize(self.counted, self.trips, groupings)
+        return summarize(self.trips, groupings)
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -55,18 +70,24 @@ class Facts:
         them need no shuffle.
         """
         kept = replace(self)
-        kept.cube = settle(self.cube, "cube").coalesce(1)
-        kept.pairs = settle(self.pairs, "pairs").coalesce(1)
-        kept.summary = settle(self.summary, "summary")
+        kept.counted = self.counted
+        kept.summary = settle(kept.summary, "summary")
         if set(self._groupings()) <= {"all", *CUBE_KEYS}:
             kept.summary = kept.summary.coalesce(1)
+        cube = self.cube
+        if self.groupings is None:
+            cube = self.counted.moments(SPEED, *CUBE_KEYS)
+            columns = [c for c in self.cfg.numeric if c in self.trips.columns]
+            means = {r["metric"]: r["mean"] for r in kept.summary.where("grouping = 'all'").collect()}  # one row a column
+            kept.pairs = correlations(self.trips, columns, [means[c] for c in columns])
+        kept.cube = settle(cube, "cube").coalesce(1)
+        kept.pairs = settle(kept.pairs, "pairs").coalesce(1)
         return kept
 
     def _groupings(self) -> dict[str, list[str]]:
         return trip_groupings(self.trips, self.cfg) if self.groupings is None else self.groupings
 
 
-
 def speed_cube(trips: DataFrame, value: str = SPEED) -> DataFrame:
     """Moments per weekday and hour: at most 168 rows in one partition, so roll-ups need no further shuffle."""
     return trips.select(*CUBE_KEYS, number(value).alias(value)).groupBy(*CUBE_KEYS).agg(*moments(value)).repartition(1)
@@ -91,20 +112,21 @@ def roll_up(cube: DataFrame, *keys: str) -> DataFrame:
     ).withColumn("std", F.sqrt("var"))
 
 
-def correlations(trips: DataFrame, columns: list[str]) -> DataFrame:
+def correlations(trips: DataFrame, columns: list[str], means: list[float | None] | None = None) -> DataFrame:
     """(pair, r): Pearson correlation of every pair of columns, each over the rows where both are present.
 
     ``pair`` is first * len(columns) + second. Rows are added up per pattern of present columns, so that a
     pair needs one product and no condition of its own; the pairs are formed from these few sums. Values are
-    taken relative to the mean of their column, which keeps the digits of large numbers. A column that is
-    constant where the other one is present has no correlation.
+    taken relative to the mean of their column, which keeps the digits of large numbers; without ``means`` a scan
+    finds it. A column that is constant where the other one is present has no correlation.
     """
     size = len(columns)
     pairs = list(combinations_with_replacement(range(size), 2))
     numbers = trips.select(*(number(c).alias(f"v{i}") for i, c in enumerate(columns)))
-    means = numbers.agg(*(F.avg(v).alias(v) for v in numbers.columns)).first()
+    if means is None:
+        means = numbers.agg(*(F.avg(v).alias(v) for v in numbers.columns)).first()
     present = [F.col(v).isNotNull().alias(f"has_{v}") for v in numbers.columns]
-    moved = [F.coalesce(F.col(v) - F.lit(means[v]), F.lit(0.0)).alias(v) for v in numbers.columns]
+    moved = [F.coalesce(F.col(v) - F.lit(mean), F.lit(0.0)).alias(v) for v, mean in zip(numbers.columns, means, strict=True)]
     sums = [F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(f"p{i}_{j}") for i, j in pairs]
     for i in range(size):
         sums += [F.sum(f"v{i}").alias(f"s{i}"), F.min(f"v{i}").alias(f"low{i}"), F.max(f"v{i}").alias(f"high{i}")]

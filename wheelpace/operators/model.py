@@ -6,8 +6,6 @@ import math
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,16 +13,15 @@ from wheelpace.config import (
     DEFAULT, FRIDAY, HOUR, MONDAY, ROUTE, RUSH, SLOW, SPEED, TIME_GROUP, WEEKDAY, WEEKEND, TripConfig,
 )
 from wheelpace.functions.features import add_model_features, number
+from wheelpace.operators import boosting
 from wheelpace.operators.summary import quantile_name, quantile_value, summarize
-from wheelpace.session import settle, shared_folder
+from wheelpace.session import settle
 
 # Hashes stay below this, so that a double also holds the middle between two of them.
 _HASHES = 2 ** 51
-_ROW, _WEIGHT, _HELD_OUT = "row_key", "class_weight", "held_out"
+_ROW, _HELD_OUT = "row_key", "held_out"
 # Code tables up to this length are broadcast, about 100 bytes a row. All pairs of 265 zones are 70,225 routes.
 BROADCAST_CODES = 200_000
-# Rounds of the first fit; it is repeated with twice as many until the stop rule has spoken.
-FIRST_ROUNDS = 40
 # Columns that follow from one another have few combinations, which are counted before they are told apart.
 _CLOCK = (HOUR, WEEKDAY, TIME_GROUP, WEEKEND, RUSH, FRIDAY, MONDAY)
 
@@ -153,7 +150,7 @@ def class_weights(train: DataFrame) -> DataFrame:
 class SlowTripModel:
     """Fitted trees with what turns trips into their input."""
 
-    trees: GBTClassificationModel
+    trees: boosting.LeafTrees | None
     codes: DataFrame  # (column, category, code), stored
     fills: dict[str, float | str | None]
     features: tuple[str, ...]
@@ -162,7 +159,7 @@ class SlowTripModel:
     train_rows: int
 
     def encode(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with the number ``x_<feature>`` per feature and all of them in ``features``.
+        """``rows`` with the number ``x_<feature>`` per feature.
 
         Missing values get the fill, categories that training has not seen the code -1. A code table is
         broadcast where it was counted to be short; else the join is left to Spark, which splits hot keys.
@@ -182,8 +179,7 @@ class SlowTripModel:
             code = F.broadcast(code) if sizes.get(c, 0) <= BROADCAST_CODES else code
             out = out.join(code, f"k_{c}", "left")
         out = out.withColumns({f"x_{c}": F.coalesce(f"c_{c}", F.lit(-1.0)) for c in self.categorical})
-        assembler = VectorAssembler(inputCols=[f"x_{c}" for c in self.features], outputCol="features")
-        return assembler.transform(out).select(*rows.columns, *(f"x_{c}" for c in self.features), "features")
+        return out.select(*rows.columns, *(f"x_{c}" for c in self.features))
 
     def predict(self, rows: DataFrame) -> DataFrame:
         """``rows`` with the column ``prediction`` (0 or 1)."""
@@ -200,47 +196,20 @@ def fit(train: DataFrame, threshold: float, cfg: TripConfig = DEFAULT) -> SlowTr
     fills = {r["column"]: r["fill"] for found in (medians(train, cfg.numeric_features), most_frequent(counts))
              for r in found.collect()}
     weights = class_weights(train).collect()
-    weight = reduce(lambda w, r: w.when(F.col(SLOW) == r[SLOW], r["weight"]), weights, F)
     untrained = SlowTripModel(None, codes, fills, features, tuple(cfg.categorical_features), threshold,
                               sum(r["n"] for r in weights))
     # Fitting passes over its input several times, so the encoded rows are written once.
     held_out = row_hash(train, cfg, cfg.seed + 1) < int(cfg.validation_share * _HASHES)
-    encoded = untrained.encode(train.withColumns({_WEIGHT: weight, _HELD_OUT: held_out}))
-    trees = boost(settle(encoded.select("features", SLOW, _WEIGHT, _HELD_OUT), "encoded"), cfg)
+    encoded = untrained.encode(train.withColumn(_HELD_OUT, held_out))
+    numbers = [f"x_{c}" for c in features]
+    encoded = settle(encoded.select(*numbers, SLOW, _HELD_OUT), "encoded")
+    trees, _ = boosting.fit(encoded, numbers, SLOW, _HELD_OUT, {r[SLOW]: r["weight"] for r in weights}, tree_settings(cfg))
     return replace(untrained, trees=trees)
 
 
-def boost(encoded: DataFrame, cfg: TripConfig = DEFAULT) -> GBTClassificationModel:
-    """Boosted trees up to the round where the held-out error has stopped falling.
-
-    Every fit begins with the same trees, so a longer one continues a shorter one: the rounds are doubled
-    until the rule ends them, and the model is fitted to exactly the rounds it names.
-    """
-    spark = encoded.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))  # the trees cut their lineage there
-    trainer = GBTClassifier(
-        labelCol=SLOW, featuresCol="features", weightCol=_WEIGHT, stepSize=cfg.learning_rate, maxDepth=cfg.max_depth,
-        minInstancesPerNode=cfg.min_leaf_rows, maxBins=255, seed=cfg.seed)
-    learned, unseen = encoded.where(~F.col(_HELD_OUT)), encoded.where(_HELD_OUT)
-    watched = not unseen.isEmpty()
-    rounds = min(FIRST_ROUNDS, cfg.max_rounds) if watched else cfg.max_rounds
-    while True:
-        trees = trainer.fit(learned, {trainer.maxIter: rounds})
-        last = stop_round(trees.evaluateEachIteration(unseen), cfg.patience, cfg.early_stop_gain) if watched else None
-        if last is not None and last < rounds:
-            return trainer.fit(learned, {trainer.maxIter: last})
-        if last is not None or rounds == cfg.max_rounds:
-            return trees
-        rounds = min(2 * rounds, cfg.max_rounds)
-
-
-def stop_round(errors: list[float], patience: int, gain: float) -> int | None:
-    """The first round after which ``patience`` rounds have not lowered the error by ``gain``, None without one."""
-    for last in range(patience + 1, len(errors) + 1):
-        if min(errors[last - patience:last]) >= errors[last - patience - 1] - gain:
-            return last
-    return None
+def tree_settings(cfg: TripConfig = DEFAULT) -> boosting.Settings:
+    return boosting.Settings(cfg.learning_rate, cfg.max_rounds, cfg.max_leaves, cfg.min_leaf_rows, cfg.l2,
+                             cfg.patience, cfg.early_stop_gain)
 
 
 # --- metrics --------------------------------------------------------------------------------------
@@ -300,7 +269,7 @@ def report(confused: DataFrame) -> DataFrame:
 
 def save_model(model: SlowTripModel, path: str) -> str:
     """Trees, code table and settings under one folder."""
-    model.trees.write().overwrite().save(f"{path}/trees")
+    model.trees.save(model.codes.sparkSession, f"{path}/trees")
     model.codes.write.mode("overwrite").parquet(f"{path}/codes")
     fills = [(i, c, c in model.categorical, *_typed(model.fills.get(c)), model.threshold, model.train_rows)
              for i, c in enumerate(model.features)]
@@ -319,7 +288,7 @@ def _typed(fill: float | str | None) -> tuple[float | None, str | None]:
 def load_model(spark: SparkSession, path: str) -> SlowTripModel:
     settings = spark.read.schema(_SETTINGS).parquet(f"{path}/settings").orderBy("position").collect()  # one row per feature
     return SlowTripModel(
-        GBTClassificationModel.load(f"{path}/trees"), spark.read.parquet(f"{path}/codes"),
+        boosting.LeafTrees.load(spark, f"{path}/trees"), spark.read.parquet(f"{path}/codes"),
         {r["feature"]: r["text"] if r["number"] is None else r["number"] for r in settings},
         tuple(r["feature"] for r in settings), tuple(r["feature"] for r in settings if r["categorical"]),
         settings[0]["threshold"], settings[0]["train_rows"])
@@ -369,7 +338,7 @@ def train_and_evaluate(trips: DataFrame, cfg: TripConfig = DEFAULT,
     cells = ("tn", "fp", "fn", "tp")
     confused = spark.createDataFrame([tuple(counted[c] for c in cells)], "tn long, fp long, fn long, tp long")
     rows = metrics(confused).select(
-        F.lit("GBTClassifier").alias("model"), F.lit(threshold).alias("speed_threshold_mph"),
+        F.lit("LeafTrees").alias("model"), F.lit(threshold).alias("speed_threshold_mph"),
         F.lit(model.train_rows).alias("train_rows"), (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("test_rows"),
         "accuracy", "precision", "recall", "f1_score", *cells)
     return model, rows, report(confused)

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wheelpace.config import DEFAULT, HOUR, RUSH, SPEED, WEEKEND, TripConfig
-from wheelpace.functions.features import round_numbers, rounded
-from wheelpace.functions.student_t import two_sided_p
+from wheelpace.functions.features import number, round_numbers, rounded
+from wheelpace.functions.student_t import two_sided_p, with_two_sided_p
 from wheelpace.operators.facts import Facts, correlations, roll_up, speed_cube
 from wheelpace.operators.summary import levels, summarize
 
@@ -116,6 +116,26 @@ def welch(cube: DataFrame, flag: str = RUSH) -> DataFrame:
         "*", F.try_divide(F.col("mean_rush") - F.col("mean_other"), F.sqrt(a + b)).alias("t"), freedom.alias("dof"))
 
 
+def welch_by(trips: DataFrame, key: str, flag: str = RUSH, value: str = SPEED) -> DataFrame:
+    """Welch's test within every group of ``key``: sizes, means, t, degrees of freedom and two-sided p, in one aggregation.
+
+    Groups with fewer than two values on a side have no test (null); rows without key belong to no group.
+    """
+    rows = trips.where(F.col(key).isNotNull()).select(key, flag, number(value).alias("v"))
+
+    def side(of: Column, name: str) -> list[Column]:
+        own = F.when(of, F.col("v"))
+        return [F.count(own).alias(f"n_{name}"), F.avg(own).alias(f"mean_{name}"), F.var_samp(own).alias(f"var_{name}")]
+
+    found = rows.groupBy(key).agg(*side(F.col(flag), "rush"), *side(~F.col(flag), "other"))
+    a, b = F.try_divide("var_rush", "n_rush"), F.try_divide("var_other", "n_other")
+    spread = F.try_divide(F.pow(a, 2), F.col("n_rush") - 1) + F.try_divide(F.pow(b, 2), F.col("n_other") - 1)
+    found = found.withColumns({"t": F.try_divide(F.col("mean_rush") - F.col("mean_other"), F.sqrt(a + b)),
+                               "dof": F.try_divide(F.pow(a + b, 2), spread)})
+    return with_two_sided_p(found, "t", "dof", "p").select(
+        key, "n_rush", "n_other", "mean_rush", "mean_other", "t", "dof", "p")
+
+
 # --- the same tables straight from a cleaned table -------------------------------------------------
 
 def compute_descriptive_stats(trips: DataFrame, cfg: TripConfig = DEFAULT,

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from wheelpace.config import DEFAULT, HOUR, RUSH, SPEED, WEEKEND, TripConfig
@@ -83,15 +83,34 @@ def summarize(
     Result columns: grouping, level (text), metric, n_rows (with nulls), n (without), mean, std, min,
     max and one column per quantile, interpolated linearly. The histogram is computed at once.
     """
-    rows = melt(df, groupings)
-    result = _refine(rows, probs)
-    names = F.array(*(F.struct(F.lit(k).alias("grouping"), F.lit(m).alias("metric")) for k, m in _parts(groupings)))
+    return named(_refine(melt(df, groupings), probs), _parts(groupings), probs)
+
+
+def named(result: DataFrame, pairs: list[tuple[str, str]], probs: tuple[float, ...]) -> DataFrame:
+    """Replace ``part`` by the grouping and the metric it numbers."""
+    names = F.array(*(F.struct(F.lit(k).alias("grouping"), F.lit(m).alias("metric")) for k, m in pairs))
     part = names[F.col("part")]
     return result.select(
         part["grouping"].alias("grouping"), "level", part["metric"].alias("metric"),
         *_STATS, *(quantile_name(p) for p in probs))
 
 
+def wanted_buckets(cells: DataFrame, probs: tuple[float, ...]) -> tuple[DataFrame, Row]:
+    """The buckets that hold the wanted ranks, written, and their number, the largest one's rows and a list if short.
+
+    ``cells`` (part, level, coarse, rows, c, sum, var, low, high) may have several rows per bucket.
+    """
+    total = _add_moments(cells).groupBy(*_KEYS, "coarse").agg(
+        F.sum("c").alias("c"), *(F.first(name).alias(name) for name in _STATS))
+    wanted = _number_rows(total, _KEYS, "coarse", F.lit(0))
+    wanted = wanted.where(_holds_rank(probs) | (F.col("n") == 0))
+    wanted = settle(wanted.select(*_KEYS, "coarse", F.col("first").alias("offset"), "c", *_STATS), "buckets")
+    few = F.count("*") <= LISTED_BUCKETS
+    size = wanted.agg(F.count("*").alias("buckets"), F.max("c").alias("largest"),
+                      F.when(few, F.collect_set("coarse")).alias("list")).first()
+    return wanted.drop("c"), size
+
+
 def _refine(rows: DataFrame, probs: tuple[float, ...], sort_rows: int = SORT_ROWS,
             broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     rows = rows.withColumn("coarse", F.coalesce(bucket(F.col("v"), COARSE_BITS), F.lit(_NULLS)))
@@ -100,26 +119,23 @@ def _refine(rows: DataFrame, probs: tuple[float, ...], sort_rows: int = SORT_ROW
     histogram = rows.groupBy(*_KEYS, "coarse").agg(
         F.count("*").alias("rows"), F.count("v").alias("c"), F.sum("v").alias("sum"),
         F.var_pop("v").alias("var"), F.min("v").alias("low"), F.max("v").alias("high"))
-    wanted = _number_rows(_add_moments(histogram), _KEYS, "coarse", F.lit(0))
-    wanted = wanted.where(_holds_rank(probs) | (F.col("n") == 0))
-    wanted = settle(wanted.select(*_KEYS, "coarse", F.col("first").alias("offset"), "c", *_STATS), "buckets")
-    few = F.count("*") <= LISTED_BUCKETS
-    size = wanted.agg(F.count("*").alias("buckets"), F.max("c").alias("largest"),
-                      F.when(few, F.collect_set("coarse")).alias("list")).first()
+    wanted, size = wanted_buckets(histogram, probs)
 
     # Second scan: the distinct values of the wanted buckets with their counts.
-    carried = ["offset", *_STATS]
-    key = [*_KEYS, "coarse"]
-    wanted = wanted.drop("c")
     if size["list"] is not None:
         rows = rows.where(F.col("coarse").isin(size["list"]))  # cheaper than the join for most rows
     if size["buckets"] <= broadcast_rows:
-        distinct = rows.join(F.broadcast(wanted), key).groupBy(*key, "v").agg(
-            F.count("v").alias("c"), *(F.first(name).alias(name) for name in carried))
-    else:
-        # Copies of a value collapse before the join, so a frequent value is no hot key.
-        distinct = rows.groupBy(*key, "v").agg(F.count("v").alias("c")).join(wanted, key)
+        rows = rows.join(F.broadcast(wanted.select(*_KEYS, "coarse")), [*_KEYS, "coarse"])
+    # Copies of a value collapse before the join, so a frequent value is no hot key.
+    distinct = rows.groupBy(*_KEYS, "coarse", "v").agg(F.count("v").alias("c"))
+    return values_at_ranks(distinct, wanted, size, probs, sort_rows, broadcast_rows)
+
 
+def values_at_ranks(distinct: DataFrame, wanted: DataFrame, size: Row, probs: tuple[float, ...],
+                    sort_rows: int = SORT_ROWS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(part, level, statistics, quantiles) from the counted values (part, level, coarse, v, c) of wanted buckets."""
+    key, carried = [*_KEYS, "coarse"], ["offset", *_STATS]
+    distinct = distinct.join(F.broadcast(wanted) if size["buckets"] <= broadcast_rows else wanted, key)
     if (size["largest"] or 0) > sort_rows:
         distinct = _narrow(distinct, key, carried, probs)
         key = [*key, "fine"]

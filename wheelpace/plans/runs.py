@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from functools import cached_property
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +17,9 @@ from wheelpace.functions.features import rounded
 from wheelpace.operators import charts, model, quality, stats
 from wheelpace.operators.facts import Facts
 from wheelpace.session import fresh_path
-from wheelpace.sources.sinks import remove, replace, save_cleaned, save_csv, save_json
+from wheelpace.sources.sinks import place, save_counted, save_csv, save_json
 from wheelpace.sources.trips import nan_to_null, read_cleaned, scan_trips
+from wheelpace.sources.versions import current, entries, publish, verify, write_entry
 
 
 @dataclass(frozen=True)
@@ -24,6 +29,18 @@ class Prepared:
     trips: DataFrame
     rows: int
     info: dict[str, object]
+    cfg: TripConfig = DEFAULT
+
+    @cached_property
+    def facts(self) -> Facts:
+        return Facts(self.trips, self.cfg).settled()
+
+    @cached_property
+    def profile(self) -> dict[str, object]:
+        """The checked profile of the cleaned table, see :func:`profile`; computed when it is first asked for."""
+        found = profile(self.facts)
+        check_profile(found)
+        return found
 
 
 def cleaned_plan(raw: DataFrame, cfg: TripConfig = DEFAULT) -> tuple[DataFrame, dict[str, dict[str, object]]]:
@@ -38,22 +55,13 @@ def prepare(raw: DataFrame, cfg: TripConfig = DEFAULT, path: str | None = None)
 
     Two scans of the raw table and one shuffle. Without ``path`` the table goes to the shared folder
     of the session, so consumers never repeat the cleaning. A table that fails its checks is deleted
-    and raises an error; what was at ``path`` before is replaced only after they passed.
+    and raises an error; what was at ``path`` before stays the current version until they passed.
     """
     started = time.perf_counter()
     plan, audit = cleaned_plan(raw, cfg)
     spark = raw.sparkSession
-    staged = f"{path.rstrip('/')}-unchecked" if path else fresh_path(spark, "cleaned")
-    saved = save_cleaned(plan, staged)
-    try:
-        check_cleaned(spark.read.schema(plan.schema).parquet(staged), cfg)
-    except ValueError:
-        remove(spark, staged)
-        raise
-    if path:
-        replace(spark, staged, path)
-        saved["path"] = path
-    trips = spark.read.schema(plan.schema).parquet(saved["path"])
+    saved = publish(plan, path or fresh_path(spark, "cleaned"), lambda written: check_cleaned(written, cfg))
+    trips = spark.read.schema(plan.schema).parquet(f"{saved['path'].rstrip('/')}/{saved['folder']}")
 
     before, rows, original = audit["outliers"]["rows_after"], saved["rows"], audit["missing"]["rows_before"]
     duplicates = {"rows_before": before, "rows_after": rows, "duplicates_removed": before - rows,
@@ -63,7 +71,16 @@ def prepare(raw: DataFrame, cfg: TripConfig = DEFAULT, path: str | None = None)
         "removed_ratio": round((original - rows) / original, 5),
         "elapsed_seconds": round(time.perf_counter() - started, 2),
         **audit, "duplicates": duplicates, "save": saved, "derived_columns": list(DERIVED),
-    })
+        "load": check_load(raw, original),
+    }, cfg)
+
+
+def check_load(raw: DataFrame, rows: int) -> dict[str, object]:
+    """Error when the audit has seen other rows than the footers of the files count."""
+    counted = raw.count()  # reads no column
+    if counted != rows:
+        raise ValueError(f"{rows} rows were audited, the table holds {counted}")
+    return {"rows": counted, "columns": len(raw.columns), "shape_match": True}
 
 
 def prepare_file(spark: SparkSession, source: str, cfg: TripConfig = DEFAULT, path: str | None = None) -> Prepared:
@@ -170,9 +187,7 @@ def run_all(raw: DataFrame, cfg: TripConfig = DEFAULT, folder: str | None = None
     spark = raw.sparkSession
     folder = (folder or fresh_path(spark, "run")).rstrip("/")
     prepared = prepare(raw, cfg, f"{folder}/cleaned")
-    facts = Facts(prepared.trips, cfg).settled()
-    profiled = profile(facts)
-    check_profile(profiled)
+    facts, profiled = prepared.facts, prepared.profile
     figures, statistics = chart_tables(facts), analyze(facts)
     tables = {f"chart_{n}": t for n, t in figures.items()}
     tables |= {f"stat_{n}": t for n, t in statistics.items() if n != "ttest"}
@@ -182,3 +197,114 @@ def run_all(raw: DataFrame, cfg: TripConfig = DEFAULT, folder: str | None = None
     paths["metrics"] = save_json(measured, f"{folder}/metrics")
     return {"info": prepared.info, "profile": profiled, "charts": figures, "statistics": statistics,
             "metrics": measured, "report": listed, "model": fitted, "paths": paths}
+
+
+# --- a run that can be taken up again --------------------------------------------------------------
+
+def train_from(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT, folder: str | None = None):
+    """Model, metrics and report from a stored cleaned table, see :func:`model.train_and_evaluate`."""
+    trips = read_cleaned(spark, path)
+    check_contract(trips)
+    return model.train_and_evaluate(trips, cfg, folder)
+
+
+def source_state(spark: SparkSession, source: str) -> str:
+    """A digest of the names, sizes and times of the files of a table; any rewritten file changes it."""
+    digest = hashlib.sha256()
+    for name in sorted(unquote(f) for f in spark.read.parquet(source).inputFiles()):
+        target, files = place(spark, name)
+        status = files.getFileStatus(target)
+        digest.update(f"{name} {status.getLen()} {status.getModificationTime()}\n".encode())
+    return digest.hexdigest()
+
+
+@dataclass
+class _Manifest:
+    """What the stages of a run have stored: one entry per finished stage, valid for one input and one configuration."""
+
+    spark: SparkSession
+    folder: str
+    settings: str
+    computed: list[str] = field(default_factory=list)
+
+    def stage(self, name: str, input_state: str, build: Callable[[], dict]) -> dict:
+        """The result of a stage, from its entry if that is of this input and these settings, else from ``build``."""
+        entry = self._entry(name, input_state)
+        for found in entries(self.spark, f"{self.folder}/manifest"):
+            if found["name"] == entry:
+                return found["result"]
+        self.computed.append(name)
+        result = build()
+        self.forget(name, input_state)  # one that a dying run left half written is in the way
+        write_entry(self.spark, f"{self.folder}/manifest/{entry}", {
+            "stage": name, "input": input_state, "settings": self.settings, "result": result})
+        return result
+
+    def forget(self, name: str, input_state: str) -> None:
+        target, files = place(self.spark, f"{self.folder}/manifest/{self._entry(name, input_state)}")
+        files.delete(target, False)
+
+    def _entry(self, name: str, input_state: str) -> str:
+        return f"{name}-{hashlib.sha256(f'{name} {input_state} {self.settings}'.encode()).hexdigest()[:16]}.json"
+
+
+def run_file(spark: SparkSession, source: str, folder: str, cfg: TripConfig = DEFAULT) -> dict[str, object]:
+    """The whole run over a stored table, stage by stage; a rerun starts after the last stage that is still valid.
+
+    A stage is valid for the files it was computed from, by name, size and time, or for the rows of the cleaned
+    table, by their checksum, and for the same configuration. Returns the result of every stage (paths and
+    rows of its tables), the names of those that were computed this time, and the model if it was fitted this time.
+    """
+    folder = folder.rstrip("/")
+    path = f"{folder}/cleaned"
+    manifest = _Manifest(spark, folder, hashlib.sha256(repr(cfg).encode()).hexdigest())
+
+    def clean() -> dict:
+        done = prepare_file(spark, source, cfg, path)
+        funnel = save_counted({"funnel": funnel_table(spark, done.info)}, f"{folder}/tables")
+        return {"tables": {"cleaned": {"path": path, "rows": done.rows}, **funnel}, "checksum": done.info["save"]["checksum"]}
+
+    files = source_state(spark, source)
+    cleaned, entry = manifest.stage("cleaned", files, clean), current(spark, path)
+    if entry is None or entry["checksum"] != cleaned["checksum"]:  # replaced or lost since: clean again
+        manifest.forget("cleaned", files)
+        cleaned = manifest.stage("cleaned", files, clean)
+    state, kept, made = cleaned["checksum"], [], {}
+
+    def facts() -> Facts:
+        """The facts for all stages that are computed; the rows they start from are proved to be those stored."""
+        if not kept:
+            trips = read_cleaned(spark, path)
+            verify(trips, current(spark, path))
+            kept.append(Facts(trips, cfg).settled())
+        return kept[0]
+
+    def profiled() -> dict:
+        found = profile(facts())
+        check_profile(found)
+        return {"tables": save_counted({k: v for k, v in found.items() if isinstance(v, DataFrame)}, f"{folder}/tables/profile")}
+
+    def statistics() -> dict:
+        found = analyze(facts())
+        ttest = found.pop("ttest")
+        save_json(spark.createDataFrame([ttest]), f"{folder}/ttest")
+        return {"tables": save_counted(found, f"{folder}/tables/statistics"), "ttest": ttest}
+
+    def trained() -> dict:
+        made["model"], measured, listed = train_from(spark, path, cfg, folder)
+        save_json(measured, f"{folder}/metrics")
+        save_json(listed, f"{folder}/report")
+        return {"tables": {"metrics": {"path": f"{folder}/metrics", "rows": 1}, "report": {"path": f"{folder}/report", "rows": 5}},
+                "model": f"{folder}/model"}
+
+    stages = {"cleaned": cleaned}
+    for name, build in (("profile", profiled), ("charts", lambda: {"tables": save_counted(chart_tables(facts()), f"{folder}/tables/charts")}),
+                        ("statistics", statistics), ("model", trained)):
+        stages[name] = manifest.stage(name, state, build)
+    return {"stages": stages, "computed": manifest.computed, "folder": folder, "fitted": made.get("model")}
+
+
+def stored_tables(spark: SparkSession, done: dict[str, object]) -> DataFrame:
+    """(stage, name, n_rows) of all tables that a run has stored."""
+    rows = [(stage, name, table["rows"]) for stage, result in done["stages"].items() for name, table in result["tables"].items()]
+    return spark.createDataFrame(rows, "stage string, name string, n_rows long")

@@ -27,23 +27,15 @@ def save_cleaned(df: DataFrame, path: str) -> dict[str, object]:
     return {"path": path, "rows": rows, "columns": back.columns, "reload_verified": True}
 
 
-def _place(spark: SparkSession, path: str):
+def place(spark: SparkSession, path: str):
     """A path as the file system of the cluster knows it, and that file system."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    place, files = _place(spark, path)
-    files.delete(place, True)
-
-
-def replace(spark: SparkSession, source: str, target: str) -> None:
-    """Put the table at ``source`` in the place of ``target``, of the same file system."""
-    remove(spark, target)
-    place, files = _place(spark, source)
-    if not files.rename(place, _place(spark, target)[0]):
-        raise OSError(f"{source} cannot be moved to {target}")
+    target, files = place(spark, path)
+    files.delete(target, True)
 
 
 def save_csv(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:
@@ -54,6 +46,16 @@ def save_csv(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:
     return paths
 
 
+def save_counted(tables: dict[str, DataFrame], folder: str) -> dict[str, dict[str, object]]:
+    """As :func:`save_csv`; the path and the rows of each table, counted while they are written."""
+    saved = {}
+    for name, table in tables.items():
+        rows, path = Observation(name), f"{folder.rstrip('/')}/{name}"
+        table.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite").csv(path, header=True)
+        saved[name] = {"path": path, "rows": rows.get["n"]}
+    return saved
+
+
 def save_json(row: DataFrame, path: str) -> str:
     """A one-row result as JSON."""
     row.write.mode("overwrite").json(path)

@@ -6,19 +6,36 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wheelpace.config import DEFAULT, TripConfig
+from wheelpace.sources import schemas, versions
 
 log = logging.getLogger(__name__)
 
 
-def read_schema(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT) -> list[str]:
-    """Column names of the table, from the file footer only; error when a required column is absent."""
-    names = spark.read.parquet(path).schema.names
-    missing = [c for c in cfg.required if c not in names]
+def _contract_name(cfg: TripConfig):
+    """Columns of the contract under the first name it lists, whatever their case; others as they are stored."""
+    names: dict[str, str] = {}
+    for c in cfg.raw:
+        names.setdefault(c.lower(), c)
+    return lambda stored: names.get(stored.lower(), stored)
+
+
+def _footers(spark: SparkSession, path: str, cfg: TripConfig, all_files: bool = True) -> tuple[list[schemas.Part], StructType]:
+    """The parts of the table and its columns, from the footers of all files; error when a required column is absent."""
+    found = schemas.parts(spark, path) if all_files else [schemas.Part(spark.read.parquet(path).schema)]
+    mixed = len(found) > 1
+    table = schemas.unified(found, _contract_name(cfg)) if mixed else found[0].schema
+    missing = [c for c in cfg.required if c not in table.names]
     if missing:
-        raise ValueError(f"required columns are missing: {missing}; the table has {names}")
-    return names
+        raise ValueError(f"required columns are missing: {missing}; the table has {table.names}")
+    return found, table
+
+
+def read_schema(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT) -> list[str]:
+    """Column names of the table, from the file footers only; error when a required column is absent."""
+    return _footers(spark, path, cfg)[1].names
 
 
 def columns_to_read(names: list[str], cfg: TripConfig = DEFAULT) -> list[str]:
@@ -35,15 +52,15 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def scan_trips(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT, merge_schema: bool = True) -> DataFrame:
     """The chosen columns of a parquet file or folder as they are stored.
 
-    ``merge_schema`` reads all footers, since the files of a folder may differ in their optional columns: a
-    column that one file lacks would be lost, and with it what tells rows apart.
+    With ``merge_schema`` all footers are read, since the files of a folder may differ in their optional columns, in the case of
+    names and in types: a column that one file lacks is null there, and one that has several types
+    gets the type that holds them all.
     """
-    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
-    source = reader.parquet(path)
-    missing = [c for c in cfg.required if c not in source.columns]
-    if missing:
-        raise ValueError(f"required columns are missing: {missing}; the table has {source.columns}")
-    return source.select(*columns_to_read(source.columns, cfg))
+    found, table = _footers(spark, path, cfg, merge_schema)
+    chosen = columns_to_read(table.names, cfg)
+    if len(found) == 1:
+        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path).select(*chosen)
+    return schemas.scan(spark, path, found, StructType([table[c] for c in chosen]))
 
 
 def read_trips(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT, merge_schema: bool = True) -> DataFrame:
@@ -53,7 +70,7 @@ def read_trips(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT, merge_
 
 def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
     """The cleaned table as input of a later stage; Spark raises PATH_NOT_FOUND when it is absent."""
-    return spark.read.parquet(path)
+    return spark.read.parquet(versions.current_path(spark, path))
 
 
 def null_counts(df: DataFrame) -> DataFrame:
