@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wheelpace.llm.resample import lowest
@@ -209,18 +209,18 @@ def _shaped(flat: np.ndarray) -> Weights:
 def most_frequent(words: DataFrame, wanted: int) -> list[tuple[str, int]]:
     """The ``wanted`` most frequent of ``words`` (word, n), ties in the order of their hashes.
 
-    The last count and the last hash among them are found by bisection with counts alone, so that no partition
-    sends words that are not wanted.
+    The last count among them follows from how many words have each count, the last hash by bisection with
+    counts alone, so that no partition sends words that are not wanted. The numbers of words by count are few:
+    n different counts take n * (n + 1) / 2 words of text.
     """
-    tied = F.lit(True)
     if words.count() > wanted:
-        before, left = F.lit(False), wanted
-        for key in (-F.col("n"), F.xxhash64("word")):
-            cut = lowest(words.where(tied), key, left)
-            before = before | (tied & (key < cut))
-            left -= words.where(tied & (key < cut)).count()
-            tied = tied & (key == cut)
-        words = words.where(before | tied)
+        sizes = words.groupBy("n").agg(F.count("*").alias("words"))
+        upto = sizes.withColumn("upto", F.sum("words").over(Window.orderBy(F.desc("n")))).where(F.col("upto") >= wanted)
+        last = upto.orderBy(F.desc("n")).first()
+        left = wanted - (last["upto"] - last["words"])
+        tied = settle(words.where(F.col("n") == last["n"]).select(F.xxhash64("word").alias("h")), "tied-words")
+        words = words.where((F.col("n") > last["n"]) | (F.col("n") == last["n"]) & (
+            F.xxhash64("word") <= lowest(tied, F.col("h"), left)))
     found = words.select("word", "n", F.xxhash64("word").alias("h")).collect()
     return [(r["word"], r["n"]) for r in sorted(found, key=lambda r: (-r["n"], r["h"], r["word"]))]
 
