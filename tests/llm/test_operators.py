@@ -626,3 +626,16 @@ def test_the_most_frequent_words_are_found_by_counts(spark, wanted):
     assert found == order[:wanted]
     behind = lm._behind(spark.createDataFrame(rows, "word string, n long"), found[-1])
     assert sorted((r.word, r.n) for r in behind.collect()) == sorted(order[wanted:])
+
+
+def test_normal_equations_equal_one_product(spark):
+    """Sums of many tasks, sent and added up in pieces, are those of one matrix product."""
+    rng = np.random.default_rng(8)
+    x, y = rng.normal(0, 1, (300, len(quality.STATISTICS))), rng.integers(0, 2, 300).astype(float)
+    rows = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)], "x array<double>, y double").repartition(7)
+    centre, scale = x.mean(axis=0), x.std(axis=0)
+    products, right, n = quality._normal_equations(rows, centre, scale)
+    f = quality.features(x, centre, scale)
+    assert n == 300 and np.allclose(products, f.T @ f) and np.allclose(right, f.T @ y)
+    products, right, n = quality._normal_equations(rows.limit(0), centre, scale)
+    assert n == 0 and not products.any() and not right.any()

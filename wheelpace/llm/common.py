@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wheelpace.session import settle
 
+#: Numbers of a table of sums that one row carries.
+PIECE = 1024
+
 #: Runs of letters and digits of any script.
 WORD = r"[\p{L}\p{N}]+"
 
@@ -75,3 +80,26 @@ def components(edges: DataFrame) -> DataFrame:
                        .distinct(), "edges")
         if edges.isEmpty():
             return labels
+
+
+def pieces(sums: np.ndarray) -> pd.DataFrame:
+    """(piece, sums): a long row of numbers in pieces of ``PIECE``, as a task sends it."""
+    return pd.DataFrame([(at // PIECE, sums[at:at + PIECE].tobytes()) for at in range(0, len(sums), PIECE)],
+                        columns=["piece", "sums"])
+
+
+def added_up(rows: DataFrame) -> np.ndarray:
+    """The sum of all rows of numbers that tasks sent by ``pieces``; empty where none did.
+
+    Every piece is added up in one task as it streams in, so no task holds more than a few pieces at a time,
+    however many tasks there were.
+    """
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, sums in zip(batch["piece"].tolist(), batch["sums"], strict=True):
+                total[piece] = total.get(piece, 0.0) + np.frombuffer(sums)
+        yield pd.DataFrame([(piece, sums.tobytes()) for piece, sums in total.items()], columns=["piece", "sums"])
+
+    found = rows.repartition("piece").mapInPandas(add, "piece int, sums binary").collect()
+    return np.concatenate([np.zeros(0), *(np.frombuffer(r["sums"]) for r in sorted(found, key=lambda r: r["piece"]))])

@@ -16,18 +16,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wheelpace.llm.common import added_up, pieces
 from wheelpace.llm.langid import held_out
 from wheelpace.session import settle
 
 FEATURES = 192
 SEED = 11
 RIDGE = 0.003
-#: Tables of sums that the driver adds up.
-SLOTS = 8
 BINS = 512
 LOW, HIGH = -0.5, 1.5  # of the bins; scores beyond go to the outermost
 
@@ -132,7 +130,7 @@ def increasing(sums: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def _normal_equations(rows: DataFrame, centre: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Sums over ``rows`` (x, y) of features' products, features times label, and rows.
 
-    Tasks send one table of sums each; these are added up in ``SLOTS`` groups before the driver adds those.
+    Tasks send one table of sums each, piece by piece, and the pieces are added up as they stream in.
     """
     width = FEATURES + len(STATISTICS) + 1
 
@@ -142,17 +140,14 @@ def _normal_equations(rows: DataFrame, centre: np.ndarray, scale: np.ndarray) ->
             f = features(_matrix(batch["x"]), centre, scale)
             total += f.T @ np.hstack([f, batch["y"].to_numpy(float)[:, None]])
             n += len(batch)
-        yield pd.DataFrame({"slot": [TaskContext.get().partitionId() % SLOTS], "n": [float(n)],
-                            "sums": [total.tobytes()]})
-
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(s) for s in group["sums"])
-        return pd.DataFrame({"n": [group["n"].sum()], "sums": [total.tobytes()]})
-
-    found = rows.mapInPandas(add, "slot int, n double, sums binary").groupBy("slot").applyInPandas(
-        merge, "n double, sums binary").collect()
-    total = sum((np.frombuffer(r["sums"]).reshape(width, width + 1) for r in found), np.zeros((width, width + 1)))
-    return total[:, :-1], total[:, -1], sum(r["n"] for r in found)
+        if n:
+            yield pieces(np.append(total.ravel(), n))
+
+    found = added_up(rows.mapInPandas(add, "piece int, sums binary"))
+    if not len(found):
+        return np.zeros((width, width)), np.zeros(width), 0.0
+    total = found[:-1].reshape(width, width + 1)
+    return total[:, :-1], total[:, -1], float(found[-1])
 
 
 def fit(rows: DataFrame) -> Model:
