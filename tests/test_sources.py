@@ -220,3 +220,25 @@ def test_a_changed_value_is_found(spark, tmp_path):
     for changed in (small(spark, 1.0, 2.0, 3.5), small(spark, 1.0, 2.0), small(spark, 1.0, 3.0, 2.0)):
         with pytest.raises(ValueError, match="differ"):
             versions.verify(changed, entry)
+
+
+def test_every_file_has_its_own_month(spark, raw, tmp_path):
+    later = {c: F.col(c) + F.expr("interval 31 days") for c in (DEFAULT.pickup, DEFAULT.dropoff)}
+    source, path = folder_of(str(tmp_path / "files"), raw, raw.withColumns(later)), str(tmp_path / "months")
+    files = runs.prepare_months(spark, source, path).collect()
+    one = runs.prepare(raw)
+    periods = {str(r["period"]): r["count"] for r in spark.read.parquet(path).groupBy("period").count().collect()}
+    assert len(files) == 2 and len({r["month"] for r in files}) == 2
+    assert periods[min(periods)] == one.rows and set(periods) == {str(r["month"]) for r in files}
+    # A later file of one month replaces that month and leaves the other as it is.
+    again = folder_of(str(tmp_path / "again"), raw.limit(600))
+    runs.prepare_months(spark, again, path)
+    now = {str(r["period"]): r["count"] for r in spark.read.parquet(path).groupBy("period").count().collect()}
+    assert set(now) == set(periods) and now[max(now)] == periods[max(now)] and 0 < now[min(now)] < periods[min(now)]
+
+
+def test_a_bad_file_is_named(spark, raw, tmp_path):
+    source = folder_of(str(tmp_path / "files"), raw.limit(50), raw.limit(50).withColumn("fare_amount", F.lit(-1.0)))
+    with pytest.raises(ValueError, match="1 files hold no plausible month: .*part-0"):
+        runs.prepare_months(spark, source, str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()

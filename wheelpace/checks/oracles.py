@@ -235,6 +235,21 @@ SELECT t.PULocationID, n_rush, n_other, round(t, 6) AS t, round(dof, 6) AS dof,
        round(CASE straight WHEN 1 THEN front / n / a ELSE 1 - front / n / a END, 9) AS p
 FROM tests t LEFT JOIN fraction f ON f.PULocationID = t.PULocationID AND i = 401"""
 
+def _two_months() -> str:
+    """Counts of the trips as they are and of the same trips 31 days later, each by its own dominant month."""
+    def moved(sql: str) -> str:
+        return re.sub(r"\b(trips|lasting|timed|target|in_month|cleaned)\b", r"\1_later", sql)
+
+    later = """trips_later AS (
+  SELECT * REPLACE (tpep_pickup_datetime + INTERVAL 31 DAY AS tpep_pickup_datetime,
+                    tpep_dropoff_datetime + INTERVAL 31 DAY AS tpep_dropoff_datetime) FROM trips
+)"""
+    counts = (f"SELECT strftime((SELECT month FROM target), '%Y-%m') AS period, (SELECT count(*) FROM trips) AS n_rows, "
+              f"(SELECT count(*) FROM timed) AS n_complete, (SELECT count(*) FROM in_month) AS n_month, "
+              f"(SELECT count(*) FROM in_month WHERE {_PLAUSIBLE}) AS n_plausible, (SELECT count(*) FROM cleaned) AS n_cleaned")
+    return _clean(f"{counts} UNION ALL {moved(counts)}", later, moved(_TIMED), moved(_CLEAN))
+
+
 _HOURS = "(SELECT count(DISTINCT pickup_hour) FROM cleaned)"
 #: Tables of a whole run with their rows.
 _STORED = [
@@ -341,6 +356,7 @@ def _oracles() -> dict[str, str]:
             + ", CASE WHEN payment_type % 3 = 1 THEN 0.75::DOUBLE END AS cbd_congestion_fee, "
             f"round(duration_min, 6) AS duration_min, round({SPEED}, 6) AS {SPEED}, "
             "pickup_hour, pickup_dayofweek, is_weekend, is_rush_hour FROM cleaned"),
+        "months_by_file": _two_months(),
         "csv_sink": describe,
         "json_sink": _clean(
             "SELECT n_rush AS n_rush_hour, n_other AS n_non_rush_hour, round(mean_rush, 3) AS mean_rush_hour, "

@@ -106,6 +106,24 @@ def mixed_files_prepared(spark, sf_dir):
     return _doubles(runs.prepare_file(spark, path).trips)
 
 
+@query
+def months_by_file(spark, sf_dir):
+    """Rows by period of two monthly files that are cleaned into one table, the second 31 days after the first."""
+    def write() -> str:
+        path = fresh_path(spark, "months")
+        rows = source.scan_trips(spark, trips_path(spark, sf_dir))
+        later = {c: F.col(c) + F.expr("interval 31 days") for c in (DEFAULT.pickup, DEFAULT.dropoff)}
+        for part in (rows, rows.withColumns(later)):
+            part.coalesce(1).write.mode("append").parquet(path)
+        return path
+
+    path = fresh_path(spark, "by-month")
+    files = runs.prepare_months(spark, once_per_session(spark, f"months {sf_dir}", write), path)
+    kept = spark.read.parquet(path).groupBy(F.col("period").cast("date").alias("period")).agg(F.count("*").alias("n_cleaned"))
+    return files.join(kept, files["month"] == kept["period"]).select(
+        features.month_label(F.col("period")).alias("period"), "n_rows", "n_complete", "n_month", "n_plausible", "n_cleaned")
+
+
 @query
 def cleaned_sink(spark, sf_dir):
     """Clean, write, read back and verify."""

@@ -32,19 +32,19 @@ def trips_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     trips = e.select(
         (key % 2 + 1).cast("int").alias("VendorID"),
-        F.when(kind == 50, moment("2009-01-01 12:00:00")).otherwise(ts).alias("tpep_pickup_datetime"),
-        F.when(kind == 50, moment("2009-01-01 12:20:00"))
-        .when(kind == 500, ts - F.expr("interval 5 minutes"))
-        .when(kind == 550, ts + F.expr("interval 11 hours"))
+        F.when(kind == 50, moment("2011-07-19 06:30:00")).otherwise(ts).alias("tpep_pickup_datetime"),
+        F.when(kind == 50, moment("2011-07-19 06:52:00"))
+        .when(kind == 500, ts - F.expr("interval 9 minutes"))
+        .when(kind == 550, ts + F.expr("interval 13 hours"))
         .otherwise(ts + F.make_dt_interval(secs=seconds)).alias("tpep_dropoff_datetime"),
         present(F.when(kind == 400, 0.0).otherwise((key % 5 + 1).cast("double"))).alias("passenger_count"),
-        F.when(kind == 25, F.lit(None)).when(kind == 200, 0.0).when(kind == 300, 950.0)
+        F.when(kind == 25, F.lit(None)).when(kind == 200, 0.0).when(kind == 300, 1234.5)
         .otherwise(mph * seconds / 3600.0).alias("trip_distance"),
         present(F.lit(1.0)).alias("RatecodeID"),
         (F.col("user_id") % 265 + 1).cast("int").alias("PULocationID"),
         ((key * 17) % 265 + 1).cast("int").alias("DOLocationID"),
         (key % 4 + 1).alias("payment_type"),
-        F.when(kind == 100, -12.5).otherwise(3.0 + minutes).alias("fare_amount"),
+        F.when(kind == 100, -7.25).otherwise(3.0 + minutes).alias("fare_amount"),
         (value / 10.0).alias("tip_amount"),
         F.lit(0.0).alias("tolls_amount"),
         F.when(kind == 575, -1.0).otherwise(4.0 + minutes + value / 10.0).alias("total_amount"),
@@ -68,19 +68,19 @@ base AS (
   FROM events
 ), once AS (
   SELECT CAST(1 + event_id % 2 AS INT) AS VendorID,
-    CASE WHEN kind = 50 THEN TIMESTAMP '2009-01-01 12:00:00' ELSE CAST(ts AS TIMESTAMP) END AS tpep_pickup_datetime,
-    CASE WHEN kind = 50 THEN TIMESTAMP '2009-01-01 12:20:00'
-         WHEN kind = 500 THEN CAST(ts AS TIMESTAMP) - INTERVAL '5' MINUTE
-         WHEN kind = 550 THEN CAST(ts AS TIMESTAMP) + INTERVAL '11' HOUR
+    CASE WHEN kind = 50 THEN TIMESTAMP '2011-07-19 06:30:00' ELSE CAST(ts AS TIMESTAMP) END AS tpep_pickup_datetime,
+    CASE WHEN kind = 50 THEN TIMESTAMP '2011-07-19 06:52:00'
+         WHEN kind = 500 THEN CAST(ts AS TIMESTAMP) - INTERVAL '9' MINUTE
+         WHEN kind = 550 THEN CAST(ts AS TIMESTAMP) + INTERVAL '13' HOUR
          ELSE CAST(ts AS TIMESTAMP) + dur_s * INTERVAL '1' SECOND END AS tpep_dropoff_datetime,
     CASE WHEN blank THEN NULL WHEN kind = 400 THEN 0.0::DOUBLE ELSE CAST(1 + event_id % 5 AS DOUBLE) END AS passenger_count,
-    CASE WHEN kind = 25 THEN NULL WHEN kind = 200 THEN 0.0::DOUBLE WHEN kind = 300 THEN 950.0::DOUBLE
+    CASE WHEN kind = 25 THEN NULL WHEN kind = 200 THEN 0.0::DOUBLE WHEN kind = 300 THEN 1234.5::DOUBLE
          ELSE mph * dur_s / 3600.0::DOUBLE END AS trip_distance,
     CASE WHEN blank THEN NULL ELSE 1.0::DOUBLE END AS RatecodeID,
     CAST(1 + user_id % 265 AS INT) AS PULocationID,
     CAST(1 + (event_id * 17) % 265 AS INT) AS DOLocationID,
     1 + event_id % 4 AS payment_type,
-    CASE WHEN kind = 100 THEN -12.5::DOUBLE ELSE 3.0::DOUBLE + dur_s / 60.0::DOUBLE END AS fare_amount,
+    CASE WHEN kind = 100 THEN -7.25::DOUBLE ELSE 3.0::DOUBLE + dur_s / 60.0::DOUBLE END AS fare_amount,
     value / 10.0::DOUBLE AS tip_amount,
     0.0::DOUBLE AS tolls_amount,
     CASE WHEN kind = 575 THEN -1.0::DOUBLE ELSE 4.0::DOUBLE + dur_s / 60.0::DOUBLE + value / 10.0::DOUBLE END AS total_amount,

@@ -61,6 +61,7 @@ def _complete(df: DataFrame, cfg: TripConfig) -> Column:
     return reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in critical_columns(df, cfg)), F.lit(True))
 
 
+# The keys of the audits that consumers rely on.
 def _missing_info(columns: list[str], row: dict, critical: list[str]) -> dict[str, object]:
     nulls = {c: row[f"null_{c}"] for c in columns if row[f"null_{c}"]}
     same: dict[str, list[str]] = {}
@@ -129,6 +130,26 @@ def filter_target_month(df: DataFrame, cfg: TripConfig = DEFAULT) -> tuple[DataF
     return kept, _month_info(row["target"], row["months"], row["n"], row["top"])
 
 
+def months_by_file(df: DataFrame, file: str, cfg: TripConfig = DEFAULT) -> DataFrame:
+    """(file, month, n_rows, n_complete, n_month, n_plausible): the dominant month of each file, from one scan.
+
+    ``n_month`` counts the complete rows of that month, ``n_plausible`` those of them that pass all tests. A file
+    without a complete row that has a timestamp has no month.
+    """
+    pickup = wall_clock(cfg.pickup)
+    timed = df.withColumn(DURATION, minutes_between(pickup, wall_clock(cfg.dropoff)))
+    timed = timed.withColumn(SPEED, miles_per_hour(F.col(cfg.distance), F.col(DURATION)))
+    passes = reduce(lambda a, b: a & b, (F.coalesce(t.passes, F.lit(False)) for t in range_tests(cfg)))
+    complete = _complete(df, cfg)
+    cells = timed.groupBy(file, month_of(pickup).alias("month")).agg(
+        F.count("*").alias("n_rows"), F.count_if(complete).alias("n"), F.count_if(complete & passes).alias("good"))
+    order = F.when(F.col("month").isNotNull() & (F.col("n") > 0), F.struct("n", -F.unix_date("month")))
+    top = F.max_by(F.struct("month", "n", "good"), order)
+    return cells.groupBy(file).agg(F.sum("n_rows").alias("n_rows"), F.sum("n").alias("n_complete"), top.alias("top")).select(
+        file, "top.month", "n_rows", "n_complete", F.coalesce("top.n", F.lit(0)).alias("n_month"),
+        F.coalesce("top.good", F.lit(0)).alias("n_plausible"))
+
+
 def _month_info(target, months, before: int, after: int) -> dict[str, object]:
     return {
         "target_period": f"{target:%Y-%m}",
@@ -318,15 +339,19 @@ def pushable(month, cfg: TripConfig = DEFAULT) -> Column:
 
 
 def clean(df: DataFrame, month, cfg: TripConfig = DEFAULT) -> DataFrame:
-    """Raw trips of ``month`` to the cleaned table: narrow stages, then the one shuffle of the dedup.
+    """Raw trips of ``month`` to the cleaned table: narrow stages, then the one shuffle of the dedup."""
+    return clean_rows(df.where(in_month(cfg.pickup, month)), cfg)
+
+
+def clean_rows(df: DataFrame, cfg: TripConfig = DEFAULT, *kept: str) -> DataFrame:
+    """Raw trips to cleaned ones, whatever their month; columns ``kept`` must follow from the raw ones.
 
     Only raw columns are shuffled; the derived ones follow from them and are added afterwards.
     """
     raw = raw_columns(df, cfg)
-    complete = drop_incomplete(df, cfg).where(in_month(cfg.pickup, month)).withColumns(
-        {c: wall_clock(c) for c in (cfg.pickup, cfg.dropoff)})
+    complete = drop_incomplete(df, cfg).withColumns({c: wall_clock(c) for c in (cfg.pickup, cfg.dropoff)})
     minutes = minutes_between(F.col(cfg.pickup), F.col(cfg.dropoff))
     # Behind the duration test the speed needs no guard, which would compute the duration once more.
     speed = F.try_divide(F.col(cfg.distance), minutes / 60.0)
     plausible = complete.where(reduce(lambda a, b: a & b, (t.passes for t in range_tests(cfg, minutes, speed))))
-    return add_time_features(drop_exact_duplicates(plausible.select(*raw), cfg), cfg)
+    return add_time_features(drop_exact_duplicates(plausible.select(*raw, *kept), cfg), cfg)

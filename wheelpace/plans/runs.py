@@ -13,15 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wheelpace.config import DEFAULT, DERIVED, RUSH, SPEED, WEEKEND, TripConfig
-from wheelpace.functions.features import rounded
+from wheelpace.functions.features import month_of, rounded, wall_clock
 from wheelpace.operators import charts, model, quality, stats
 from wheelpace.operators.facts import Facts
-from wheelpace.session import fresh_path
+from wheelpace.session import fresh_path, settle
 from wheelpace.sources.sinks import place, save_counted, save_csv, save_json
 from wheelpace.sources.trips import nan_to_null, read_cleaned, scan_trips
 from wheelpace.sources.versions import current, entries, publish, verify, write_entry
 
 
+#: Names in the error about bad files.
+BAD_FILES_SHOWN = 20
+
+
 @dataclass(frozen=True)
 class Prepared:
     """The cleaned table as written, its row count and the audit of every stage."""
@@ -75,6 +79,29 @@ def prepare(raw: DataFrame, cfg: TripConfig = DEFAULT, path: str | None = None)
     }, cfg)
 
 
+def prepare_months(spark: SparkSession, source: str, path: str, cfg: TripConfig = DEFAULT) -> DataFrame:
+    """Clean a folder of monthly files into ``path``, one partition ``period`` per month; the files with their counts.
+
+    Every file has a month of its own, the one most of its complete rows fall into; its other rows are strays.
+    Months that the files do not cover stay as they are at ``path``, those they cover are replaced. A file
+    without a month or without a plausible row is an error that names it, before anything is written.
+    """
+    raw = nan_to_null(scan_trips(spark, source, cfg, file="source_file"))
+    files = settle(quality.months_by_file(raw, "source_file", cfg), "file-months")
+    bad = files.where("month is null or n_plausible = 0")
+    names = [r["source_file"] for r in bad.orderBy("source_file").limit(BAD_FILES_SHOWN).collect()]
+    if names:
+        raise ValueError(f"{bad.count()} files hold no plausible month: {names}")
+    months = files.select("source_file", "month")
+    rows = raw.join(months, "source_file").where(month_of(wall_clock(cfg.pickup)) == F.col("month"))
+    cleaned = quality.clean_rows(rows.withColumn("period", F.col("month")), cfg, "period")
+    cleaned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(path)
+    covered = months.select(F.col("month").alias("period")).distinct()
+    written = spark.read.parquet(path).withColumn("period", F.col("period").cast("date")).join(F.broadcast(covered), "period", "left_semi")
+    check_cleaned(written, cfg)
+    return files
+
+
 def check_load(raw: DataFrame, rows: int) -> dict[str, object]:
     """Error when the audit has seen other rows than the footers of the files count."""
     counted = raw.count()  # reads no column

@@ -96,16 +96,15 @@ def unified(found: list[Part], canonical: Callable[[str], str] = lambda name: na
     return StructType(list(columns.values()))
 
 
-def scan(spark: SparkSession, path: str, found: list[Part], target: StructType) -> DataFrame:
-    """The columns of ``target`` over all parts, each cast to its type, null where a part lacks it."""
+def scan(spark: SparkSession, path: str, found: list[Part], target: StructType, file: str | None = None) -> DataFrame:
+    """The columns of ``target`` over all parts, each cast to its type, null where a part lacks it; in the column
+    ``file``, if it is named, where a row is stored."""
+    stored = [F.col("_metadata.file_path").alias(file)] if file else []
     scans = []
     for part in found:
-        if part.files is None:
-            rows = spark.read.option("mergeSchema", "true").parquet(path)
-        else:
-            rows = spark.read.option("basePath", path).schema(part.schema).parquet(*part.files)
+        rows = spark.read.option("basePath", path).schema(part.schema).parquet(*part.files)
         own = {f.name.lower(): f.name for f in part.schema}
         scans.append(rows.select(*(
             (F.col(f"`{own[f.name.lower()]}`") if f.name.lower() in own else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in target)))
+            for f in target), *stored))
     return reduce(DataFrame.unionAll, scans)

@@ -49,18 +49,20 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None)).cast(df.schema[c].dataType) for c in floats})
 
 
-def scan_trips(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT, merge_schema: bool = True) -> DataFrame:
+def scan_trips(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT, merge_schema: bool = True,
+               file: str | None = None) -> DataFrame:
     """The chosen columns of a parquet file or folder as they are stored.
 
     With ``merge_schema`` all footers are read, since the files of a folder may differ in their optional columns, in the case of
     names and in types: a column that one file lacks is null there, and one that has several types
-    gets the type that holds them all.
+    gets the type that holds them all. ``file`` names a column for the file that a row is stored in.
     """
     found, table = _footers(spark, path, cfg, merge_schema)
     chosen = columns_to_read(table.names, cfg)
     if len(found) == 1:
-        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path).select(*chosen)
-    return schemas.scan(spark, path, found, StructType([table[c] for c in chosen]))
+        stored = [F.col("_metadata.file_path").alias(file)] if file else []
+        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path).select(*chosen, *stored)
+    return schemas.scan(spark, path, found, StructType([table[c] for c in chosen]), file)
 
 
 def read_trips(spark: SparkSession, path: str, cfg: TripConfig = DEFAULT, merge_schema: bool = True) -> DataFrame:
