@@ -4,8 +4,8 @@ Every task packs its own documents in one pass. A document is cut into full sequ
 it is an item. Of all fill levels that it fits on, an item goes where the sum of squares of the numbers
 of open sequences per level becomes smallest, which keeps every level equally likely to be met by a
 fitting item; the numbers are kept in a level array. At the end of a task the sequences that are still
-open are emptied and their pieces laid end to end, cut where a sequence is full; the last stretch is cut
-into lengths that are powers of two, which need no padding.
+open stay as they are, the fullest first, and what each lacks is cut from the pieces of the emptiest ones;
+the one that is left over is cut into lengths that are powers of two, which need no padding.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ _PLAIN = re.compile(f"[{_LOWER}]+").fullmatch
 _BYTES = {b: 256 + i for i, b in enumerate(
     b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))}
 
-NUMBERS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length"]
+NUMBERS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length", "by_rule"]
 
 
 class Words:
@@ -173,14 +173,17 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBat
     words, packer = _words(path), Packer()
     following = TaskContext.get().partitionId() << 40
     ending = np.array([END_OF_DOCUMENT], "<u4").tobytes()
-    kept: dict[int, bytes] = {}  # ids of the pieces in open sequences, to cut them anew at the end
+    # Ids of the pieces in open sequences, by number: where the rule put them, and where the end of the task did.
+    kept: dict[int, bytes] = {}
+    moving: dict[int, bytes] = {}
 
     def closed(sequence: list) -> list:
         nonlocal following
         rows, offset, total = [], 0, sum(p[2] for p in sequence)
         for doc, start, length, crc, tokens, number in sequence:
-            kept.pop(number, None)
-            rows.append((doc, start, length, crc, tokens, following, offset, total))
+            by_rule = 1 if number is None or kept.pop(number, None) else 0
+            moving.pop(number, None)
+            rows.append((doc, start, length, crc, tokens, following, offset, total, by_rule))
             offset += length
         following += 1
         return rows
@@ -202,33 +205,48 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBat
             for start in range(0, tokens, LENGTH):
                 piece = ids[4 * start:4 * (start + LENGTH)]
                 size, number = len(piece) // 4, number + 1
-                entry = (doc, start, size, zlib.crc32(piece), tokens, number)
                 if size == LENGTH:
-                    rows += closed([entry])
+                    rows += closed([(doc, start, size, zlib.crc32(piece), tokens, None)])
                     continue
+                entry = (doc, start, size, zlib.crc32(piece), tokens, number)
                 kept[number] = piece
                 full = packer.place(size, entry)
                 if full:
                     rows += closed(full)
         yield frame(rows)
 
-    rows, sequence, room = [], [], 0
-    left = [p for s in packer.rest() for p in s][::-1]
-    total = sum(p[2] for p in left)
-    while left:
-        doc, start, size, _, tokens, mark = left.pop()
-        if not room:
-            room = LENGTH if total >= LENGTH else 1 << (total.bit_length() - 1)
-        taken, piece = min(size, room), kept.pop(mark)
+    def moved(source: list, room: int, sequence: list) -> int:
+        """Cut at most ``room`` tokens from the last piece of ``source`` into ``sequence``; how many."""
+        nonlocal number
+        doc, start, size, _, tokens, mark = source.pop()
+        taken, ids = min(size, room), kept.pop(mark, None) or moving.pop(mark)
         number += 1
-        sequence.append((doc, start, taken, zlib.crc32(piece[:4 * taken]), tokens, number))
-        room, total = room - taken, total - taken
+        moving[number] = ids[:4 * taken]
+        sequence.append((doc, start, taken, zlib.crc32(moving[number]), tokens, number))
         if taken < size:
-            kept[mark] = piece[4 * taken:]
-            left.append((doc, start + taken, size - taken, 0, tokens, mark))
-        if not room:
-            rows += closed(sequence)
-            sequence = []
+            moving[mark] = ids[4 * taken:]
+            source.append((doc, start + taken, size - taken, 0, tokens, mark))
+        return taken
+
+    rows, waiting = [], packer.rest()
+    first, last = 0, len(waiting) - 1
+    while first < last:
+        room = LENGTH - sum(p[2] for p in waiting[first])
+        while room and first < last:
+            room -= moved(waiting[last], room, waiting[first])
+            last -= not waiting[last]
+        if room:
+            break
+        rows += closed(waiting[first])
+        first += 1
+    rest = waiting[first] if first <= last else []
+    total = sum(p[2] for p in rest)
+    while total:
+        room, sequence = 1 << (total.bit_length() - 1), []
+        total -= room
+        while room:
+            room -= moved(rest, room, sequence)
+        rows += closed(sequence)
     if rows:
         yield frame(rows)
     words.forget()  # the worker lives on, and later stages need the room
@@ -236,10 +254,11 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBat
 
 
 def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_length.
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_length, by_rule.
 
     ``tokenizer`` is the path of a tokenizer file on the executors that ignores white space between words.
-    The pieces of a sequence fill it without gaps from 0. Null and empty texts consist of the final id.
+    The pieces of a sequence fill it without gaps from 0; ``by_rule`` is 1 for a piece that lies where the rule put
+    it or is a whole sequence, 0 where the end of the task moved it. Null and empty texts consist of the final id.
     Every row is packed, repeated ones too; extra columns are ignored; no rows give no pieces. A task holds
     the ids of its open sequences only, at most one piece per fill level and open sequence.
     """
