@@ -19,8 +19,10 @@ from wheelpace.session import settle
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
-#: Rows of sketches, shingles and candidates that are broadcast, of about 100 bytes each; beyond, Spark shuffles.
-BROADCAST_ROWS = 200_000
+#: Bytes of sketches, shingles and candidates that are broadcast; beyond, Spark shuffles.
+BROADCAST_BYTES = 20_000_000
+#: What a row takes besides its texts.
+_ROW_BYTES = 100
 
 _DOC = ["doc_id", "text_hash"]
 
@@ -76,7 +78,11 @@ def doc_shingles(docs: DataFrame, lengths: list[int], text: bool) -> DataFrame:
 
 
 def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """``df``, to be broadcast if its rows and texts are measured to be small."""
+    texts = [F.octet_length(c) for c, kind in df.dtypes if kind == "string"]
+    size = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(_ROW_BYTES))
+    found = df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if found["bytes"] <= BROADCAST_BYTES else df
 
 
 def contained_items(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
