@@ -328,6 +328,15 @@ def test_packing(spark, docs):
     assert packing.pack(docs((6, "a"), (6, "a")), TOKENIZER).count() == 2
 
 
+def test_most_pieces_stay_where_the_rule_put_them(spark, docs):
+    rows = [(i, prose(i, 30 + 37 * i % 900)) for i in range(1200)]
+    pieces = packing.pack(docs(*rows).coalesce(1), TOKENIZER).collect()
+    check_packing(pieces, dict(rows))
+    share = sum(p.length for p in pieces if p.by_rule) / sum(p.length for p in pieces)
+    short = {p.sequence_id for p in pieces if p.sequence_length < 4096}
+    assert share > 0.5 and len(short) <= 12
+
+
 def test_sum_of_squares_rule():
     packer, rng = packing.Packer(16), random.Random(2)
     full = 0
@@ -639,3 +648,28 @@ def test_normal_equations_equal_one_product(spark):
     assert n == 300 and np.allclose(products, f.T @ f) and np.allclose(right, f.T @ y)
     products, right, n = quality._normal_equations(rows.limit(0), centre, scale)
     assert n == 0 and not products.any() and not right.any()
+
+
+def test_texts_without_repeated_chunks(docs):
+    """Every chunk stays at its first place only, in the order of ids, by plain loops over the chunks."""
+    rng = random.Random(12)
+    passage = "".join(rng.choice("abcdefgh é") for _ in range(600))
+    rows = [(None, prose(1, 60)), (3, prose(2, 50) + passage), (1, passage + prose(3, 80)), (2, prose(1, 60)), (4, None), (5, ""),
+            (6, "xy" * 300), (7, "xy" * 300 + "end"), (8, passage[200:] + passage)]
+    first, want = set(), {}
+    for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        raw = (text or "").encode()
+        stops = gear.ends(np.frombuffer(raw, np.uint8)).tolist()
+        chunks = [raw[a:b] for a, b in zip([0, *stops], stops)]
+        kept = []
+        for chunk in chunks:
+            if chunk not in first:
+                kept.append(chunk)
+            first.add(chunk)
+        want[doc] = None if text is None else b"".join(kept).decode()
+    table = docs(*rows)
+    left = gear.without_repeats(table.repartition(3))
+    assert left.columns == table.columns and {r.doc_id: r.text for r in left.collect()} == want
+    assert want[2] == "" and len(want[3]) < 50 * 8 + 200
+    assert [r.text for r in gear.without_repeats(docs((1, "a b"), (1, "a b"))).collect()] == ["a b", "a b"]
+    assert gear.without_repeats(table.limit(0)).count() == 0

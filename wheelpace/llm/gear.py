@@ -139,3 +139,30 @@ def repeated_spans(docs: DataFrame, least_bytes: int = LEAST_BYTES, whole_texts:
         F.min("first_id").alias("first_doc_id"), F.first("of").alias("of"))
     whole = F.lit(whole_texts) & (F.col("bytes") == F.col("of"))
     return runs.where((F.col("bytes") >= least_bytes) | whole).drop("run", "of")
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """All rows of ``docs`` with the chunks that have an earlier place taken out of ``text``; other columns stay as they are.
+
+    Of equal chunks the one of the smallest (doc_id, text_hash, number) stays; a document without id comes first. Rows of
+    equal id and text are one document and stay alike. A null text stays null; a text may become empty.
+    """
+    def left(texts: pd.Series, removed: pd.Series) -> pd.Series:
+        found = []
+        for text, numbers in zip(texts, removed, strict=True):
+            if text is not None and numbers is not None and len(numbers):
+                raw, gone = text.encode(), set(numbers)
+                stops = ends(np.frombuffer(raw, np.uint8)).tolist()
+                text = b"".join(raw[a:b] for no, (a, b) in enumerate(zip([0, *stops], stops, strict=False)) if no not in gone).decode()
+            found.append(text)
+        return pd.Series(found)
+
+    mark = "text_hash"
+    while mark in docs.columns:
+        mark = f"_{mark}"
+    gone = settle(repeated_chunks(docs).where("not stays").groupBy(*_DOC).agg(F.collect_set("no").alias("removed")), "removed-chunks")
+    marked = docs.withColumn(mark, F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))).alias("d")
+    joined = marked.join(gone.hint("merge").alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (
+        F.col(f"d.{mark}") == F.col("g.text_hash")), "left")
+    rest = F.pandas_udf(left, "string")(F.col("d.text").cast("string"), F.col("g.removed"))
+    return joined.select(*(rest.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns))
