@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from wheelpace.llm import trie
 
@@ -76,8 +77,8 @@ def test_a_sketch_that_is_full_changes_nothing(talks, monkeypatch):
 def test_the_sketch_never_counts_too_low(talks, spark):
     rows = trie.prefixes(talks(some(150, 9)))
     marked = trie.screened(rows, trie.SEGMENT)
-    wrong = marked.groupBy("k1", "k2").agg({"*": "count", "shared": "min"}).toDF("k1", "k2", "n", "shared").where("n > 1 and not shared")
-    assert wrong.isEmpty()
+    sizes = marked.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min("shared").alias("shared"))
+    assert sizes.where("n > 1").count() > 20 and sizes.where("n > 1 and not shared").isEmpty()
     single = marked.groupBy("k1", "k2").count().where("count = 1").count()
     assert marked.where("not shared").count() > 0.8 * single
 
