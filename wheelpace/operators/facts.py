@@ -43,12 +43,11 @@ class Facts:
 
     @cached_property
     def counted(self) -> Histogram:
-        """The histogram of all columns that are summarised, by the keys of the groupings, written."""
+        """The histogram of all columns that are summarised, by the keys of the groupings."""
         groupings = self._groupings()
         keys = CUBE_KEYS if self.groupings is None else tuple(k for k in groupings if k != "all")
         metrics = dict.fromkeys(m for names in groupings.values() for m in names)
-        found = count_values(self.trips, metrics, keys)
-        return replace(found, cells=settle(found.cells, "histogram"))
+        return count_values(self.trips, metrics, keys)
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -70,13 +69,13 @@ class Facts:
         them need no shuffle.
         """
         kept = replace(self)
-        kept.counted = self.counted
+        kept.counted = replace(self.counted, cells=settle(self.counted.cells, "histogram"))
         kept.summary = settle(kept.summary, "summary")
         if set(self._groupings()) <= {"all", *CUBE_KEYS}:
             kept.summary = kept.summary.coalesce(1)
         cube = self.cube
         if self.groupings is None:
-            cube = self.counted.moments(SPEED, *CUBE_KEYS)
+            cube = kept.counted.moments(SPEED, *CUBE_KEYS)
             columns = [c for c in self.cfg.numeric if c in self.trips.columns]
             means = {r["metric"]: r["mean"] for r in kept.summary.where("grouping = 'all'").collect()}  # one row a column
             kept.pairs = correlations(self.trips, columns, [means[c] for c in columns])

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from wheelpace.functions.buckets import bucket
 from wheelpace.functions.features import number
 from wheelpace.operators import summary
-from wheelpace.session import settle
 
 #: Buckets span a relative width of 2 ** -BITS, so a column falls into some hundred.
 BITS = 8
@@ -115,7 +114,7 @@ def summarize(histogram: Histogram, trips: DataFrame, groupings: dict[str, list[
     rows = _long(trips, histogram.metrics, histogram.keys)
     values = rows.join(F.broadcast(asked) if size["buckets"] <= summary.BROADCAST_ROWS else asked, ["metric", "bucket"]).groupBy(
         *histogram.keys, "metric", "bucket", "v").agg(F.count("v").alias("c"))
-    values = settle(under(values, F.col("bucket").alias("coarse"), "v", "c").groupBy("part", "level", "coarse", "v").agg(
-        F.sum("c").alias("c")), "values")
+    values = under(values, F.col("bucket").alias("coarse"), "v", "c").groupBy("part", "level", "coarse", "v").agg(
+        F.sum("c").alias("c"))
     result = summary.values_at_ranks(values, wanted, size, probs)
     return summary.named(result, pairs, probs)
