@@ -192,11 +192,34 @@ def test_scripts_of_many_letters():
     assert langid.predict(model, list(texts.values()))[0] == list(texts)
     for text in texts.values():
         got = langid.phrases(model, [model.classes[langid.normalised(text)[0]]])[0].tolist()
-        # a stretch is started afresh
-        assert len(text) < langid.STRETCH
         assert got == [phrases_by_search(text, "\0".join(sorted(sources[lang])) + "\0") for lang in sorted(sources)]
 
 
+@pytest.mark.parametrize("stretch, lanes", [(512, 8192), (7, 8192), (16, 3), (1, 2), (64, 1)])
+def test_a_parse_goes_on_across_stretches(monkeypatch, stretch, lanes):
+    monkeypatch.setattr(langid, "STRETCH", stretch)
+    monkeypatch.setattr(langid, "LANES", lanes)
+    tongues = {"xa": WORDS, "xb": ["zu" + w for w in WORDS[:60]], "xc": [chr(0x4E00 + 3 * i) * 2 for i in range(300)]}
+    sources = {lang: [prose(i, 80, words) for i in range(5)] for lang, words in tongues.items()}
+    model = langid.build(sources)
+    # Long matches of whole stretches, texts of another language, one letter again and again, empty and short ones.
+    texts = [prose(50, 300), sources["xa"][0] * 3, prose(51, 200, tongues["xc"]), "a" * 1500, "", "ba", sources["xb"][2]]
+    points = [langid.normalised(t)[0] for t in texts]
+    got = langid.phrases(model, [model.classes[p] for p in points])
+    flat = ["".join(map(chr, p)) for p in points]
+    for text, found in zip(flat, got.tolist(), strict=True):
+        assert found == [phrases_by_search(text, "\0".join(sorted(sources[lang])) + "\0") for lang in sorted(sources)]
+
+
+def test_whole_texts_are_learned_from(spark, monkeypatch):
+    built = []
+    monkeypatch.setattr(langid, "SAMPLE_CHARS", 100)
+    monkeypatch.setattr(langid, "build", lambda samples: built.append({k: sorted(v) for k, v in samples.items()}))
+    rows = [("xa", "a" * 60), ("xa", "a" * 60), ("xa", "b" * 30), ("xa", "c" * 4000), ("xb", "de" * 300), (None, "f"), ("xc", None)]
+    langid.fit(spark.createDataFrame(rows, "lang string, text string"))
+    assert built == [{"xa": ["a" * 60, "b" * 30], "xb": ["de" * 50]}]
+
+
 # --- 4 --------------------------------------------------------------------------------------------
 
 def test_pseudo_likelihood(spark, docs):

@@ -7,8 +7,9 @@ text, so it costs the logarithm of their number. The language of the fewest bits
 alphabetically first where several are equal.
 
 The automata are fitted on a bounded sample of labelled rows and sent to the executors; every whole
-text is parsed. A document is parsed in stretches of ``STRETCH`` characters, each started afresh, so
-that numpy follows many stretches at once however long a single text is.
+text is parsed. Numpy follows many stretches of ``STRETCH`` characters at once, however long a single text
+is: each is first parsed by itself and then again from where the stretch before it ended, until both parses
+meet. The phrases are those of one parse from the first character to the last.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
-#: Bound of the fitting sample, per language: distinct texts, and characters taken of each from its middle.
-SAMPLE_TEXTS, SAMPLE_CHARS = 200, 200
+#: Bound of the fitting sample, per language: about so many distinct texts, whole, of together so many characters.
+SAMPLE_TEXTS, SAMPLE_CHARS = 200, 40_000
 #: The most frequent characters of the sample have a column of transitions; those of all others are searched for.
 ALPHABET = 128
 #: Bits of a class in a key of state and class.
@@ -155,37 +156,78 @@ def build(samples: dict[str, list[str]]) -> Model:
 
 
 def phrases(model: Model, texts: list[np.ndarray]) -> np.ndarray:
-    """(text, language): number of phrases of each text, given as classes of its characters."""
-    total = np.zeros((len(texts), len(model.languages)), np.int64)
-    flat, width = model.steps.ravel(), model.steps.shape[1]
-    owner, pieces = [], []
-    for i, codes in enumerate(texts):
-        for at in range(0, len(codes), STRETCH):
-            owner.append(i)
-            pieces.append(codes[at:at + STRETCH])
-    order = np.argsort([-len(p) for p in pieces], kind="stable")
-    for lane in range(0, len(order), LANES):
-        chosen = order[lane:lane + LANES]
-        lengths = np.array([len(pieces[i]) for i in chosen])
+    """(text, language): number of phrases of each text, given as classes of its characters; 1 for an empty text."""
+    total = np.ones((len(texts), len(model.languages)), np.int64)  # the first phrase; others count where they begin
+    pieces = [(i, at) for i, codes in enumerate(texts) for at in range(0, len(codes), STRETCH)]
+    ended = model.roots.copy()  # state of each language where the stretches before ended
+    for lane in range(0, len(pieces), LANES):
+        chosen = pieces[lane:lane + LANES]
+        owners = np.array([i for i, _ in chosen])
+        sizes = np.array([min(STRETCH, len(texts[i]) - at) for i, at in chosen])
+        order = np.argsort(-sizes, kind="stable")
+        place, lengths = np.argsort(order), sizes[order]
         grid = np.zeros((int(lengths[0]), len(chosen)), np.int32)
-        for j, i in enumerate(chosen):
-            grid[:lengths[j], j] = pieces[i]
-        active = np.searchsorted(-lengths, -np.arange(1, len(grid) + 1), side="right")
-        owners = np.array(owner)[chosen]
-        columns = np.where(grid < width, grid, 0).astype(np.uint8)
-        rare = [np.flatnonzero(row >= width) for row in grid]  # stretches that have ended are 0
+        for j, at in enumerate(order.tolist()):
+            text, first = chosen[at]
+            grid[:lengths[j], j] = texts[text][first:first + STRETCH]
+        following = np.full(len(chosen), -1)  # the stretch that goes on where this one ends
+        following[place[:-1]] = np.where(owners[1:] == owners[:-1], place[1:], -1)
         for k, root in enumerate(model.roots):
-            state, count = np.full(len(chosen), root, np.int32), np.ones(len(chosen), np.int32)
-            for row, column, others, n in zip(grid, columns, rare, active.tolist(), strict=True):
-                found = flat[state[:n] * width + column[:n]]  # n: stretches that are still going on
-                if len(others):
-                    found[others] = _searched(model, k, state[others], row[others])
-                count[:n] += found & 1
-                np.right_shift(found, 1, out=state[:n])
-            np.add.at(total[:, k], owners, count)
+            state = np.full(len(chosen), root, np.int32)
+            if chosen[0][1]:  # goes on with a text of the stretches before
+                state[place[0]] = ended[k]
+            count, end = _parse(model, k, grid, lengths, state, following)
+            np.add.at(total[:, k], owners[order], count)
+            ended[k] = end[place[-1]]
     return total
 
 
+def _parse(model: Model, language: int, grid: np.ndarray, lengths: np.ndarray, state: np.ndarray,
+           following: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases that begin in each stretch after its start, and its last state.
+
+    All stretches are parsed side by side from ``state``, then those that go on with another one again from its
+    last state, until they are in a state of the parse before: from there on both are the same. Where they reach
+    the end without that, the next stretch is parsed again.
+    """
+    active = np.searchsorted(-lengths, -np.arange(1, len(grid) + 1), side="right")
+    count, end = np.zeros(len(lengths), np.int64), state.copy()
+    taken = np.zeros(grid.shape, np.int32)
+    for row, kept, n in zip(grid, taken, active.tolist(), strict=True):  # n: stretches that are still going on
+        kept[:n] = _next(model, language, end[:n], row[:n])
+        count[:n] += kept[:n] & 1
+        np.right_shift(kept[:n], 1, out=end[:n])
+    moved = np.flatnonzero(following >= 0)
+    while len(moved):
+        lanes, now = following[moved], end[moved]
+        at, finished = 0, [moved[:0]]
+        while len(lanes):
+            old, new = taken[at, lanes], _next(model, language, now, grid[at, lanes])
+            count[lanes] += (new & 1) - (old & 1)
+            taken[at, lanes] = new
+            now = new >> 1
+            at += 1
+            apart = now != old >> 1
+            last = apart & (lengths[lanes] == at)
+            end[lanes[last]] = now[last]
+            finished.append(lanes[last])
+            lanes, now = lanes[apart & ~last], now[apart & ~last]
+        moved = np.concatenate(finished)
+        moved = moved[following[moved] >= 0]
+    return count, end
+
+
+def _next(model: Model, language: int, state: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Steps of a language from states by classes."""
+    width = model.steps.shape[1]
+    rare = np.flatnonzero(classes >= width)
+    if not len(rare):
+        return model.steps.ravel()[state * width + classes]
+    found = model.steps.ravel()[state * width + np.where(classes < width, classes, 0)]
+    found[rare] = _searched(model, language, state[rare], classes[rare])
+    return found
+
+
 def _searched(model: Model, language: int, state: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Steps by classes that have no column."""
     out = model.starts[language, classes]
@@ -237,23 +279,28 @@ def held_out(doc_id: Column) -> Column:
 def fit(labelled: DataFrame) -> Model:
     """A model of the languages in ``labelled`` (lang, text).
 
-    Of each language about ``SAMPLE_TEXTS`` distinct texts are taken, those of the smallest hashes, and of
-    each the ``SAMPLE_CHARS`` characters around its middle: that is all that reaches the driver, and copies
-    of a text count once. Rows of null language or text teach nothing.
+    Of each language about ``SAMPLE_TEXTS`` distinct texts are drawn, those of the smallest hashes; copies of a
+    text count once. In the order of their hashes whole texts are learned from as long as they fit into
+    ``SAMPLE_CHARS`` together; one that does not fit is passed over. Only where no drawn text fits are
+    ``SAMPLE_CHARS`` characters from the middle of one taken. That is all that reaches the driver. Rows of null language
+    or text teach nothing.
     """
     rows = labelled.select(labelled["lang"].cast("string").alias("lang"), labelled["text"].cast("string").alias("text"))
-    rows = rows.where("lang is not null and text is not null")
-    rows = rows.select("lang", F.xxhash64("text").alias("h"), F.substring(
-        F.col("text"), F.greatest(F.lit(1), F.floor((F.char_length("text") - SAMPLE_CHARS) / 2).cast("int") + 1),
-        F.lit(SAMPLE_CHARS)).alias("piece"))
-    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).withColumnRenamed("lang", "of")
-    share = F.lit(float(SAMPLE_TEXTS)) / F.col("n")
+    rows = rows.where("lang is not null and text is not null").withColumn("n", F.char_length("text"))
+    rows = rows.select("lang", F.xxhash64("text").alias("h"), "n", F.when(F.col("n") <= SAMPLE_CHARS, F.col("text")).otherwise(
+        F.substring(F.col("text"), F.floor((F.col("n") - SAMPLE_CHARS) / 2).cast("int") + 1, F.lit(SAMPLE_CHARS))).alias("piece"))
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).select(F.col("lang").alias("of"), F.col("n").alias("texts"))
+    share = F.lit(float(SAMPLE_TEXTS)) / F.col("texts")
     place = F.pmod("h", F.lit(1 << 40)) / float(1 << 40)
     chosen = rows.join(F.broadcast(sizes), F.col("lang") == F.col("of")).where(place < share)
-    chosen = chosen.groupBy("lang", "h").agg(F.min("piece").alias("piece"))
+    chosen = chosen.groupBy("lang", "h").agg(F.min("n").alias("n"), F.min("piece").alias("piece"))
     samples: dict[str, list[str]] = {}
-    for row in chosen.collect():
-        samples.setdefault(row["lang"], []).append(row["piece"])
+    left: dict[str, int] = {}
+    for row in sorted(chosen.collect(), key=lambda r: (r["n"] > SAMPLE_CHARS, r["h"])):  # texts cut to size come last
+        free = left.setdefault(row["lang"], SAMPLE_CHARS)
+        if len(row["piece"]) <= free:
+            samples.setdefault(row["lang"], []).append(row["piece"])
+            left[row["lang"]] = free - len(row["piece"])
     return build(samples)
 
 
