@@ -12,6 +12,7 @@ import pandas as pd
 import pytest
 import public_tokenizers
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wheelpace.llm import contain, gear, golay, langid, lines, lm, packing, quality, warc, winnow
@@ -73,16 +74,20 @@ def test_decontamination_is_native(spark, docs):
 
 # --- 2 --------------------------------------------------------------------------------------------
 
+def tokens_of(text):
+    return [t for run in text.lower().split() for t in ([run] if len(run) <= 12 else run)]
+
+
 def kept_grams(text):
     """Winnowing by its definition, with Spark's hash taken from the tokens' order only."""
-    tokens = re.findall(r"\S{1,12}", text.lower())
+    tokens = tokens_of(text)
     return [tuple(tokens[i:i + winnow.K]) for i in range(max(1, len(tokens) - winnow.K + 1))] if tokens else []
 
 
 def test_winnowing_takes_the_rightmost_minimum_of_each_window(spark):
-    text = prose(3, 60) + " " + prose(3, 60)  # repeats: equal hashes
+    text = f"{prose(3, 60)} {prose(3, 60)} {prose(4, 9).replace(' ', '')} exactlytwelv"  # repeats: equal hashes
     row = winnow.fingerprint_columns(spark.createDataFrame([(text,)], "text string"), "text", "f").first()
-    tokens = re.findall(r"\S{1,12}", text)
+    tokens = tokens_of(text)
     import pyspark.sql.functions as F
     grams = spark.createDataFrame([tuple(tokens[i:i + 5]) for i in range(len(tokens) - 4)], "a string, b string, c string, d string, e string")
     hashes = [r[0] & 0x7FFFFFFF for r in grams.coalesce(1).select(F.xxhash64("a", "b", "c", "d", "e")).collect()]
@@ -95,6 +100,15 @@ def test_winnowing_takes_the_rightmost_minimum_of_each_window(spark):
     assert [(x >> 32, 0xFFFFFFFF - (x & 0xFFFFFFFF)) for x in row.f] == want
 
 
+def test_an_inserted_character_moves_no_others_in_text_without_spaces(spark):
+    rng = random.Random(3)
+    text = "".join(chr(rng.randrange(0x4E00, 0x5E00)) for _ in range(600))
+    frame = spark.createDataFrame([(text,), (text[:50] + "\U00020000" + text[50:],), (text[7:] + "zu",)], "text string")
+    kept = winnow.fingerprint_columns(frame, "text", "f").select(winnow.hashes(F.col("f")).alias("h")).collect()
+    first, *others = (set(r.h) for r in kept)
+    assert all(2 * len(first & other) / (len(first) + len(other)) > 0.9 for other in others)
+
+
 def test_fingerprint_edits(spark, docs):
     rows = [r for r in ODD if r[0] != 6]
     table = docs(*rows)

@@ -1,6 +1,7 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-Tokens are runs of up to 12 characters other than white space, in lower case. Every window of
+Tokens are runs of up to 12 characters other than white space, in lower case; of longer runs, as in scripts
+without spaces, every character is a token, so that an inserted one moves no others. Every window of
 ``WINDOW`` consecutive k-gram hashes keeps its smallest, the rightmost where several are equal, with
 its position. Two texts that share ``K + WINDOW - 1`` tokens in a row share a kept hash for certain;
 matches under ``K`` tokens are never reported.
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TOKEN = r"\S{1,12}"
+TOKEN = r"(?<!\S)\S{1,12}(?!\S)|\S"
 K = 5
 #: A power of two: window minima are found by doubling.
 WINDOW = 8
