@@ -73,7 +73,7 @@ def test_fitted_codes_and_unseen_categories(marked, monkeypatch):
     train, test = model.split(rows)
     fitted = model.fit(train, threshold, replace(DEFAULT, max_rounds=1))
     routes = sorted({r[ROUTE] for r in train.select(ROUTE).distinct().collect()})
-    for limit in (model.BROADCAST_CODES, -1):
+    for limit in (model.BROADCAST_CODES, 20, -1):
         monkeypatch.setattr(model, "BROADCAST_CODES", limit)
         scored = fitted.encode(test)
         for r in scored.select(ROUTE, f"x_{ROUTE}", "pickup_hour", "x_pickup_hour").collect():
@@ -82,6 +82,26 @@ def test_fitted_codes_and_unseen_categories(marked, monkeypatch):
         assert scored.where(f"x_{ROUTE} = -1").count() > 0
 
 
+def test_a_frequent_category_is_not_shuffled(spark, monkeypatch):
+    rows = spark.range(4000).selectExpr("id", "if(id % 2 = 0, 'hot', concat('r', id % 1000)) as route")
+    codes = model.ordinal_codes(model.category_counts(rows, ("route",)))
+    counts = {r["category"]: r["n"] for r in codes.collect()}
+    for limit in (0, 1, 10, 500, 501, 1000):
+        start = model.frequent_from(codes, limit)["route"]
+        frequent = [c for c, n in counts.items() if start is not None and n >= start]
+        assert len(frequent) <= limit and (start == 0) == (len(counts) <= limit)
+        assert all(n <= 2 * 4000 / max(1, limit) for c, n in counts.items() if c not in frequent)
+    fitted = model.SlowTripModel(None, codes, {}, ("route",), ("route",), 0.0, 0)
+    new = rows.unionByName(spark.createDataFrame([(-1, "unseen"), (-2, None)], "id long, route string"))
+    want = {r["id"]: r["x_route"] for r in fitted.encode(new).collect()}
+    assert want[-1] == want[-2] == -1 and want[0] == want[2] != want[1]
+    monkeypatch.setattr(model, "BROADCAST_CODES", 10)
+    split = fitted.encode(new)
+    assert {r["id"]: r["x_route"] for r in split.collect()} == want
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "rightHint=(strategy=broadcast)" in plan
+
+
 def test_codes_are_numbered_across_ranges(spark):
     counts = spark.range(5000).selectExpr("concat('c', id % 2) as column", "string(id) as category",
                                           "if(id % 2 = 0, 0.0D, double(id)) as sort_key", "1L as n")

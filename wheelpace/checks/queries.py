@@ -500,7 +500,7 @@ def frequent_fills(spark, sf_dir):
 @query
 def category_codes(spark, sf_dir):
     counts = model.category_counts(_featured(spark, sf_dir), DEFAULT.categorical_features)
-    return model.ordinal_codes(counts)
+    return model.ordinal_codes(counts).drop("n")
 
 
 @query

@@ -121,21 +121,45 @@ def most_frequent(counts: DataFrame) -> DataFrame:
 
 
 def ordinal_codes(counts: DataFrame) -> DataFrame:
-    """(column, category, code): position of each category in the sorted categories of its column.
+    """(column, category, code, n): position of each category in the sorted categories of its column, and its count.
 
     The categories are sorted in ranges, each numbered by itself from the size of the ranges before it, so
     that no task holds a whole column. The ranges are written first; the offsets then fit them for certain.
     """
     order = ["sort_key", "category"]
     ranges = settle(counts.repartitionByRange("column", *order).select(
-        "column", *order, F.spark_partition_id().alias("range")), "ranges")
+        "column", *order, "n", F.spark_partition_id().alias("range")), "ranges")
     before = Window.partitionBy("column").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     # One row per column and range: as many as there are partitions, and one more per column.
     offsets = ranges.groupBy("column", "range").agg(F.count("*").alias("n")).select(
         "column", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     place = F.row_number().over(Window.partitionBy("column", "range").orderBy(*order))
     return ranges.join(F.broadcast(offsets), ["column", "range"]).select(
-        "column", "category", (F.col("offset") + place - 1).cast("int").alias("code"))
+        "column", "category", (F.col("offset") + place - 1).cast("int").alias("code"), "n")
+
+
+def frequent_from(codes: DataFrame, limit: int) -> dict[str, int | None]:
+    """Per column of a code table the count from which its categories are frequent: at most ``limit`` of them are.
+
+    It is a power of two, or 0 where the column has no more categories than that. More than ``limit`` categories
+    have at least half of that count, so a rarer one has less than 2 / ``limit`` of all rows. None where no
+    category is frequent.
+    """
+    size = F.floor(F.log2("n")).cast("int")
+    found: dict[str, list[tuple[int, int]]] = {}
+    for r in codes.groupBy("column", size.alias("size")).agg(F.count("*").alias("n")).collect():  # at most 64 a column
+        found.setdefault(r["column"], []).append((r["size"], r["n"]))
+    starts: dict[str, int | None] = {}
+    for column, sizes in found.items():
+        total, starts[column] = 0, None
+        for power, n in sorted(sizes, reverse=True):
+            total += n
+            if total > limit:
+                break
+            starts[column] = 2 ** power
+        else:
+            starts[column] = 0
+    return starts
 
 
 def class_weights(train: DataFrame) -> DataFrame:
@@ -151,7 +175,7 @@ class SlowTripModel:
     """Fitted trees with what turns trips into their input."""
 
     trees: boosting.LeafTrees | None
-    codes: DataFrame  # (column, category, code), stored
+    codes: DataFrame  # (column, category, code, n), stored
     fills: dict[str, float | str | None]
     features: tuple[str, ...]
     categorical: tuple[str, ...]
@@ -161,10 +185,11 @@ class SlowTripModel:
     def encode(self, rows: DataFrame) -> DataFrame:
         """``rows`` with the number ``x_<feature>`` per feature.
 
-        Missing values get the fill, categories that training has not seen the code -1. A code table is
-        broadcast where it was counted to be short; else the join is left to Spark, which splits hot keys.
+        Missing values get the fill, categories that training has not seen the code -1. A code table is broadcast
+        where it was counted to be short. Of a longer one only the frequent categories are; rows of all others, of
+        which none has a large share, are shuffled and united with the rest.
         """
-        sizes = {r["column"]: r["n"] for r in self.codes.groupBy("column").agg(F.count("*").alias("n")).collect()}
+        starts = frequent_from(self.codes, BROADCAST_CODES)
         known = {}
         for c in self.features:
             fill = self.fills.get(c)
@@ -173,11 +198,20 @@ class SlowTripModel:
             else:
                 known[f"x_{c}"] = F.coalesce(number(c), F.lit(0.0 if fill is None else fill))
         out = rows.withColumns(known)
-        for c in self.categorical:
+        # A long table reads its input twice, so those come last; without any training category there is nothing to look up.
+        for c in sorted(self.categorical, key=lambda c: starts.get(c, 0) != 0):
             code = self.codes.where(F.col("column") == c).select(
-                F.col("category").alias(f"k_{c}"), F.col("code").cast("double").alias(f"c_{c}"))
-            code = F.broadcast(code) if sizes.get(c, 0) <= BROADCAST_CODES else code
-            out = out.join(code, f"k_{c}", "left")
+                F.col("category").alias(f"k_{c}"), F.col("code").cast("double").alias(f"c_{c}"), "n")
+            start = starts.get(c, 0)
+            if start is None:
+                out = out.join(code.drop("n"), f"k_{c}", "left")
+                continue
+            frequent = F.broadcast(code.where(F.col("n") >= start).drop("n"))
+            out = out.join(frequent, f"k_{c}", "left")
+            if start:
+                others = out.where(F.col(f"c_{c}").isNull()).drop(f"c_{c}").join(
+                    code.where(F.col("n") < start).drop("n"), f"k_{c}", "left")
+                out = out.where(F.col(f"c_{c}").isNotNull()).unionByName(others)
         out = out.withColumns({f"x_{c}": F.coalesce(f"c_{c}", F.lit(-1.0)) for c in self.categorical})
         return out.select(*rows.columns, *(f"x_{c}" for c in self.features))
 
