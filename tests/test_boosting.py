@@ -181,3 +181,18 @@ def test_nothing_to_split(spark):
     trees, state = boosting.fit(rows, ["a"], "slow", "held", {0: 1.0, 1: 1.0}, Settings(min_leaf_rows=1))
     assert trees.getNumTrees == 0 and len(state.losses) == 1
     assert trees.transform(rows).where("prediction <> 0").isEmpty()
+
+
+def test_cells_are_kept_in_blocks_and_summed_where_they_are(encoded, monkeypatch):
+    """A round reads few rows of arrays instead of a row per cell and column; what they hold are the same cells and margins."""
+    monkeypatch.setattr(boosting, "BLOCK_CELLS", 300)
+    cuts = boosting.thresholds(encoded.where("not held"), COLUMNS)
+    counted = boosting.cells(boosting.with_bins(encoded, COLUMNS, cuts), "slow", "held").coalesce(1)
+    state = boosting.begin(counted, 3, {0: 0.8, 1: 1.3})
+    size = counted.count()
+    assert all(r["size"] <= 300 for r in state.blocks.collect()) and state.blocks.count() <= size / 150 + 2
+    key = ["bins", "label", "held_out", "n"]
+    assert sorted(map(str, state.cells.select(key).collect())) == sorted(map(str, counted.select(key).collect()))
+    boosting.boost(state, Settings(max_rounds=2, min_leaf_rows=20))
+    for r in state.cells.select("margin", *(boosting.node_of(t, "bins").alias(f"n{i}") for i, t in enumerate(state.trees))).collect():
+        assert r["margin"] == sum(t.value[r[f"n{i}"]] for i, t in enumerate(state.trees))

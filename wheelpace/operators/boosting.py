@@ -1,8 +1,9 @@
 """Gradient-boosted trees for two classes, grown leaf by leaf, with a state from which training goes on.
 
 Every number column is cut into at most ``BINS`` bins. Rows with the same bins, class and side are one cell with
-a count, so the cost of a round does not grow with copies. A pass over the cells sums gradient, Hessian
-and rows per open leaf, column and bin in one aggregation; of two sibling leaves only the smaller one is
+a count, so the cost of a round does not grow with copies. Cells are stored in blocks, a byte for each bin, so that
+tasks work on arrays. A pass over the blocks sums gradient, Hessian and rows per open leaf, column and bin: every task
+its own cells, one aggregation those of all tasks. Of two sibling leaves only the smaller one is
 summed, the other is the rest of its parent. The next leaf to be split is always the one of highest gain, up
 to a number of leaves and without a bound on depth. Leaves that can still become part of the tree are prepared
 together, so a tree takes about as many passes as it has levels, not as it has leaves. A leaf that is down to
@@ -18,11 +19,14 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +37,9 @@ BINS = 255
 #: Fixed value: the smallest sum of Hessians of a leaf.
 LEAST_HESSIAN = 1e-3
 #: Cells up to which a leaf is grown further in one task, of about 50 bytes each.
-TASK_CELLS = 50_000
+TASK_CELLS = 500_000
+#: Most cells of a block.
+BLOCK_CELLS = 16_384
 #: Whole numbers of a sum stay below two to this power, so that a double holds them.
 _SUM_BITS = 53
 #: Held-out losses are summed by this part, which leaves room for large ones.
@@ -118,40 +124,55 @@ def cells(binned: DataFrame, label: str, held_out: str) -> DataFrame:
 
 # --- trees as columns -----------------------------------------------------------------------------
 
+def walk(tree: Tree, bins: np.ndarray) -> np.ndarray:
+    """The leaf of ``tree`` that each cell falls into; ``bins`` is (columns, cells)."""
+    feature, cut, left, right = (np.array(x, np.int32) for x in (tree.feature, tree.cut, tree.left, tree.right))
+    node = np.zeros(bins.shape[1], np.int32)
+    rows = np.arange(bins.shape[1])
+    if left[0] < 0:
+        return node
+    while len(rows):
+        at = node[rows]
+        node[rows] = at = np.where(bins[feature[at], rows] <= cut[at], left[at], right[at])
+        rows = rows[left[at] >= 0]
+    return node
+
+
+def margins(trees: list[Tree], bins: np.ndarray) -> np.ndarray:
+    """The sum of the leaf values of ``trees`` for each cell, added up in their order."""
+    total = np.zeros(bins.shape[1])
+    for tree in trees:
+        total += np.array(tree.value)[walk(tree, bins)]
+    return total
+
+
 def _numbers(values, kind: str = "int") -> str:
     """An array literal as text: a call to Spark for each number takes longer than the pass that uses it."""
     return f"cast(split('{','.join(map(repr, values))}', ',') as array<{kind}>)"
 
 
-def _step(trees: list[Tree], bins: str) -> tuple[str, list[int]]:
-    """From a node to the one below, at a leaf to itself, in trees laid end to end; where each tree starts."""
-    starts, left, right = [], [], []
-    for t in trees:
-        start = len(left)
-        starts.append(start)
-        for side, of in ((left, t.left), (right, t.right)):
-            side += [start + (c if c >= 0 else i) for i, c in enumerate(of)]
-    feature, cut = (_numbers([x for t in trees for x in getattr(t, name)]) for name in ("feature", "cut"))
-    return (f"(node, level) -> if(get({bins}, get({feature}, node)) <= get({cut}, node), "
-            f"get({_numbers(left)}, node), get({_numbers(right)}, node))"), starts
-
-
 def node_of(tree: Tree, bins: str) -> Column:
     """The leaf of ``tree`` that a row with the array ``bins`` falls into."""
     if tree.depth == 0:
         return F.lit(0)
-    return F.expr(f"aggregate(sequence(1, {tree.depth}), 0, {_step([tree], bins)[0]})")
+    feature, cut, left, right = map(_numbers, (
+        tree.feature, tree.cut, *([c if c >= 0 else i for i, c in enumerate(of)] for of in (tree.left, tree.right))))
+    return F.expr(f"aggregate(sequence(1, {tree.depth}), 0, (node, level) -> if(get({bins}, get({feature}, node)) <= "
+                  f"get({cut}, node), get({left}, node), get({right}, node)))")
 
 
 def margin_of(trees: list[Tree], bins: str) -> Column:
-    """The sum of the leaf values of ``trees``, as one short expression whatever their number."""
+    """The sum of the leaf values of ``trees`` for a row with the array ``bins``, in tasks over batches of rows."""
     if not trees:
         return F.lit(0.0)
-    step, starts = _step(trees, bins)
-    value = _numbers([x for t in trees for x in t.value], "double")
-    levels = max(1, *(t.depth for t in trees))
-    return F.expr(f"aggregate({_numbers(starts)}, 0.0D, (total, root) -> total + get({value}, "
-                  f"aggregate(sequence(1, {levels}), root, {step})))")
+    trees = list(trees)
+
+    def total(rows: pa.Array) -> pa.Array:
+        if not len(rows):
+            return pa.array([], pa.float64())
+        return pa.array(margins(trees, rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1).T))
+
+    return F.arrow_udf(total, "double")(bins)
 
 
 # --- growing one tree -----------------------------------------------------------------------------
@@ -230,56 +251,141 @@ def _as_tree(nodes: list[_Node], split: list[int], s: Settings) -> Tree:
 
 @dataclass
 class Boosting:
-    """Where training stands: cells with their margin, gradient and Hessian, the trees and the held-out losses.
+    """Where training stands: blocks of cells with their margin, gradient and Hessian, the trees and the held-out losses.
 
     ``losses`` has the loss before the first tree and after each one; it is empty if nothing is held out.
     """
 
-    cells: DataFrame  # (bins, label, held_out, n, margin, g, h)
+    blocks: DataFrame  # cells of one side each, see ``_PACKED``
     weights: dict[int, float]
     total: float  # weighted rows
     columns: int
     trees: list[Tree] = field(default_factory=list)
     losses: list[float] = field(default_factory=list)
     root: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)  # sums of all cells that are learned from
-    path: str | None = None  # of the cells, if this state has written them
+    path: str | None = None  # of the blocks, if this state has written them
 
     @property
     def grain(self) -> float:
         """Sums count whole parts of one of this size."""
         return 2.0 ** (_SUM_BITS - 6 - math.ceil(math.log2(max(2.0, self.total))))
 
-    def write(self, rows: DataFrame) -> None:
-        """Write ``rows`` (bins, label, held_out, n, margin) with the gradient and the Hessian of each cell.
+    @property
+    def cells(self) -> DataFrame:
+        """(bins, label, held_out, n, margin, g, h), one row a cell."""
+        columns = self.columns
+
+        def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for block in _blocks(batches):
+                bins, label, n, margin, g, h = _arrays(block, columns)
+                size = len(label)
+                lists = pa.ListArray.from_arrays(np.arange(0, size * columns + 1, max(1, columns), dtype=np.int32)[:size + 1],
+                                                 pa.array(bins.T.astype(np.int16).ravel()))
+                yield pa.RecordBatch.from_arrays(
+                    [lists, pa.array(label.astype(np.int32)), pa.array(np.full(size, block["held_out"])), *map(pa.array, (n, margin, g, h))],
+                    names=["bins", "label", "held_out", "n", "margin", "g", "h"])
+
+        return self.blocks.select(*_PACKED_NAMES).mapInArrow(
+            unpacked, "bins array<short>, label int, held_out boolean, n long, margin double, g long, h long")
+
+    def write(self, trees: list[Tree]) -> None:
+        """Write the blocks with margins raised by ``trees`` and with the gradient and the Hessian of each cell.
 
         Of held-out cells these are the loss and the weight. The sums of the root and the loss are taken while
         writing. The table takes the place of the one before.
         """
-        spark, old = rows.sparkSession, self.path
-        weight = "case label " + " ".join(f"when {k} then {float(w)!r}D" for k, w in self.weights.items()) + " end * n"
-        # The loss of the true class, without overflow.
-        away = "if(label = 1, -margin, margin)"
-        rows = rows.selectExpr("bins", "label", "held_out", "n", "margin", f"{weight} as w", "1 / (1 + exp(-margin)) as p",
-                               f"greatest({away}, 0D) + log1p(exp(-abs(margin))) as loss")
-        rows = rows.selectExpr("bins", "label", "held_out", "n", "margin", *(
-            f"cast(round(if(held_out, {held} / {_LOSS_PART}, {learned}) * w * {self.grain!r}D) as long) as {name}"
-            for name, learned, held in (("g", "p - label", "loss"), ("h", "p * (1 - p)", "1D"))))
+        spark, old = self.blocks.sparkSession, self.path
+        columns, grain = self.columns, self.grain
+        weights = np.array([self.weights.get(label, np.nan) for label in (0, 1)])
+
+        def raised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for block in _blocks(batches):
+                bins, label, n, margin, *_ = _arrays(block, columns)
+                margin = margin + margins(trees, bins)
+                w, p = weights[label] * n, 1 / (1 + np.exp(-margin))
+                if block["held_out"]:  # the loss of the true class, without overflow
+                    away = np.where(label == 1, -margin, margin)
+                    g, h = (np.maximum(away, 0) + np.log1p(np.exp(-np.abs(margin)))) / _LOSS_PART, np.full(len(w), 1.0 / _LOSS_PART)
+                else:
+                    g, h = p - label, p * (1 - p)
+                g, h = (np.rint(x * w * grain).astype(np.int64) for x in (g, h))
+                block |= {"margin": margin.tobytes(), "g": g.tobytes(), "h": h.tobytes(), "sum_g": int(g.sum()),
+                          "sum_h": int(h.sum())}
+                yield pa.RecordBatch.from_pylist([block], _WRITTEN)
+
         seen = Observation("sums")
         path = fresh_path(spark, "margins")
+        rows = self.blocks.select(*(c for c in _PACKED_NAMES if c in self.blocks.columns)).mapInArrow(raised, _PACKED)
         rows.observe(seen, *(F.expr(f"coalesce(sum(if({'' if held else 'not '}held_out, {value}, 0L)), 0L) as {name}") for name, value, held in (
-            ("g", "g", False), ("h", "h", False), ("n", "n", False), ("cells", "1L", False), ("loss", "g", True),
-            ("weight", "h", True)))).write.parquet(path)
+            ("g", "sum_g", False), ("h", "sum_h", False), ("n", "sum_n", False), ("cells", "size", False), ("loss", "sum_g", True),
+            ("weight", "sum_h", True)))).write.parquet(path)
         found = seen.get
         self.root = (found["g"] / self.grain, found["h"] / self.grain, float(found["n"]), float(found["cells"]))
         if found["weight"]:
             self.losses.append(found["loss"] / found["weight"])
-        self.cells, self.path = _one_if_one(spark.read.schema(rows.schema).parquet(path)), path
+        self.blocks, self.path = _one_if_one(spark.read.schema(_PACKED).parquet(path)), path
         if old:
             discard(spark, old)
 
     def add(self, tree: Tree) -> None:
         self.trees.append(tree)
-        self.write(self.cells.withColumn("margin", F.col("margin") + margin_of([tree], "bins")))
+        self.write([tree])
+
+
+#: Blocks as they are stored: arrays of one byte a bin, column by column, one a label, and eight a number.
+_PACKED = ("held_out boolean, size long, sum_n long, bins binary, label binary, n binary, margin binary, g binary, h binary, "
+           "sum_g long, sum_h long")
+_PACKED_NAMES = [f.split()[0] for f in _PACKED.split(", ")]
+_WRITTEN = pa.schema([(name, {"boolean": pa.bool_(), "long": pa.int64(), "binary": pa.binary()}[kind])
+                      for name, kind in (f.split() for f in _PACKED.split(", "))])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One block after the other, so that no more than one is a Python object."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def _arrays(block: dict, columns: int) -> tuple[np.ndarray, ...]:
+    """Bins (columns, cells), label, n, margin, gradient and Hessian of a block, as far as it has them."""
+    kinds = {"label": np.uint8, "n": np.int64, "margin": np.float64, "g": np.int64, "h": np.int64}
+    found = [np.frombuffer(block[name], kind) if block.get(name) is not None else np.zeros(block["size"], kind)
+             for name, kind in kinds.items()]
+    return np.frombuffer(block["bins"], np.uint8).reshape(columns, block["size"]), *found
+
+
+def packed(counted: DataFrame) -> DataFrame:
+    """Blocks of cells (bins, label, held_out, n) of one side each, without margins, and how many rows of class 1 each has."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[bool, list[tuple[np.ndarray, ...]]] = {False: [], True: []}
+
+        def block(held: bool) -> pa.RecordBatch:
+            bins, label, n = (np.concatenate(parts) for parts in zip(*waiting[held], strict=True))
+            waiting[held] = []
+            return pa.RecordBatch.from_pydict({
+                "held_out": [held], "size": [len(n)], "sum_n": [int(n.sum())], "bins": [bins.T.tobytes()], "label": [label.tobytes()],
+                "n": [n.tobytes()], "ones": [int(n[label == 1].sum())]})
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK_CELLS):
+                part = batch.slice(at, BLOCK_CELLS)
+                sides = part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+                bins = part.column("bins").flatten().to_numpy(zero_copy_only=False).astype(np.uint8).reshape(len(sides), -1)
+                label, n = (part.column(c).to_numpy(zero_copy_only=False) for c in ("label", "n"))
+                for held in (False, True):
+                    of_side = sides == held
+                    if not of_side.any():
+                        continue
+                    if sum(len(x[2]) for x in waiting[held]) + of_side.sum() > BLOCK_CELLS:
+                        yield block(held)
+                    waiting[held].append((bins[of_side], label[of_side].astype(np.uint8), n[of_side].astype(np.int64)))
+        for held, parts in waiting.items():
+            if parts:
+                yield block(held)
+
+    return counted.select("bins", "label", "held_out", "n").mapInArrow(
+        pack, "held_out boolean, size long, sum_n long, bins binary, label binary, n binary, ones long")
 
 
 def _one_if_one(df: DataFrame) -> DataFrame:
@@ -289,33 +395,56 @@ def _one_if_one(df: DataFrame) -> DataFrame:
 
 def begin(counted: DataFrame, columns: int, weights: dict[int, float]) -> Boosting:
     """The state before the first tree: every margin is 0, the balanced classes' common start."""
-    counted = settle(counted, "cells")
-    sizes = {r["label"]: r["n"] for r in counted.groupBy("label").agg(F.sum("n").alias("n")).collect()}
-    state = Boosting(counted, weights, sum(n * weights[label] for label, n in sizes.items()), columns)
-    state.write(counted.withColumn("margin", F.lit(0.0)))
+    blocks = settle(packed(counted), "cells")
+    ones, rows = blocks.agg(F.expr("coalesce(sum(ones), 0L)"), F.expr("coalesce(sum(sum_n), 0L)")).first()
+    state = Boosting(blocks, weights, sum(n * weights[label] for label, n in ((0, rows - ones), (1, ones)) if n), columns)
+    state.write([])
     return state
 
 
-def _leaves(state: Boosting, nodes: list[_Node], wanted: list[int]) -> DataFrame:
-    """(slot, bins, g, h, n): the cells of the ``wanted`` leaves among all that were prepared so far."""
-    # All prepared splits, whether or not they end up in the tree; node i stands at place i.
-    tree = Tree(*zip(*((n.feature, n.cut, *(n.children or (-1, -1)), 0.0) for n in nodes), strict=True))
-    slots = {i: k for k, i in enumerate(wanted)}
-    rows = state.cells.where("not held_out").select("bins", "g", "h", "n", node_of(tree, "bins").alias("node"))
-    slot = f"get({_numbers([slots.get(i, -1) for i in range(len(nodes))])}, node)"
-    return rows.selectExpr(f"{slot} as slot", "bins", "g", "h", "n").where("slot >= 0")
+def _prepared(nodes: list[_Node]) -> Tree:
+    """All prepared splits, whether or not they end up in the tree; node i stands at place i."""
+    return Tree(*zip(*((n.feature, n.cut, *(n.children or (-1, -1)), 0.0) for n in nodes), strict=True))
+
+
+def _slots(nodes: list[_Node], wanted: list[int]) -> np.ndarray:
+    """For each node its place among the ``wanted`` ones, or -1."""
+    slots = np.full(len(nodes), -1, np.int32)
+    slots[wanted] = np.arange(len(wanted))
+    return slots
+
+
+def _learned(state: Boosting) -> DataFrame:
+    return state.blocks.where("not held_out").select("size", "bins", "n", "g", "h")
 
 
 def _histograms(state: Boosting, nodes: list[_Node], wanted: list[int]) -> np.ndarray:
-    """(wanted, columns, bins, 4) sums of cells, in one aggregation."""
-    width = BINS + 1
-    found = _leaves(state, nodes, wanted).selectExpr("slot", "g", "h", "n", "posexplode(bins) as (feature, bin)").groupBy(
-        F.expr(f"(slot * {state.columns} + feature) * {width} + bin as at")).agg(
-        F.expr("sum(g) as g"), F.expr("sum(h) as h"), F.expr("sum(n) as n"), F.expr("count(*) as cells")).toArrow()
+    """(wanted, columns, bins, 4) sums of cells: every task sums its own, one aggregation those of the tasks."""
+    width, columns = BINS + 1, state.columns
+    tree, slots, count = _prepared(nodes), _slots(nodes, wanted), len(wanted)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((4, columns, count * width))
+        for block in _blocks(batches):
+            bins, _, n, _, g, h = _arrays(block, columns)
+            slot = slots[walk(tree, bins)]
+            rows = np.flatnonzero(slot >= 0)
+            start, values = slot[rows] * width, [x[rows].astype(float) for x in (g, h, n)]
+            for feature in range(columns):
+                at = start + bins[feature, rows]
+                for total, value in zip(sums[:, feature], (*values, None), strict=True):
+                    total += np.bincount(at, value, count * width)
+        feature, at = np.nonzero(sums[3])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array((at // width * columns + feature) * width + at % width),
+             *(pa.array(x[feature, at].astype(np.int64)) for x in sums)], names=["at", "g", "h", "n", "cells"])
+
+    found = _learned(state).mapInArrow(summed, "at long, g long, h long, n long, cells long").groupBy("at").agg(
+        F.expr("sum(g) as g"), F.expr("sum(h) as h"), F.expr("sum(n) as n"), F.expr("sum(cells) as cells")).toArrow()
     at, g, h, n, cells_ = (found[c].to_numpy() for c in ("at", "g", "h", "n", "cells"))
-    out = np.zeros((len(wanted) * state.columns * width, 4))
+    out = np.zeros((count * columns * width, 4))
     out[at] = np.stack([g / state.grain, h / state.grain, n, cells_], axis=1)
-    return out.reshape(len(wanted), state.columns, width, 4)
+    return out.reshape(count, columns, width, 4)
 
 
 _SUBTREE = ("slot int, place int, g double, h double, n double, cells double, gain double, feature int, cut int, "
@@ -325,17 +454,31 @@ _SUBTREE = ("slot int, place int, g double, h double, n double, cells double, ga
 def _subtrees(state: Boosting, nodes: list[_Node], wanted: list[int], s: Settings) -> dict[int, list[_Node]]:
     """For each wanted leaf, of at most ``TASK_CELLS`` cells, the nodes it can become, grown by one task."""
     grain, columns = state.grain, state.columns
-
-    def grow(rows: pd.DataFrame) -> pd.DataFrame:
-        bins = np.stack(rows["bins"].to_numpy()).astype(np.int64) + np.arange(columns) * (BINS + 1)
-        values = np.stack([rows["g"] / grain, rows["h"] / grain, rows["n"].astype(float), np.ones(len(rows))])
+    tree, slots = _prepared(nodes), _slots(nodes, wanted)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            bins, _, n, _, g, h = _arrays(block, columns)
+            slot = slots[walk(tree, bins)]
+            order = np.argsort(slot, kind="stable")
+            found, first = np.unique(slot[order], return_index=True)
+            parts = [(k, rows) for k, rows in zip(found.tolist(), np.split(order, first[1:]), strict=True) if k >= 0]
+            yield pa.RecordBatch.from_pydict({
+                "slot": pa.array([k for k, _ in parts], pa.int32()), "size": pa.array([len(rows) for _, rows in parts], pa.int64()),
+                **{name: pa.array([x[..., rows].tobytes() for _, rows in parts], pa.binary())
+                   for name, x in (("bins", bins), ("n", n), ("g", g), ("h", h))}})
+
+    def grow(parts: pd.DataFrame) -> pd.DataFrame:
+        cells_ = [_arrays(block, columns) for block in parts.to_dict("records")]
+        bins, _, n, _, g, h = (np.concatenate(x, axis=-1) for x in zip(*cells_, strict=True))
+        values = np.stack([g / grain, h / grain, n.astype(float), np.ones(len(n))])
         grown = grow_in_task(bins, values, columns, s)
-        return pd.DataFrame([(rows["slot"].iloc[0], i, *node.sums, node.gain, node.feature, node.cut, *(node.children or (-1, -1)))
+        return pd.DataFrame([(parts["slot"].iloc[0], i, *node.sums, node.gain, node.feature, node.cut, *(node.children or (-1, -1)))
                              for i, node in enumerate(grown)], columns=[f.split()[0] for f in _SUBTREE.split(", ")])
 
     out: dict[int, list[_Node]] = {i: [] for i in wanted}
-    for r in sorted(_leaves(state, nodes, wanted).groupBy("slot").applyInPandas(grow, _SUBTREE).collect(),
-                    key=lambda r: (r["slot"], r["place"])):
+    leaves = _learned(state).mapInArrow(chosen, "slot int, size long, bins binary, n binary, g binary, h binary")
+    for r in sorted(leaves.groupBy("slot").applyInPandas(grow, _SUBTREE).collect(), key=lambda r: (r["slot"], r["place"])):
         children = (r["left"], r["right"]) if r["left"] >= 0 else None
         out[wanted[r["slot"]]].append(_Node(np.array([r["g"], r["h"], r["n"], r["cells"]]), gain=r["gain"], feature=r["feature"],
                                             cut=r["cut"], children=children))
@@ -343,14 +486,17 @@ def _subtrees(state: Boosting, nodes: list[_Node], wanted: list[int], s: Setting
 
 
 def grow_in_task(bins: np.ndarray, values: np.ndarray, columns: int, s: Settings) -> list[_Node]:
-    """Nodes of a leaf's best splits, up to all leaves of a tree. ``bins`` is (cells, columns), counted on from column
-    to column; ``values`` has gradient, Hessian, rows and cells of each."""
+    """Nodes of a leaf's best splits, up to all leaves of a tree. ``bins`` is (columns, cells); ``values`` has gradient,
+    Hessian, rows and cells of each."""
     def histogram(rows: np.ndarray) -> np.ndarray:
-        at = bins[rows].ravel()
-        sums = [np.bincount(at, np.repeat(v[rows], columns), columns * (BINS + 1)) for v in values]
-        return np.stack(sums, axis=1).reshape(columns, BINS + 1, 4)
-
-    nodes, members = [_Node(values.sum(axis=1))], [np.arange(len(bins))]
+        out, of_rows = np.empty((columns, BINS + 1, 4)), values[:, rows]
+        for feature in range(columns):
+            at = bins[feature, rows]
+            for k in range(4):
+                out[feature, :, k] = np.bincount(at, of_rows[k], BINS + 1)
+        return out
+
+    nodes, members = [_Node(values.sum(axis=1))], [np.arange(bins.shape[1])]
     nodes[0].histogram = histogram(members[0])
     nodes[0].look(s)
     while True:
@@ -359,7 +505,7 @@ def grow_in_task(bins: np.ndarray, values: np.ndarray, columns: int, s: Settings
             return nodes
         i = unknown[0]
         node, rows = nodes[i], members[i]
-        low = bins[rows, node.feature] - node.feature * (BINS + 1) <= node.cut
+        low = bins[node.feature, rows] <= node.cut
         node.children = (len(nodes), len(nodes) + 1)
         nodes += [_Node(half) for half in node.halves]
         members += [rows[low], rows[~low]]
@@ -390,8 +536,10 @@ def grow_tree(state: Boosting, s: Settings) -> Tree:
             pairs.append((i, *sorted(nodes[i].children, key=lambda c: nodes[c].sums[3])))
         summed = [(i, small, large) for i, small, large in pairs if nodes[large].sums[3] > TASK_CELLS]
         in_tasks = [c for _, *halves in pairs for c in halves if nodes[c].sums[3] <= TASK_CELLS]
-        found = _histograms(state, nodes, [small for _, small, _ in summed]) if summed else []
-        grown = _subtrees(state, nodes, in_tasks, s) if in_tasks else {}
+        with ThreadPoolExecutor(1) as beside:  # both jobs read the same blocks and wait for nothing of each other
+            growing = beside.submit(_subtrees, state, nodes, in_tasks, s) if in_tasks else None
+            found = _histograms(state, nodes, [small for _, small, _ in summed]) if summed else []
+            grown = growing.result() if growing else {}
         for (i, small, large), histogram in zip(summed, found, strict=True):
             nodes[large].histogram = nodes[i].histogram - histogram
             nodes[large].look(s)
@@ -454,8 +602,8 @@ def load_trees(spark: SparkSession, path: str) -> list[Tree]:
 
 def save_state(state: Boosting, path: str) -> str:
     """Margins, trees and losses under one folder: what :func:`boost` needs to go on."""
-    spark = state.cells.sparkSession
-    state.cells.write.mode("overwrite").parquet(f"{path}/cells")
+    spark = state.blocks.sparkSession
+    state.blocks.write.mode("overwrite").parquet(f"{path}/blocks")
     save_trees(spark, state.trees, f"{path}/trees")
     row = (state.weights, state.total, state.columns, state.losses, list(state.root))
     spark.createDataFrame([row], _STATE).coalesce(1).write.mode("overwrite").parquet(f"{path}/state")
@@ -464,7 +612,7 @@ def save_state(state: Boosting, path: str) -> str:
 
 def load_state(spark: SparkSession, path: str) -> Boosting:
     row = spark.read.schema(_STATE).parquet(f"{path}/state").first()
-    stored = _one_if_one(spark.read.parquet(f"{path}/cells"))
+    stored = _one_if_one(spark.read.schema(_PACKED).parquet(f"{path}/blocks"))
     return Boosting(stored, dict(row["weights"]), row["total"], row["columns"], load_trees(spark, f"{path}/trees"),
                     list(row["losses"]), tuple(row["root"]))
 
