@@ -478,6 +478,22 @@ def test_passages_of_any_length_go_whole(docs):
     assert sorted((r.doc_id, r.kept_lines) for r in copies) == [(1, 2), (1, 2), (2, 0)]
 
 
+def test_chunks_with_an_earlier_place_go_before_pairs_are_compared(docs):
+    """A passage is cut at the same lines wherever it stands, so its chunks are found by themselves; pairs are the rest."""
+    passage = [prose(7000 + i, 6) for i in range(40)]
+    rows = [(1, "\n".join(passage)), (2, "\n\n".join([prose(7100, 4), *passage, prose(7101, 4)])),
+            (3, "\n".join([*(prose(7200 + i, 4) for i in range(3)), *passage[5:35]])), (None, "\n".join(passage[10:13]))]
+    table, covered = docs(*rows), {}
+    for r in lines.later_chunks(table).collect():
+        found = [x for x in dict(rows)[r.doc_id].split("\n") if x.strip()]
+        a, b = lines.cut(found)[r.chunk]
+        assert b - a >= 2 and "\n".join(found[a:b]) in rows[0][1]
+        covered[r.doc_id] = covered.get(r.doc_id, 0) + b - a
+    assert covered[2] >= 30 and covered[3] >= 20 and None not in covered
+    got = {r.doc_id: r.text or "" for r in lines.without_passages(table.repartition(3)).collect()}
+    assert got == passages_by_hand(rows)
+
+
 # --- 8 --------------------------------------------------------------------------------------------
 
 def test_archives_round_trip(spark):
