@@ -50,6 +50,8 @@ PIECE = 4096
 NEXT = 200_000
 #: Logarithms of shares are summed as whole numbers of this part of one, so that no order changes a sum.
 GRAIN = 1 << 28
+#: Places whose scores of all classes are worked on at once.
+NEAR = 2048
 #: Rows scored at once.
 TOGETHER = 500
 SEED = 5
@@ -151,20 +153,24 @@ def log_probabilities(w: Weights, line: np.ndarray, places: np.ndarray) -> np.nd
     out = np.empty(len(places), np.float32)
     for at in range(0, len(places), 1 << 15):
         part = places[at:at + (1 << 15)]
-        targets, h = line[part], _hidden(w, line, part)
-        scores = h @ w["classes"].T + w["class_bias"]
-        own = targets // PER_CLASS
-        found = scores[np.arange(len(part)), own] - _log_sum(scores)
+        targets, h, found = line[part], np.empty((len(part), WIDTH), np.float32), out[at:at + (1 << 15)]
+        for k in range(0, len(part), NEAR):  # what stays in the processor's cache is not written to memory
+            some = slice(k, k + NEAR)
+            h[some] = _hidden(w, line, part[some])
+            found[some] = _log_shares(h[some], w["classes"], w["class_bias"], targets[some] // PER_CLASS)
         for c, rows in _by_class(targets):
-            within = h[rows] @ w["words"][c].T + w["word_bias"][c]
-            found[rows] += within[np.arange(len(rows)), targets[rows] % PER_CLASS] - _log_sum(within)
-        out[at:at + len(part)] = found
+            found[rows] += _log_shares(h[rows], w["words"][c], w["word_bias"][c], targets[rows] % PER_CLASS)
     return out
 
 
-def _log_sum(x: np.ndarray) -> np.ndarray:
-    top = x.max(axis=1)
-    return np.log(np.exp(x - top[:, None]).sum(axis=1)) + top
+def _log_shares(h: np.ndarray, vectors: np.ndarray, bias: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The logarithm of the softmax of each row at its ``wanted`` place, in one array that is written in place."""
+    x = h @ vectors.T
+    x += bias
+    x -= x.max(axis=1, keepdims=True)
+    found = x[np.arange(len(x)), wanted]
+    np.exp(x, out=x)
+    return found - np.log(x.sum(axis=1))
 
 
 def _step(w: Weights, line: np.ndarray, places: np.ndarray, rate: float) -> None:
