@@ -237,6 +237,18 @@ def test_every_file_has_its_own_month(spark, raw, tmp_path):
     assert set(now) == set(periods) and now[max(now)] == periods[max(now)] and 0 < now[min(now)] < periods[min(now)]
 
 
+def test_rows_of_a_large_file_are_dealt_to_many_tasks(spark, raw, tmp_path, monkeypatch):
+    """One file of one row group is one task of the scan; copies are collapsed in more, the repeated trip in each of them."""
+    monkeypatch.setattr(runs, "DEALT_ROWS", 100)
+    one = raw.limit(1).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(900)))).drop("copy")
+    rows = raw.unionByName(one).coalesce(1)
+    sizes = [r["count"] for r in runs.dealt(rows, rows.count()).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 5 and max(sizes) < 200
+    source = folder_of(str(tmp_path / "files"), rows)
+    runs.prepare_months(spark, source, str(tmp_path / "months"))
+    assert spark.read.parquet(str(tmp_path / "months")).count() == runs.prepare(raw).rows
+
+
 def test_a_bad_file_is_named(spark, raw, tmp_path):
     source = folder_of(str(tmp_path / "files"), raw.limit(50), raw.limit(50).withColumn("fare_amount", F.lit(-1.0)))
     with pytest.raises(ValueError, match="1 files hold no plausible month: .*part-0"):

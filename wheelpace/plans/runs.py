@@ -22,6 +22,9 @@ from wheelpace.sources.trips import nan_to_null, read_cleaned, scan_trips
 from wheelpace.sources.versions import current, entries, publish, verify, write_entry
 
 
+#: Rows of monthly files that one task collapses, and the most tasks a scan is dealt to: up to so many Spark's shuffle
+#: writes rows as they come and holds none.
+DEALT_ROWS, DEALT_MOST = 250_000, 200
 #: Names in the error about bad files.
 BAD_FILES_SHOWN = 20
 
@@ -94,6 +97,7 @@ def prepare_months(spark: SparkSession, source: str, path: str, cfg: TripConfig
         raise ValueError(f"{bad.count()} files hold no plausible month: {names}")
     months = files.select("source_file", "month")
     rows = raw.join(months, "source_file").where(month_of(wall_clock(cfg.pickup)) == F.col("month"))
+    rows = dealt(rows, files.agg(F.coalesce(F.sum("n_month"), F.lit(0))).first()[0])
     cleaned = quality.clean_rows(rows.withColumn("period", F.col("month")), cfg, "period")
     cleaned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(path)
     covered = months.select(F.col("month").alias("period")).distinct()
@@ -102,6 +106,13 @@ def prepare_months(spark: SparkSession, source: str, path: str, cfg: TripConfig
     return files
 
 
+def dealt(rows: DataFrame, n: int) -> DataFrame:
+    """``rows``, about ``n``, dealt evenly to tasks. A file of a month can be one part of a scan however many rows it holds, and the
+    task that reads it would keep all that differ to collapse copies; copies are dealt to many tasks as well."""
+    parts = min(DEALT_MOST, max(1, -(-n // DEALT_ROWS)))
+    return rows.withColumn("dealt", F.monotonically_increasing_id()).repartition(parts, "dealt").drop("dealt")
+
+
 def check_load(raw: DataFrame, rows: int) -> dict[str, object]:
     """Error when the audit has seen other rows than the footers of the files count."""
     counted = raw.count()  # reads no column
