@@ -153,24 +153,27 @@ def log_probabilities(w: Weights, line: np.ndarray, places: np.ndarray) -> np.nd
     out = np.empty(len(places), np.float32)
     for at in range(0, len(places), 1 << 15):
         part = places[at:at + (1 << 15)]
-        targets, h, found = line[part], np.empty((len(part), WIDTH), np.float32), out[at:at + (1 << 15)]
-        for k in range(0, len(part), NEAR):  # what stays in the processor's cache is not written to memory
-            some = slice(k, k + NEAR)
-            h[some] = _hidden(w, line, part[some])
-            found[some] = _log_shares(h[some], w["classes"], w["class_bias"], targets[some] // PER_CLASS)
+        targets = line[part]
+        h = np.concatenate([_hidden(w, line, part[k:k + NEAR]) for k in range(0, len(part), NEAR)])
+        found = _log_shares(h, w["classes"], w["class_bias"], targets // PER_CLASS)
         for c, rows in _by_class(targets):
             found[rows] += _log_shares(h[rows], w["words"][c], w["word_bias"][c], targets[rows] % PER_CLASS)
+        out[at:at + len(part)] = found
     return out
 
 
 def _log_shares(h: np.ndarray, vectors: np.ndarray, bias: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """The logarithm of the softmax of each row at its ``wanted`` place, in one array that is written in place."""
-    x = h @ vectors.T
-    x += bias
-    x -= x.max(axis=1, keepdims=True)
-    found = x[np.arange(len(x)), wanted]
-    np.exp(x, out=x)
-    return found - np.log(x.sum(axis=1))
+    scores = h @ vectors.T
+    out = np.empty(len(h), np.float32)
+    for at in range(0, len(h), NEAR):  # a piece stays in the processor's cache
+        x = scores[at:at + NEAR]
+        x += bias
+        found, top = x[np.arange(len(x)), wanted[at:at + NEAR]], x.max(axis=1)
+        x -= top[:, None]
+        np.exp(x, out=x)
+        out[at:at + NEAR] = found - (np.log(x.sum(axis=1)) + top)
+    return out
 
 
 def _step(w: Weights, line: np.ndarray, places: np.ndarray, rate: float) -> None:
